@@ -1,0 +1,52 @@
+"""End-to-end monitor: wide yields -> baseline -> window stats -> flags."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+
+from riskwin.config import RiskParams
+from riskwin.operators.batch import BatchStats, full_history_stats
+from riskwin.operators.index import dense_index
+from riskwin.operators.overrun import overrun_flags
+from riskwin.operators.reshape import asset_columns
+from riskwin.operators.rolling import rolling_stats
+
+
+@dataclass
+class Monitor:
+    assets: list[str]
+    indexed: DataFrame
+    baseline: BatchStats
+    windows: DataFrame
+    flags: DataFrame
+
+
+def prepare(wide: DataFrame, assets: Sequence[str] | None = None, id_col: str = "ID",
+            params: RiskParams = RiskParams(), persist: bool = True) -> tuple[list[str], DataFrame]:
+    """Select and index the wide table once; later passes reuse it.
+
+    The indexed table is persisted (memory, spilling to disk) because the
+    baseline needs three passes and the windows one more; a lost executor
+    only recomputes its own partitions from lineage."""
+    assets = list(assets) if assets else asset_columns(wide, id_col)
+    base = wide.select(id_col, *assets)
+    if id_col != "ID":
+        base = base.withColumnRenamed(id_col, "ID")
+    indexed = dense_index(base, "ID", rows_per_partition=params.block_rows)
+    if persist:
+        indexed = indexed.persist(StorageLevel.MEMORY_AND_DISK)
+    return assets, indexed
+
+
+def run_monitor(wide: DataFrame, assets: Sequence[str] | None = None, id_col: str = "ID",
+                params: RiskParams = RiskParams()) -> Monitor:
+    assets, indexed = prepare(wide, assets, id_col, params)
+    baseline = full_history_stats(indexed, assets, params)
+    n = baseline.counts[assets[0]]
+    windows = rolling_stats(indexed, assets, n, params)
+    flags = overrun_flags(windows, baseline, assets, params)
+    return Monitor(assets, indexed, baseline, windows, flags)
