@@ -37,7 +37,8 @@ def rank_plan(n: int) -> dict[str, int]:
 
     The products are taken in binary floating point on purpose: an exact
     quantile summary computes ``ceil(p * n)`` that way, which can exceed the
-    decimal result (``0.1 * 30`` is slightly above 3)."""
+    decimal result (``((29//2+1)/29)*29`` is slightly above 15, so the upper
+    median rank for 29 values is 16)."""
     if n <= 0:
         return {}
     ranks = {

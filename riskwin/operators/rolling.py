@@ -26,15 +26,18 @@ from riskwin.operators.index import halo_blocks
 
 
 def window_frames(indexed: DataFrame, assets: Sequence[str], params: RiskParams,
-                  keys: Sequence[str] = (), idx_col: str = "idx") -> DataFrame:
-    """(keys..., window_index, l_<asset>...) for every complete frame."""
+                  keys: Sequence[str] = (), idx_col: str = "idx",
+                  carry: Sequence[str] = ()) -> DataFrame:
+    """(keys..., window_index, carry..., l_<asset>...) for every complete
+    frame. ``carry``: per-row columns passed through (e.g. a per-series
+    count)."""
     W = params.window
-    blocks = halo_blocks(indexed.select(*keys, idx_col, *assets), W, params.block_rows, idx_col)
+    blocks = halo_blocks(indexed.select(*keys, idx_col, *carry, *assets), W, params.block_rows, idx_col)
     w = Window.partitionBy(*keys, "blk").orderBy(idx_col).rowsBetween(Window.currentRow, W - 1)
     lists = [F.collect_list(a).over(w).alias(f"l_{a}") for a in assets]
-    framed = blocks.select(*keys, idx_col, "own", *lists)
+    framed = blocks.select(*keys, idx_col, *carry, "own", *lists)
     return framed.where(F.col("own") & (F.size(f"l_{assets[0]}") == W)).select(
-        *keys, F.col(idx_col).alias("window_index"), *[f"l_{a}" for a in assets])
+        *keys, F.col(idx_col).alias("window_index"), *carry, *[f"l_{a}" for a in assets])
 
 
 def _stat_columns(l, s, m, size: int, n_assets: int, divisor_count: int,
@@ -51,7 +54,8 @@ def _stat_columns(l, s, m, size: int, n_assets: int, divisor_count: int,
 def rolling_stats(indexed: DataFrame, assets: Sequence[str], n_full: int,
                   params: RiskParams = RiskParams(), keys: Sequence[str] = (),
                   stats: Sequence[str] = STATS, portfolio: bool = True,
-                  idx_col: str = "idx", names: str = "reference") -> DataFrame:
+                  idx_col: str = "idx", names: str = "reference",
+                  carry: Sequence[str] = ()) -> DataFrame:
     """One row per complete window with ``len(stats) * (n+1)`` statistics.
 
     ``n_full``: full-history record count, the divisor of the original
@@ -61,7 +65,7 @@ def rolling_stats(indexed: DataFrame, assets: Sequence[str], n_full: int,
     ``<stat>`` (single asset) or ``<target>_<stat>``."""
     assets = list(assets)
     W, n = params.window, len(assets)
-    frames = window_frames(indexed, assets, params, keys, idx_col)
+    frames = window_frames(indexed, assets, params, keys, idx_col, carry)
     parts = {}
     for a in assets:
         l = F.col(f"l_{a}")
@@ -72,7 +76,7 @@ def rolling_stats(indexed: DataFrame, assets: Sequence[str], n_full: int,
         frames = frames.withColumn(f"l_{PORTFOLIO}", pooled)
 
     # step 1: sorted arrays and means, once per row
-    sel = [*keys, "window_index"]
+    sel = [*keys, "window_index", *carry]
     for t, (l, s, size, k) in parts.items():
         sel += [l.alias(f"l_{t}"), s.alias(f"s_{t}"), wa.mean(l, size).alias(f"m_{t}")]
     step = frames.select(*sel)
