@@ -3,6 +3,8 @@ full-history value, relative to ``1 + baseline``."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,3 +27,19 @@ def overrun(window_stat: Column, baseline: Column, threshold: float) -> Column:
         .otherwise(F.lit(0))
         .cast("int")
     )
+
+
+def overrun_vs_scalar(window_stat: Column, baseline: float | None, threshold: float) -> Column:
+    """``overrun`` against a baseline known when the plan is built.
+
+    The guards on the baseline side are decided here, so each flag is one
+    comparison on the window side; identical results to ``overrun``."""
+    if baseline is None or math.isnan(baseline):
+        return F.lit(0).cast("int")
+    w = window_stat.cast("double")
+    den = 1.0 + baseline
+    if den == 0.0:
+        return F.when(w < F.lit(baseline), F.lit(1)).otherwise(F.lit(0)).cast("int")
+    hit = (F.lit(baseline) - w) / F.lit(den) >= F.lit(threshold)
+    # NaN sorts above every number in Spark, so it is excluded explicitly
+    return F.when(~F.isnan(w) & hit, F.lit(1)).otherwise(F.lit(0)).cast("int")

@@ -16,12 +16,29 @@ from pyspark.sql import functions as F
 from riskwin.config import TAIL_SHARE
 
 
-def total(arr: Column) -> Column:
+# Up to this many elements, sums are written out element by element: plain
+# arithmetic stays inside generated code, while a lambda (``aggregate``) is
+# interpreted per element.
+UNROLL_LIMIT = 64
+
+
+def _sum(terms: list[Column]) -> Column:
+    """Balanced sum, so the expression tree stays shallow."""
+    while len(terms) > 1:
+        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i]
+                 for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
+def total(arr: Column, size: int | None = None) -> Column:
+    """Sum of the first ``size`` elements (all when the size is unknown)."""
+    if size is not None and 0 < size <= UNROLL_LIMIT:
+        return _sum([F.get(arr, i) for i in range(size)])
     return F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v)
 
 
 def mean(l: Column, size: int) -> Column:
-    return total(l) / F.lit(float(size))
+    return total(l, size) / F.lit(float(size))
 
 
 def median(s: Column, size: int, rule: str = "reference") -> Column:
@@ -50,14 +67,24 @@ def tail_mean(s: Column, size: int, n_assets: int = 1) -> Column:
     d = tail_share(size, n_assets)
     k = int(d)
     if k == 0:
-        return F.lit(None).cast("double")
+        # an empty tail: the original sums nothing and divides by 0.1*W
+        return F.lit(0.0) if d > 0 else F.lit(None).cast("double")
+    if k <= UNROLL_LIMIT:
+        return total(s, k) / F.lit(d)
     return total(F.slice(s, 1, k)) / F.lit(d)
 
 
-def safety(l: Column, m: Column, divisor_count) -> Column:
+def abs_dev(l: Column, m: Column, size: int) -> Column:
+    """Sum of absolute deviations from ``m``."""
+    if size <= UNROLL_LIMIT:
+        return _sum([F.abs(F.get(l, i) - m) for i in range(size)])
+    return F.aggregate(l, F.lit(0.0), lambda acc, v: acc + F.abs(v - m))
+
+
+def safety(l: Column, m: Column, divisor_count, size: int | None = None) -> Column:
     """``m``: the window mean, already a column (computed once per row).
     ``divisor_count``: an int, or a Column for per-series counts."""
-    dev = F.aggregate(l, F.lit(0.0), lambda acc, v: acc + F.abs(v - m))
+    dev = abs_dev(l, m, size) if size else F.aggregate(l, F.lit(0.0), lambda acc, v: acc + F.abs(v - m))
     if isinstance(divisor_count, int):
         return m - dev / F.lit(float(2 * divisor_count))
     return m - dev / (F.lit(2.0) * divisor_count.cast("double"))

@@ -58,20 +58,38 @@ def dense_index(df: DataFrame, order_col: str = "ID", keys: Sequence[str] = (),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << POS_BITS) - 1)).alias("_pos"),
     )
     per_part = pos.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        *keys, "_pid", "_first",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-    )
-    # at most partitions + series rows; broadcast only under a checked size
-    n_off = offsets.count()
-    side = F.broadcast(offsets) if n_off <= BROADCAST_ROWS else offsets
+    if not keys:
+        # one row per partition (``parts`` rows, chosen above): prefix sums on
+        # the driver, broadcast back
+        rows = sorted((r["_pid"], r["_n"], r["_first"]) for r in per_part.collect())
+        acc, table = 0, []
+        for pid, cnt, first in rows:
+            table.append((pid, first, acc))
+            acc += cnt
+        side = F.broadcast(spark.createDataFrame(table, "_pid int, _first long, _off long"))
+    else:
+        before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = per_part.select(
+            *keys, "_pid", "_first",
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+        )
+        # at most partitions + series rows; broadcast only under a checked size
+        n_off = offsets.count()
+        side = F.broadcast(offsets) if n_off <= BROADCAST_ROWS else offsets
     return pos.join(side, [*keys, "_pid"]).select(
         *df.columns,
         (F.col("_off") + F.col("_pos") - F.col("_first")).cast("long").alias(idx_col),
     )
 
 
+def block_size(n_rows: int, window: int, block_rows: int, parallelism: int) -> int:
+    """Records per halo block: at most ``block_rows``, small enough that every
+    core gets several blocks, and at least ``16*W`` so the halo stays a few
+    percent of the data."""
+    per_task = math.ceil(max(n_rows, 1) / (4 * max(parallelism, 1)))
+    return max(window - 1, 1, min(block_rows, max(per_task, 16 * window)))
+
+
 def halo_blocks(indexed: DataFrame, window: int, block_rows: int, idx_col: str = "idx") -> DataFrame:
     """Adds ``blk`` (the block a copy belongs to) and ``own`` (the copy in the
     record's own block). One scan: halo copies come from ``explode``."""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from riskwin.config import PORTFOLIO, STATS, RiskParams
 from riskwin.functions.names import flag_name, window_name
-from riskwin.functions.overrun import overrun
+from riskwin.functions.overrun import overrun_vs_scalar
 from riskwin.operators.batch import BatchStats
 
 
@@ -33,8 +33,8 @@ def overrun_flags(windows: DataFrame, baseline: BatchStats, assets: Sequence[str
     for s in stats:
         for t in [*assets, PORTFOLIO]:
             b = baseline.get(t, s)
-            cols.append(overrun(F.col(window_name(t, s)), F.lit(b).cast("double"),
-                                params.threshold).alias(flag_name(t, s)))
+            cols.append(overrun_vs_scalar(F.col(window_name(t, s)), b, params.threshold)
+                        .alias(flag_name(t, s)))
     return windows.select(*cols)
 
 

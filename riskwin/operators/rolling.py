@@ -22,17 +22,20 @@ from pyspark.sql import functions as F
 from riskwin.config import PORTFOLIO, STATS, RiskParams
 from riskwin.functions import window_arrays as wa
 from riskwin.functions.names import window_name
-from riskwin.operators.index import halo_blocks
+from riskwin.operators.index import block_size, halo_blocks
 
 
 def window_frames(indexed: DataFrame, assets: Sequence[str], params: RiskParams,
                   keys: Sequence[str] = (), idx_col: str = "idx",
-                  carry: Sequence[str] = ()) -> DataFrame:
+                  carry: Sequence[str] = (), n_rows: int | None = None) -> DataFrame:
     """(keys..., window_index, carry..., l_<asset>...) for every complete
     frame. ``carry``: per-row columns passed through (e.g. a per-series
-    count)."""
+    count). ``n_rows``: total record count, sizes the blocks."""
     W = params.window
-    blocks = halo_blocks(indexed.select(*keys, idx_col, *carry, *assets), W, params.block_rows, idx_col)
+    B = params.block_rows
+    if n_rows is not None:
+        B = block_size(n_rows, W, params.block_rows, indexed.sparkSession.sparkContext.defaultParallelism)
+    blocks = halo_blocks(indexed.select(*keys, idx_col, *carry, *assets), W, B, idx_col)
     w = Window.partitionBy(*keys, "blk").orderBy(idx_col).rowsBetween(Window.currentRow, W - 1)
     lists = [F.collect_list(a).over(w).alias(f"l_{a}") for a in assets]
     framed = blocks.select(*keys, idx_col, *carry, "own", *lists)
@@ -47,7 +50,7 @@ def _stat_columns(l, s, m, size: int, n_assets: int, divisor_count: int,
         "median": wa.median(s, size, params.median),
         "tenth": wa.tenth(s, size, n_assets, params.quantile_index),
         "tail_mean": wa.tail_mean(s, size, n_assets),
-        "safety": wa.safety(l, m, divisor_count),
+        "safety": wa.safety(l, m, divisor_count, size),
     }
 
 
@@ -55,7 +58,7 @@ def rolling_stats(indexed: DataFrame, assets: Sequence[str], n_full: int,
                   params: RiskParams = RiskParams(), keys: Sequence[str] = (),
                   stats: Sequence[str] = STATS, portfolio: bool = True,
                   idx_col: str = "idx", names: str = "reference",
-                  carry: Sequence[str] = ()) -> DataFrame:
+                  carry: Sequence[str] = (), n_rows: int | None = None) -> DataFrame:
     """One row per complete window with ``len(stats) * (n+1)`` statistics.
 
     ``n_full``: full-history record count, the divisor of the original
@@ -65,20 +68,27 @@ def rolling_stats(indexed: DataFrame, assets: Sequence[str], n_full: int,
     ``<stat>`` (single asset) or ``<target>_<stat>``."""
     assets = list(assets)
     W, n = params.window, len(assets)
-    frames = window_frames(indexed, assets, params, keys, idx_col, carry)
+    if n_rows is None and isinstance(n_full, int) and not keys:
+        n_rows = n_full
+    frames = window_frames(indexed, assets, params, keys, idx_col, carry, n_rows)
     parts = {}
     for a in assets:
         l = F.col(f"l_{a}")
-        parts[a] = (l, F.array_sort(l), W, 1)
+        parts[a] = (l, F.sort_array(l), W, 1)
     if portfolio and n > 1:
         pooled = F.flatten(F.array(*[F.col(f"l_{a}") for a in assets]))
-        parts[PORTFOLIO] = (F.col(f"l_{PORTFOLIO}"), F.array_sort(F.col(f"l_{PORTFOLIO}")), W * n, n)
+        parts[PORTFOLIO] = (F.col(f"l_{PORTFOLIO}"), F.sort_array(F.col(f"l_{PORTFOLIO}")), W * n, n)
         frames = frames.withColumn(f"l_{PORTFOLIO}", pooled)
 
     # step 1: sorted arrays and means, once per row
     sel = [*keys, "window_index", *carry]
     for t, (l, s, size, k) in parts.items():
-        sel += [l.alias(f"l_{t}"), s.alias(f"s_{t}"), wa.mean(l, size).alias(f"m_{t}")]
+        if t == PORTFOLIO:
+            # equal-length asset frames: the pooled mean is the mean of means
+            m = sum((wa.mean(F.col(f"l_{a}"), W) for a in assets), F.lit(0.0)) / F.lit(float(n))
+        else:
+            m = wa.mean(l, size)
+        sel += [l.alias(f"l_{t}"), s.alias(f"s_{t}"), m.alias(f"m_{t}")]
     step = frames.select(*sel)
 
     # step 2: statistics read off the arrays

@@ -27,10 +27,12 @@ def rolling_by_series(long: DataFrame, params: RiskParams = RiskParams(), key: s
                       order: str = "ID", value: str = "yield") -> DataFrame:
     """(series, window_index, mean, median, tenth, tail_mean, safety)."""
     counts = long.groupBy(key).agg(F.count(F.lit(1)).alias("_n_full"))
+    n_rows = counts.agg(F.sum("_n_full")).collect()[0][0] or 0
     indexed = dense_index(long.select(key, order, value), order, keys=[key])
     indexed = indexed.join(_small_side(counts), key)
     return rolling_stats(indexed, [value], F.col("_n_full"), params, keys=[key],
-                         portfolio=False, names="plain", carry=["_n_full"]).drop("_n_full")
+                         portfolio=False, names="plain", carry=["_n_full"],
+                         n_rows=int(n_rows)).drop("_n_full")
 
 
 def flags_by_series(long: DataFrame, params: RiskParams = RiskParams(), key: str = "series",

@@ -27,7 +27,8 @@ Y2 = """y AS (SELECT l_orderkey AS ID,
 
 
 def _r(expr: str, digits: int = D) -> str:
-    return f"round({expr}, {digits})"
+    """Half-even on the binary value, as the Spark side rounds."""
+    return f"(round_even(({expr}) * 1e{digits}, 0) / 1e{digits})"
 
 
 # ---- full-history statistics ---------------------------------------------------
@@ -250,7 +251,7 @@ filled AS (SELECT month, asset, share,
 val AS (SELECT month, count(price) AS assets_priced, sum(share * price) AS v FROM filled GROUP BY month),
 ok AS (SELECT * FROM val WHERE assets_priced = (SELECT count(*) FROM h))
 SELECT month, assets_priced, round(v, 2) AS portfolio_value,
-  round(v / first_value(v) OVER (ORDER BY month) - 1, 6) AS cumulative_return FROM ok"""
+  (round_even((v / first_value(v) OVER (ORDER BY month) - 1) * 1e6, 0) / 1e6) AS cumulative_return FROM ok"""
 
 
 def catalog_sql() -> dict[str, str]:

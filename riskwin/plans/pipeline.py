@@ -29,16 +29,18 @@ def prepare(wide: DataFrame, assets: Sequence[str] | None = None, id_col: str =
             params: RiskParams = RiskParams(), persist: bool = True) -> tuple[list[str], DataFrame]:
     """Select and index the wide table once; later passes reuse it.
 
-    The indexed table is persisted (memory, spilling to disk) because the
-    baseline needs three passes and the windows one more; a lost executor
-    only recomputes its own partitions from lineage."""
+    The selected columns are persisted (memory, spilling to disk): indexing
+    reads them up to three times (key range, range-boundary sample,
+    checkpoint) and the baseline three more, so a derived input (an
+    aggregation, a join) is computed once. A lost executor only recomputes
+    its own partitions from lineage."""
     assets = list(assets) if assets else asset_columns(wide, id_col)
     base = wide.select(id_col, *assets)
     if id_col != "ID":
         base = base.withColumnRenamed(id_col, "ID")
-    indexed = dense_index(base, "ID", rows_per_partition=params.block_rows)
     if persist:
-        indexed = indexed.persist(StorageLevel.MEMORY_AND_DISK)
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    indexed = dense_index(base, "ID", rows_per_partition=params.block_rows)
     return assets, indexed
 
 

@@ -76,7 +76,7 @@ class CountWindowMonitor:
         n_new = new.count()
         if n_new:
             both = halo.unionByName(new.select(*self.halo_schema.fieldNames()))
-            win = rolling_stats(both, self.assets, self.n_full, self.params)
+            win = rolling_stats(both, self.assets, self.n_full, self.params, n_rows=n_new + self.params.window)
             flags = overrun_flags(win, self.baseline, self.assets, self.params)
             flags.write.mode("overwrite").parquet(f"{self.sink}/batch_id={batch_id}")
             total = seen + n_new
