@@ -29,6 +29,10 @@ class RiskParams:
     by twice the full-history count (original behaviour); ``"window"`` by twice
     the window length.
     ``block_rows``: records per window block (halo blocks); must be >= W-1.
+    ``engine``: how window statistics are computed once Spark has formed
+    the halo blocks: ``"blocks"`` reduces each block with numpy inside
+    ``applyInPandas`` (vectorised, the default); ``"native"`` uses array
+    expressions over ``collect_list`` frames (no Python workers).
     ``exact_rank_limit``: largest number of candidate values one order
     statistic may hand to a single task; above it brackets are refined first.
     """
@@ -39,6 +43,7 @@ class RiskParams:
     quantile_index: str = "reference"
     safety_divisor: str = "history"
     block_rows: int = 1_000_000
+    engine: str = "blocks"
     exact_rank_limit: int = 2_000_000
     approx_accuracy: int = 20_000
     assets: tuple[str, ...] = field(default=())
@@ -52,5 +57,7 @@ class RiskParams:
             raise ValueError("median must be 'reference' or 'true'")
         if self.quantile_index not in ("reference", "disc"):
             raise ValueError("quantile_index must be 'reference' or 'disc'")
+        if self.engine not in ("blocks", "native"):
+            raise ValueError("engine must be 'blocks' or 'native'")
         if self.safety_divisor not in ("history", "window"):
             raise ValueError("safety_divisor must be 'history' or 'window'")

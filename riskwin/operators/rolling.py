@@ -68,6 +68,15 @@ def rolling_stats(indexed: DataFrame, assets: Sequence[str], n_full: int,
     ``<stat>`` (single asset) or ``<target>_<stat>``."""
     assets = list(assets)
     W, n = params.window, len(assets)
+    if params.engine == "blocks":
+        from riskwin.operators.rolling_blocks import rolling_stats_blocks
+
+        if isinstance(n_full, int):
+            return rolling_stats_blocks(indexed, assets, n_full, params, keys, stats, portfolio,
+                                        idx_col, names, n_rows)
+        # a per-series count travels as the first carried column
+        return rolling_stats_blocks(indexed, assets, None, params, keys, stats, portfolio,
+                                    idx_col, names, n_rows, n_full_col=carry[0])
     if n_rows is None and isinstance(n_full, int) and not keys:
         n_rows = n_full
     frames = window_frames(indexed, assets, params, keys, idx_col, carry, n_rows)
@@ -80,16 +89,17 @@ def rolling_stats(indexed: DataFrame, assets: Sequence[str], n_full: int,
         parts[PORTFOLIO] = (F.col(f"l_{PORTFOLIO}"), F.sort_array(F.col(f"l_{PORTFOLIO}")), W * n, n)
         frames = frames.withColumn(f"l_{PORTFOLIO}", pooled)
 
-    # step 1: sorted arrays and means, once per row
+    # step 1: sorted arrays and asset means, once per row
     sel = [*keys, "window_index", *carry]
     for t, (l, s, size, k) in parts.items():
-        if t == PORTFOLIO:
-            # equal-length asset frames: the pooled mean is the mean of means
-            m = sum((wa.mean(F.col(f"l_{a}"), W) for a in assets), F.lit(0.0)) / F.lit(float(n))
-        else:
-            m = wa.mean(l, size)
-        sel += [l.alias(f"l_{t}"), s.alias(f"s_{t}"), m.alias(f"m_{t}")]
+        sel += [l.alias(f"l_{t}"), s.alias(f"s_{t}")]
+        if t != PORTFOLIO:
+            sel.append(wa.mean(l, size).alias(f"m_{t}"))
     step = frames.select(*sel)
+    if PORTFOLIO in parts:
+        # equal-length asset frames: the pooled mean is the mean of the means
+        pooled_mean = sum((F.col(f"m_{a}") for a in assets), F.lit(0.0)) / F.lit(float(n))
+        step = step.select("*", pooled_mean.alias(f"m_{PORTFOLIO}"))
 
     # step 2: statistics read off the arrays
     out = [*keys, "window_index"]

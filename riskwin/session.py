@@ -58,3 +58,33 @@ def local_path(path: str) -> str:
 def ensure_dir(path: str) -> str:
     os.makedirs(local_path(path), exist_ok=True)
     return path
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``riskwin`` importable in Python workers (once per context).
+
+    Zips the package into the shared checkpoint folder and registers it
+    with ``addPyFile``, the standard way to ship code to executors."""
+    sc = spark.sparkContext
+    if getattr(sc, "_riskwin_shipped", False):
+        return
+    import io
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    target = scratch_path(spark, "pkg") + ".zip"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    out.write(bytearray(buf.getvalue()))
+    out.close()
+    sc.addPyFile(target)
+    sc._riskwin_shipped = True

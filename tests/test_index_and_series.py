@@ -56,9 +56,10 @@ def _series(spark):
     return spark.createDataFrame([rows[i] for i in perm], "series string, ID long, yield double"), by
 
 
-def test_rolling_by_series(spark):
+@pytest.mark.parametrize("engine", ["blocks", "native"])
+def test_rolling_by_series(spark, engine):
     long, by = _series(spark)
-    got = rolling_by_series(long, RiskParams(block_rows=40)).collect()
+    got = rolling_by_series(long, RiskParams(block_rows=40, engine=engine)).collect()
     for key, vals in by.items():
         mine = sorted((r for r in got if r["series"] == key), key=lambda r: r["window_index"])
         assert len(mine) == max(len(vals) - 29, 0)

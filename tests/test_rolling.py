@@ -40,11 +40,15 @@ def expected(arr, params, order=None):
     return rows
 
 
+ENGINES = ["blocks", "native"]
+
+
+@pytest.mark.parametrize("engine", ENGINES)
 @pytest.mark.parametrize("n,block", [(29, 64), (30, 64), (31, 64), (157, 29), (157, 40), (300, 1000)])
-def test_halo_blocks_equal_global_window(spark, n, block):
+def test_halo_blocks_equal_global_window(spark, n, block, engine):
     rng = np.random.default_rng(n + block)
     arr = rng.normal(0, 0.05, size=(n, 2))
-    params = RiskParams(block_rows=block)
+    params = RiskParams(block_rows=block, engine=engine)
     got = run(spark, arr, params)
     exp = expected(arr, params)
     assert len(got) == len(exp) == max(n - 29, 0)
@@ -54,12 +58,13 @@ def test_halo_blocks_equal_global_window(spark, n, block):
     assert [r["window_index"] for r in got] == list(range(len(exp)))
 
 
+@pytest.mark.parametrize("engine", ENGINES)
 @pytest.mark.parametrize("opts", [dict(median="true"), dict(quantile_index="disc"),
                                   dict(safety_divisor="window"), dict(window=7, block_rows=10)])
-def test_options(spark, opts):
+def test_options(spark, opts, engine):
     rng = np.random.default_rng(5)
     arr = rng.normal(0, 0.05, size=(80, 2))
-    params = RiskParams(**opts)
+    params = RiskParams(engine=engine, **opts)
     got = run(spark, arr, params)
     exp = expected(arr, params)
     assert len(got) == len(exp)
@@ -68,13 +73,14 @@ def test_options(spark, opts):
             assert g[k] == pytest.approx(v, abs=1e-12), k
 
 
-def test_gapped_shuffled_ids(spark):
+@pytest.mark.parametrize("engine", ENGINES)
+def test_gapped_shuffled_ids(spark, engine):
     rng = np.random.default_rng(9)
     n = 120
     ids = np.sort(rng.choice(10_000, size=n, replace=False)) + 5
     arr = rng.normal(0, 0.05, size=(n, 2))
     perm = rng.permutation(n)
-    params = RiskParams(block_rows=33)
+    params = RiskParams(block_rows=33, engine=engine)
     got = run(spark, arr[perm], params, ids=ids[perm])
     exp = expected(arr, params)
     assert len(got) == len(exp)
