@@ -22,7 +22,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,22 +135,84 @@ def stats_from_values(values: DataFrame, counts: dict[str, int], means: dict[str
     return BatchStats(targets, counts, out)
 
 
+def _one_pass_stats(values: DataFrame) -> dict[str, dict]:
+    """Every statistic of every target in one job, for targets whose values
+    fit one task each (the caller checks the count against the limit).
+
+    Values are counted per distinct value (ties collapse), then one window
+    per target gives running counts, the target's count and sum; ranks are
+    computed in the plan with the same binary arithmetic as ``rank_plan``."""
+    t, x, c = F.col("target"), F.col("x"), F.col("c")
+    vc = values.groupBy("target", "x").agg(F.count(F.lit(1)).alias("c"))
+    whole = Window.partitionBy("target")
+    upto = whole.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    vc = vc.select("target", "x", "c", F.sum(c).over(upto).alias("cum"),
+                   F.sum(c).over(whole).alias("n"), F.sum(c * x).over(whole).alias("sx"))
+    n = F.col("n").cast("double")
+    ranks = {
+        "tenth": F.ceil(F.lit(TAIL_SHARE) * n),
+        "med_lo": F.ceil(F.lit(0.5) * n),
+        "med_hi": F.ceil(((F.col("n") / 2).cast("long") + 1).cast("double") / n * n),
+        "tail": F.floor(F.lit(TAIL_SHARE) * n),
+    }
+    prev, cum = F.col("cum") - c, F.col("cum")
+    m = F.col("sx") / n
+    aggs = [F.first("n").alias("n"), F.first("sx").alias("sx")]
+    aggs += [F.max(F.when((prev < r) & (r <= cum), x)).alias(name) for name, r in ranks.items()]
+    aggs += [
+        F.sum(F.when(cum <= ranks["tail"], c * x).otherwise(F.lit(0.0))).alias("below_sum"),
+        F.sum(F.when(cum <= ranks["tail"], c).otherwise(F.lit(0))).alias("below_n"),
+        F.sum(c * F.abs(x - m)).alias("absdev"),
+    ]
+    return {r["target"]: r.asDict() for r in vc.groupBy("target").agg(*aggs).collect()}
+
+
+def _from_one_pass(rows: dict[str, dict], targets: list[str], means: dict[str, float]) -> BatchStats:
+    counts = {tg: int(rows[tg]["n"]) if tg in rows else 0 for tg in targets}
+    out: dict[tuple[str, str], float | None] = {}
+    for tg in targets:
+        r, n = rows.get(tg), counts[tg]
+        out[(tg, "mean")] = means.get(tg)
+        if not r or n == 0:
+            for s in ("median", "tenth", "tail_mean", "safety"):
+                out[(tg, s)] = None
+            continue
+        out[(tg, "median")] = round((r["med_hi"] + r["med_lo"]) / 2, BATCH_MEDIAN_DIGITS)
+        out[(tg, "tenth")] = r["tenth"]
+        k = int(TAIL_SHARE * n)
+        out[(tg, "tail_mean")] = (r["below_sum"] + (k - r["below_n"]) * r["tail"]) / k if k else None
+        out[(tg, "safety")] = means[tg] - r["absdev"] / (2 * n)
+    return BatchStats(targets, counts, out)
+
+
 def full_history_stats(wide: DataFrame, assets: Sequence[str],
-                       params: RiskParams = RiskParams()) -> BatchStats:
-    """All five statistics for every asset column and the pooled portfolio."""
+                       params: RiskParams = RiskParams(), n: int | None = None) -> BatchStats:
+    """All five statistics for every asset column and the pooled portfolio.
+
+    ``n``: the record count when the caller knows it. If every target fits
+    ``params.exact_rank_limit`` the whole baseline is one job; otherwise
+    three passes with bracketed exact ranks."""
     assets = list(assets)
-    first = wide.agg(F.count(F.lit(1)).alias("n"), *[F.avg(a).alias(a) for a in assets]).collect()[0]
-    n = int(first["n"])
+    targets = [*assets, PORTFOLIO]
+    if n is None:
+        n = wide.count()
+    if n == 0:
+        counts = {a: 0 for a in assets} | {PORTFOLIO: 0}
+        return BatchStats(targets, counts, {(t, s): None for t in targets for s in STATS})
+    values = stack_targets(wide, assets)
+    if n * len(assets) <= params.exact_rank_limit:
+        rows = _one_pass_stats(values)
+        means = {a: rows[a]["sx"] / rows[a]["n"] for a in assets}
+        # the portfolio mean is the mean of the asset means (equal counts)
+        means[PORTFOLIO] = sum(means[a] for a in assets) / len(assets)
+        return _from_one_pass(rows, targets, means)
+    first = wide.agg(*[F.avg(a).alias(a) for a in assets]).collect()[0]
     means = {a: first[a] for a in assets}
-    # the portfolio mean is the mean of the asset means (equal counts)
-    means[PORTFOLIO] = sum(means.values()) / len(assets) if n else None
+    means[PORTFOLIO] = sum(means.values()) / len(assets)
     counts = {a: n for a in assets}
     counts[PORTFOLIO] = n * len(assets)
-    if n == 0:
-        return BatchStats([*assets, PORTFOLIO], counts, {(t, s): None for t in [*assets, PORTFOLIO] for s in STATS})
-    values = stack_targets(wide, assets)
     st = stats_from_values(values, counts, means, params)
-    st.targets = [*assets, PORTFOLIO]
+    st.targets = targets
     return st
 
 
@@ -158,13 +220,17 @@ def keyed_history_stats(long: DataFrame, key_col: str, value_col: str,
                         params: RiskParams = RiskParams()) -> BatchStats:
     """The same statistics for every key of a long table (one series per key).
 
-    One target per key: counts, means and ranks are per key; the number of
-    keys reaches the driver as scalars, so it must be modest (series, not
-    records)."""
+    One target per key; per-key scalars reach the driver, so the number of
+    keys must be modest (series, not records). Keys whose values fit the
+    exact-rank limit are done in one job."""
+    values = long.select(F.col(key_col).cast("string").alias("target"), F.col(value_col).alias("x"))
     first = long.groupBy(key_col).agg(F.count(F.lit(1)).alias("n"), F.avg(value_col).alias("m")).collect()
     counts = {str(r[key_col]): int(r["n"]) for r in first}
     means = {str(r[key_col]): r["m"] for r in first}
-    values = long.select(F.col(key_col).cast("string").alias("target"), F.col(value_col).alias("x"))
+    if counts and max(counts.values()) <= params.exact_rank_limit:
+        rows = _one_pass_stats(values)
+        st = _from_one_pass(rows, sorted(counts), means)
+        return st
     st = stats_from_values(values, counts, means, params)
     st.targets = sorted(counts)
     return st

@@ -32,7 +32,7 @@ BROADCAST_ROWS = 1_000_000
 
 def dense_index(df: DataFrame, order_col: str = "ID", keys: Sequence[str] = (),
                 idx_col: str = "idx", rows_per_partition: int = 2_000_000,
-                assume_contiguous: bool | None = None) -> DataFrame:
+                assume_contiguous: bool | None = None, n_rows: int | None = None) -> DataFrame:
     keys = list(keys)
     spark = df.sparkSession
     if not keys and assume_contiguous is not False:
@@ -41,10 +41,12 @@ def dense_index(df: DataFrame, order_col: str = "ID", keys: Sequence[str] = (),
             return df.withColumn(idx_col, F.lit(None).cast("long"))
         if assume_contiguous or (hi - lo + 1 == n):
             # keys are unique (record numbers), so a full range means no gaps
-            return df.withColumn(idx_col, (F.col(order_col) - F.lit(lo)).cast("long"))
+            out = df.withColumn(idx_col, (F.col(order_col) - F.lit(lo)).cast("long"))
+            out.row_count = int(n)
+            return out
         total = n
     else:
-        total = df.count()
+        total = n_rows if n_rows is not None else df.count()
     checkpoint_root(spark)
     parts = max(spark.sparkContext.defaultParallelism, math.ceil(total / rows_per_partition), 1)
     ranged = (
@@ -76,10 +78,12 @@ def dense_index(df: DataFrame, order_col: str = "ID", keys: Sequence[str] = (),
         # at most partitions + series rows; broadcast only under a checked size
         n_off = offsets.count()
         side = F.broadcast(offsets) if n_off <= BROADCAST_ROWS else offsets
-    return pos.join(side, [*keys, "_pid"]).select(
+    out = pos.join(side, [*keys, "_pid"]).select(
         *df.columns,
         (F.col("_off") + F.col("_pos") - F.col("_first")).cast("long").alias(idx_col),
     )
+    out.row_count = int(total)  # known here; saves callers a count
+    return out
 
 
 def block_size(n_rows: int, window: int, block_rows: int, parallelism: int) -> int:

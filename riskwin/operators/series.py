@@ -19,17 +19,20 @@ from riskwin.operators.index import BROADCAST_ROWS, dense_index
 from riskwin.operators.rolling import rolling_stats
 
 
-def _small_side(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Broadcast a per-series table only under a checked row count."""
+    rows = df.count() if rows is None else rows
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def rolling_by_series(long: DataFrame, params: RiskParams = RiskParams(), key: str = "series",
                       order: str = "ID", value: str = "yield") -> DataFrame:
     """(series, window_index, mean, median, tenth, tail_mean, safety)."""
     counts = long.groupBy(key).agg(F.count(F.lit(1)).alias("_n_full"))
-    n_rows = counts.agg(F.sum("_n_full")).collect()[0][0] or 0
-    indexed = dense_index(long.select(key, order, value), order, keys=[key])
-    indexed = indexed.join(_small_side(counts), key)
+    n_series, n_rows = counts.agg(F.count(F.lit(1)), F.sum("_n_full")).collect()[0]
+    n_rows = int(n_rows or 0)
+    indexed = dense_index(long.select(key, order, value), order, keys=[key], n_rows=n_rows)
+    indexed = indexed.join(_small_side(counts, n_series), key)
     return rolling_stats(indexed, [value], F.col("_n_full"), params, keys=[key],
                          portfolio=False, names="plain", carry=["_n_full"],
                          n_rows=int(n_rows)).drop("_n_full")
@@ -43,6 +46,6 @@ def flags_by_series(long: DataFrame, params: RiskParams = RiskParams(), key: str
     bdf = base.per_target(spark).select(
         F.col("target").alias(key), *[F.col(s).alias(f"b_{s}") for s in STATS])
     win = rolling_by_series(long, params, key, order, value)
-    joined = win.join(_small_side(bdf), key)
+    joined = win.join(_small_side(bdf, len(base.targets)), key)
     return joined.select(key, "window_index", *[
         overrun(F.col(s), F.col(f"b_{s}"), params.threshold).alias(f"{s}_ovr") for s in STATS])

@@ -47,6 +47,11 @@ def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     ])
 
 
+def _rows(indexed: DataFrame) -> int:
+    n = getattr(indexed, "row_count", None)
+    return int(n) if n is not None else indexed.count()
+
+
 def _y1(spark, sf):
     return fx.wide_from_embeddings(spark, sf)
 
@@ -104,22 +109,19 @@ def dense_index_q(spark, sf):
 def _rolling_stat(stat: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark, sf):
         assets, indexed = prepare(_y1(spark, sf), fx.asset_names(6), params=PARAMS, persist=False)
-        n = indexed.count()
-        return round_doubles(rolling_stats(indexed, assets, n, PARAMS, stats=[stat]))
+        return round_doubles(rolling_stats(indexed, assets, _rows(indexed), PARAMS, stats=[stat]))
     return q
 
 
 def rolling_portfolio(spark, sf):
     assets, indexed = prepare(_y1(spark, sf), fx.asset_names(6), params=PARAMS, persist=False)
-    n = indexed.count()
-    win = rolling_stats(indexed, assets, n, PARAMS)
+    win = rolling_stats(indexed, assets, _rows(indexed), PARAMS)
     return round_doubles(win.select("window_index", *[window_name(PORTFOLIO, s) for s in STATS]))
 
 
 def rolling_all(spark, sf):
     assets, indexed = prepare(_y2(spark, sf), fx.asset_names(6), params=PARAMS)
-    n = indexed.count()
-    return round_doubles(rolling_stats(indexed, assets, n, PARAMS))
+    return round_doubles(rolling_stats(indexed, assets, _rows(indexed), PARAMS))
 
 
 # ---- overrun monitor -------------------------------------------------------

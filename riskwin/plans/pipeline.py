@@ -47,7 +47,10 @@ def prepare(wide: DataFrame, assets: Sequence[str] | None = None, id_col: str =
 def run_monitor(wide: DataFrame, assets: Sequence[str] | None = None, id_col: str = "ID",
                 params: RiskParams = RiskParams()) -> Monitor:
     assets, indexed = prepare(wide, assets, id_col, params)
-    baseline = full_history_stats(indexed, assets, params)
+    n = getattr(indexed, "row_count", None)
+    if n is None:
+        n = indexed.count()
+    baseline = full_history_stats(indexed, assets, params, n=n)
     n = baseline.counts[assets[0]]
     windows = rolling_stats(indexed, assets, n, params)
     flags = overrun_flags(windows, baseline, assets, params)
