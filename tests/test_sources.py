@@ -33,3 +33,32 @@ def test_text_roundtrip(spark):
     good, bad = read_yield_text(spark, path, 6)
     assert bad.count() == 0
     assert sorted(good.collect()) == sorted(df.collect())
+
+
+def test_sampler_generator_parameters(spark):
+    import numpy as np
+
+    from riskwin.sources.sampler import (GENERATOR_LOCATION, GENERATOR_SCALE, generator_draws_for,
+                                         min_acceptance, tries_per_round, truncated_t)
+
+    acc = min_acceptance(GENERATOR_LOCATION, GENERATOR_SCALE, 4, [-0.1] * 6, [0.1] * 6)
+    assert 0.9 < acc < 1.0
+    assert tries_per_round(acc) <= 12
+    ids = spark.range(1, 20001).withColumnRenamed("id", "ID")
+    draws = generator_draws_for(ids)
+    rows = draws.collect()
+    assert len(rows) == 20000 and len({r["ID"] for r in rows}) == 20000
+    x = np.array([[r[f"asset_{i}"] for i in range(1, 7)] for r in rows])
+    assert x.min() >= -0.1 and x.max() <= 0.1
+    # nearly uniform on the box: mean near the box centre, variance near 0.2^2/12
+    assert np.abs(x.mean(axis=0)).max() < 0.01
+    assert np.abs(x.var(axis=0) - 0.04 / 12).max() < 0.0005
+    # the same ids give the same draws (pure function of id and seed)
+    again = {r["ID"]: r["asset_3"] for r in generator_draws_for(ids.repartition(3)).collect()}
+    assert all(again[r["ID"]] == r["asset_3"] for r in rows[:500])
+    # a concentrated target inside a wide box: acceptance is low but above the floor
+    small = truncated_t(spark, 3000, [0.0, 0.0], [[0.5, 0.1], [0.1, 0.5]], 4, [-1, -1], [1, 1]).collect()
+    assert len(small) == 3000
+    import pytest
+    with pytest.raises(ValueError):
+        truncated_t(spark, 10, [0.0, 0.0], [[1e-4, 0], [0, 1e-4]], 4, [-1, -1], [1, 1])
