@@ -31,7 +31,7 @@ BROADCAST_ROWS = 1_000_000
 
 
 def dense_index(df: DataFrame, order_col: str = "ID", keys: Sequence[str] = (),
-                idx_col: str = "idx", rows_per_partition: int = 2_000_000,
+                idx_col: str = "idx", rows_per_partition: int = 8_000_000,
                 assume_contiguous: bool | None = None, n_rows: int | None = None) -> DataFrame:
     keys = list(keys)
     spark = df.sparkSession

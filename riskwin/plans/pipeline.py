@@ -25,22 +25,33 @@ class Monitor:
     flags: DataFrame
 
 
+DERIVED = ("Aggregate", "Join", "Window", "Generate", "Union", "Expand")
+
+
+def is_derived(df: DataFrame) -> bool:
+    """True when the plan computes its rows (aggregation, join, ...) rather
+    than reading and projecting files, so re-reading it would redo work."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(op in plan for op in DERIVED)
+
+
 def prepare(wide: DataFrame, assets: Sequence[str] | None = None, id_col: str = "ID",
-            params: RiskParams = RiskParams(), persist: bool = True) -> tuple[list[str], DataFrame]:
+            params: RiskParams = RiskParams(), persist: bool | str = "auto") -> tuple[list[str], DataFrame]:
     """Select and index the wide table once; later passes reuse it.
 
-    The selected columns are persisted (memory, spilling to disk): indexing
-    reads them up to three times (key range, range-boundary sample,
-    checkpoint) and the baseline three more, so a derived input (an
-    aggregation, a join) is computed once. A lost executor only recomputes
+    Indexing reads the input up to three times (key range, range-boundary
+    sample, checkpoint) and the baseline and windows read it again. A plain
+    file scan is cheap to re-read (pruned columns, pushed filters); a derived
+    input (an aggregation, a join) is persisted (memory, spilling to disk) so
+    it is computed once (``persist="auto"``). A lost executor only recomputes
     its own partitions from lineage."""
     assets = list(assets) if assets else asset_columns(wide, id_col)
     base = wide.select(id_col, *assets)
     if id_col != "ID":
         base = base.withColumnRenamed(id_col, "ID")
-    if persist:
+    if persist is True or (persist == "auto" and is_derived(base)):
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    indexed = dense_index(base, "ID", rows_per_partition=params.block_rows)
+    indexed = dense_index(base, "ID")
     return assets, indexed
 
 

@@ -42,6 +42,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _done_batches(spark: SparkSession, folder: str) -> list[int]:
+    """Batch ids with a completed state table under ``folder`` (one listing)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    ids = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("batch_id=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            ids.append(int(name.split("=", 1)[1]))
+    return sorted(ids)
+
+
 class CountWindowMonitor:
     """``foreachBatch`` handler carrying the halo between micro-batches."""
 
@@ -53,24 +68,27 @@ class CountWindowMonitor:
         fields += [T.StructField(a, T.DoubleType()) for a in self.assets]
         self.halo_schema = T.StructType(fields)
 
-    def _previous(self, batch_id: int) -> tuple[DataFrame, int, int | None]:
-        """(halo, records seen, last ID) after batch ``batch_id - 1``."""
-        for b in range(batch_id - 1, -1, -1):
-            path = f"{self.state}/batch_id={b}"
-            if _exists(self.spark, f"{path}/_SUCCESS"):
-                full = T.StructType([*self.halo_schema.fields, T.StructField("seen", T.LongType()),
-                                     T.StructField("last_id", T.LongType())])
-                halo = self.spark.read.schema(full).parquet(path)
-                meta = halo.agg(F.max("seen"), F.max("last_id")).collect()[0]
-                if meta[0] is None:  # empty halo: nothing seen yet
-                    break
-                return halo.select(*self.halo_schema.fieldNames()), int(meta[0]), meta[1]
-        return self.spark.createDataFrame([], self.halo_schema), 0, None
+    def _previous(self, batch_id: int) -> tuple[DataFrame, int, int | None, int]:
+        """(halo, records seen, last ID, late records) after the latest
+        completed batch before ``batch_id``."""
+        done = [i for i in _done_batches(self.spark, f"{self.state}/meta") if i < batch_id]
+        if not done:
+            return self.spark.createDataFrame([], self.halo_schema), 0, None, 0
+        b = done[-1]
+        meta = self.spark.read.parquet(f"{self.state}/meta/batch_id={b}").collect()[0]
+        halo = self.spark.read.schema(self.halo_schema).parquet(f"{self.state}/halo/batch_id={b}")
+        return halo, int(meta["seen"]), meta["last_id"], int(meta["late"])
+
+    def late_records(self) -> int:
+        """Records dropped so far because their ID was not above the last seen."""
+        done = _done_batches(self.spark, f"{self.state}/meta")
+        return self._previous(done[-1] + 1)[3] if done else 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        halo, seen, last_id = self._previous(batch_id)
+        halo, seen, last_id, late = self._previous(batch_id)
         rows = batch.select("ID", *self.assets)
         if last_id is not None:
+            late += batch.where(F.col("ID") <= F.lit(last_id)).count()
             rows = rows.where(F.col("ID") > F.lit(last_id))
         new = dense_index(rows, "ID").withColumn("idx", F.col("idx") + F.lit(seen)).persist()
         n_new = new.count()
@@ -84,9 +102,10 @@ class CountWindowMonitor:
             new_last = new.agg(F.max("ID")).collect()[0][0]
         else:
             total, keep, new_last = seen, halo, last_id
-        keep.select("*", F.lit(total).cast("long").alias("seen"),
-                    F.lit(new_last).cast("long").alias("last_id")) \
-            .write.mode("overwrite").parquet(f"{self.state}/batch_id={batch_id}")
+        # halo first, counters last: a batch counts as done once its counters exist
+        keep.write.mode("overwrite").parquet(f"{self.state}/halo/batch_id={batch_id}")
+        self.spark.createDataFrame([(total, new_last, late)], "seen long, last_id long, late long") \
+            .coalesce(1).write.mode("overwrite").parquet(f"{self.state}/meta/batch_id={batch_id}")
         new.unpersist()
 
 

@@ -35,3 +35,31 @@ def test_portfolio_value_carry_forward(spark):
     assert [r["portfolio_value"] for r in rows] == [72.0, 67.0, 71.0, 66.0]
     assert rows[0]["cumulative_return"] == 0.0
     assert rows[-1]["cumulative_return"] == pytest.approx(66.0 / 72.0 - 1)
+
+
+def test_stream_drops_and_counts_late_records(spark):
+    import numpy as np
+
+    from riskwin.operators.batch import full_history_stats
+    from riskwin.session import scratch_path
+    from riskwin.streaming.count_window import CountWindowMonitor, run_stream
+
+    assets = ["asset_1", "asset_2"]
+    rng = np.random.default_rng(12)
+    vals = rng.normal(0, 0.05, size=(90, 2))
+    rows = [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(vals)]
+    schema = "ID long, asset_1 double, asset_2 double"
+    full = spark.createDataFrame(rows, schema)
+    params = RiskParams(block_rows=40)
+    src = scratch_path(spark, "late-src")
+    # three files in ID order; the third also repeats ID 10 (late)
+    for chunk in (rows[:35], rows[35:60], rows[60:] + [(10, 9.0, 9.0)]):
+        spark.createDataFrame(chunk, schema).coalesce(1).write.mode("append").parquet(src)
+    base = full_history_stats(full, assets, params)
+    sink, state = scratch_path(spark, "late-sink"), scratch_path(spark, "late-state")
+    handler = CountWindowMonitor(spark, assets, base, 90, sink, state, params)
+    run_stream(spark, src, full.schema, handler, scratch_path(spark, "late-ck"))
+    streamed = spark.read.parquet(sink).drop("batch_id")
+    batch = run_monitor(full, assets, params=params).flags
+    assert sorted(map(tuple, streamed.select(*batch.columns).collect())) == sorted(map(tuple, batch.collect()))
+    assert handler.late_records() == 1
