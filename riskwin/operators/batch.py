@@ -135,9 +135,10 @@ def stats_from_values(values: DataFrame, counts: dict[str, int], means: dict[str
     return BatchStats(targets, counts, out)
 
 
-def _one_pass_stats(values: DataFrame) -> dict[str, dict]:
-    """Every statistic of every target in one job, for targets whose values
-    fit one task each (the caller checks the count against the limit).
+def _one_pass_frame(values: DataFrame) -> DataFrame:
+    """Every statistic's ingredients for every target in one job, for
+    targets whose values fit one task each (the caller checks the count
+    against the limit). One row per target.
 
     Values are counted per distinct value (ties collapse), then one window
     per target gives running counts, the target's count and sum; ranks are
@@ -164,7 +165,27 @@ def _one_pass_stats(values: DataFrame) -> dict[str, dict]:
         F.sum(F.when(cum <= ranks["tail"], c).otherwise(F.lit(0))).alias("below_n"),
         F.sum(c * F.abs(x - m)).alias("absdev"),
     ]
-    return {r["target"]: r.asDict() for r in vc.groupBy("target").agg(*aggs).collect()}
+    return vc.groupBy("target").agg(*aggs)
+
+
+def _one_pass_stats(values: DataFrame) -> dict[str, dict]:
+    return {r["target"]: r.asDict() for r in _one_pass_frame(values).collect()}
+
+
+def _finish_frame(fr: DataFrame) -> DataFrame:
+    """(target, mean, median, tenth, tail_mean, safety) from one-pass rows,
+    in the plan (no driver round trip)."""
+    n = F.col("n").cast("double")
+    k = F.floor(F.lit(TAIL_SHARE) * n)
+    mean = F.col("sx") / n
+    return fr.select(
+        "target",
+        mean.alias("mean"),
+        F.round((F.col("med_hi") + F.col("med_lo")) / 2, BATCH_MEDIAN_DIGITS).alias("median"),
+        F.col("tenth"),
+        F.when(k > 0, (F.col("below_sum") + (k - F.col("below_n")) * F.col("tail")) / k).alias("tail_mean"),
+        (mean - F.col("absdev") / (F.lit(2.0) * n)).alias("safety"),
+    )
 
 
 def _from_one_pass(rows: dict[str, dict], targets: list[str], means: dict[str, float]) -> BatchStats:
@@ -216,21 +237,42 @@ def full_history_stats(wide: DataFrame, assets: Sequence[str],
     return st
 
 
+def keyed_stats_frame(long: DataFrame, key_col: str, value_col: str,
+                      params: RiskParams = RiskParams()) -> tuple[DataFrame, int]:
+    """(key, mean, median, tenth, tail_mean, safety) per key as a DataFrame,
+    plus the number of keys.
+
+    Keys whose values fit ``exact_rank_limit`` (normally all) are done in
+    one distributed job without the driver; the few larger keys (at most
+    N / limit of them) go through the bracketed exact-rank passes."""
+    key_type = long.schema[key_col].dataType
+    values = long.select(F.col(key_col).alias("target"), F.col(value_col).alias("x"))
+    counts = values.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"))
+    n_keys, biggest = counts.agg(F.count(F.lit(1)), F.max("n")).collect()[0]
+    limit = params.exact_rank_limit
+    if not n_keys or biggest <= limit:
+        return _finish_frame(_one_pass_frame(values)).withColumnRenamed("target", key_col), int(n_keys or 0)
+    big = counts.where(F.col("n") > F.lit(limit)).collect()
+    big_keys = [r["target"] for r in big]
+    small = _finish_frame(_one_pass_frame(values.where(~F.col("target").isin(big_keys))))
+    big_values = values.where(F.col("target").isin(big_keys)).select(
+        F.col("target").cast("string").alias("target"), "x")
+    st = stats_from_values(big_values, {str(r["target"]): int(r["n"]) for r in big},
+                           {str(r["target"]): r["m"] for r in big}, params)
+    spark = long.sparkSession
+    rows = [(str(t), *[st.get(str(t), s) for s in STATS]) for t in big_keys]
+    large = spark.createDataFrame(rows, "target string, " + ", ".join(f"{s} double" for s in STATS))
+    large = large.select(F.col("target").cast(key_type).alias("target"), *STATS)
+    return small.unionByName(large).withColumnRenamed("target", key_col), int(n_keys)
+
+
 def keyed_history_stats(long: DataFrame, key_col: str, value_col: str,
                         params: RiskParams = RiskParams()) -> BatchStats:
-    """The same statistics for every key of a long table (one series per key).
-
-    One target per key; per-key scalars reach the driver, so the number of
-    keys must be modest (series, not records). Keys whose values fit the
-    exact-rank limit are done in one job."""
-    values = long.select(F.col(key_col).cast("string").alias("target"), F.col(value_col).alias("x"))
-    first = long.groupBy(key_col).agg(F.count(F.lit(1)).alias("n"), F.avg(value_col).alias("m")).collect()
-    counts = {str(r[key_col]): int(r["n"]) for r in first}
-    means = {str(r[key_col]): r["m"] for r in first}
-    if counts and max(counts.values()) <= params.exact_rank_limit:
-        rows = _one_pass_stats(values)
-        st = _from_one_pass(rows, sorted(counts), means)
-        return st
-    st = stats_from_values(values, counts, means, params)
-    st.targets = sorted(counts)
-    return st
+    """``keyed_stats_frame`` collected into scalars (for a modest number of
+    keys; use the frame itself to keep many keys distributed)."""
+    frame, _ = keyed_stats_frame(long, key_col, value_col, params)
+    rows = frame.collect()
+    targets = sorted(str(r[key_col]) for r in rows)
+    values = {(str(r[key_col]), s): r[s] for r in rows for s in STATS}
+    counts = {t: None for t in targets}
+    return BatchStats(targets, counts, values)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from riskwin.config import STATS, RiskParams
 from riskwin.functions.overrun import overrun
-from riskwin.operators.batch import keyed_history_stats
+from riskwin.operators.batch import keyed_stats_frame
 from riskwin.operators.index import BROADCAST_ROWS, dense_index
 from riskwin.operators.rolling import rolling_stats
 
@@ -41,11 +41,9 @@ def rolling_by_series(long: DataFrame, params: RiskParams = RiskParams(), key: s
 def flags_by_series(long: DataFrame, params: RiskParams = RiskParams(), key: str = "series",
                     order: str = "ID", value: str = "yield") -> DataFrame:
     """(series, window_index, <stat>_ovr...) against each series' own history."""
-    base = keyed_history_stats(long, key, value, params)
-    spark = long.sparkSession
-    bdf = base.per_target(spark).select(
-        F.col("target").alias(key), *[F.col(s).alias(f"b_{s}") for s in STATS])
+    base, n_keys = keyed_stats_frame(long, key, value, params)
+    bdf = base.select(key, *[F.col(s).alias(f"b_{s}") for s in STATS])
     win = rolling_by_series(long, params, key, order, value)
-    joined = win.join(_small_side(bdf, len(base.targets)), key)
+    joined = win.join(_small_side(bdf, n_keys), key)
     return joined.select(key, "window_index", *[
         overrun(F.col(s), F.col(f"b_{s}"), params.threshold).alias(f"{s}_ovr") for s in STATS])

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from riskwin.config import PORTFOLIO, STATS, RiskParams
 from riskwin.functions.names import batch_name, window_name
 from riskwin.operators import overrun as ovr
-from riskwin.operators.batch import full_history_stats, keyed_history_stats
+from riskwin.operators.batch import full_history_stats, keyed_stats_frame
 from riskwin.operators.index import dense_index
 from riskwin.operators.order_stats import k_smallest
 from riskwin.operators.reshape import flatten_records, melt
@@ -167,9 +167,8 @@ def rolling_by_series_q(spark, sf):
 
 
 def batch_by_series(spark, sf):
-    long = fx.long_from_events(spark, sf)
-    st = keyed_history_stats(long, "series", "yield", PARAMS)
-    return round_doubles(st.per_target(spark).withColumnRenamed("target", "series"))
+    frame, _ = keyed_stats_frame(fx.long_from_events(spark, sf), "series", "yield", PARAMS)
+    return round_doubles(frame)
 
 
 def overrun_by_series(spark, sf):

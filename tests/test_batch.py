@@ -80,7 +80,8 @@ def test_small_and_bracketed_paths_agree(spark):
     check(exact, arr)
 
 
-def test_keyed_stats(spark):
+@pytest.mark.parametrize("limit", [2_000_000, 50])
+def test_keyed_stats(spark, limit):
     rng = np.random.default_rng(11)
     rows, by = [], {}
     for key, n in (("x", 40), ("y", 75), ("z", 12)):
@@ -88,7 +89,7 @@ def test_keyed_stats(spark):
         by[key] = vals
         rows += [(key, i, float(v)) for i, v in enumerate(vals)]
     long = spark.createDataFrame(rows, "series string, ID long, yield double")
-    st = keyed_history_stats(long, "series", "yield")
+    st = keyed_history_stats(long, "series", "yield", RiskParams(exact_rank_limit=limit, approx_accuracy=50))
     for key, vals in by.items():
         exp = brute.batch(vals)
         for s in STATS:
