@@ -27,13 +27,17 @@ def segment_holdings(customer: DataFrame) -> DataFrame:
     return per.select("asset", (F.col("n") / F.sum("n").over(total)).alias("share"))
 
 
-def portfolio_value(prices: DataFrame, holdings: DataFrame) -> DataFrame:
-    """(month, assets_priced, portfolio_value, cumulative_return)."""
-    n_assets = holdings.count()
-    side = F.broadcast(holdings) if n_assets <= BROADCAST_ROWS else holdings
+def value_steps(prices: DataFrame, side: DataFrame, prior_prices: DataFrame | None = None,
+                prior_value: float = 0.0, prior_priced: int = 0) -> DataFrame:
+    """(month, assets_priced, portfolio_value) for every month with an
+    observation, continuing from a prior state (last price per asset,
+    running value and number of priced assets) when one is given."""
     joined = prices.join(side, "asset")
     per_asset = Window.partitionBy("asset").orderBy("month")
     prev = F.lag("price").over(per_asset)
+    if prior_prices is not None:
+        joined = joined.join(prior_prices.select("asset", F.col("price").alias("_carried")), "asset", "left")
+        prev = F.coalesce(prev, F.when(F.row_number().over(per_asset) == 1, F.col("_carried")))
     moves = joined.select(
         "month",
         (F.col("share") * (F.col("price") - F.coalesce(prev, F.lit(0.0)))).alias("delta"),
@@ -42,15 +46,32 @@ def portfolio_value(prices: DataFrame, holdings: DataFrame) -> DataFrame:
     monthly = moves.groupBy("month").agg(F.sum("delta").alias("delta"), F.sum("first_seen").alias("new"))
     # one row per month: a calendar-sized table, ordered once
     upto = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    valued = monthly.select(
+    return monthly.select(
         "month",
-        F.sum("new").over(upto).alias("assets_priced"),
-        F.sum("delta").over(upto).alias("portfolio_value"),
-    ).where(F.col("assets_priced") == F.lit(n_assets))
+        (F.lit(prior_priced) + F.sum("new").over(upto)).alias("assets_priced"),
+        (F.lit(prior_value) + F.sum("delta").over(upto)).alias("portfolio_value"),
+    )
+
+
+def with_returns(steps: DataFrame, n_assets: int, init: float | None = None) -> DataFrame:
+    """Fully priced months with the return against the first fully priced
+    month (or against ``init`` carried from earlier)."""
+    valued = steps.where(F.col("assets_priced") == F.lit(n_assets))
     first = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    init = F.first("portfolio_value").over(first)
+    base = F.first("portfolio_value").over(first) if init is None else F.lit(init)
     return valued.select(
         "month", "assets_priced",
         F.round("portfolio_value", VALUE_DIGITS).alias("portfolio_value"),
-        (F.col("portfolio_value") / init - 1).alias("cumulative_return"),
+        (F.col("portfolio_value") / base - 1).alias("cumulative_return"),
     )
+
+
+def holdings_side(holdings: DataFrame) -> tuple[DataFrame, int]:
+    n_assets = holdings.count()
+    return (F.broadcast(holdings) if n_assets <= BROADCAST_ROWS else holdings), n_assets
+
+
+def portfolio_value(prices: DataFrame, holdings: DataFrame) -> DataFrame:
+    """(month, assets_priced, portfolio_value, cumulative_return)."""
+    side, n_assets = holdings_side(holdings)
+    return with_returns(value_steps(prices, side), n_assets)

@@ -182,6 +182,13 @@ def portfolio_value_q(spark, sf):
     return round_doubles(portfolio_value(prices, holdings))
 
 
+def stream_portfolio_value(spark, sf):
+    from riskwin.streaming.valuation_stream import stream_value_from_table
+    prices = fx.segment_prices(spark, sf)
+    holdings = segment_holdings(fx.table(spark, sf, "customer"))
+    return round_doubles(stream_value_from_table(spark, prices, holdings, files=4))
+
+
 def synthetic_yields(spark, sf):
     """One generator draw per order key: random values, so rows-only check."""
     from riskwin.sources.sampler import generator_draws_for
@@ -226,6 +233,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "overrun_by_series": overrun_by_series,
         "portfolio_value": portfolio_value_q,
         "stream_overruns": stream_overruns,
+        "stream_portfolio_value": stream_portfolio_value,
         "synthetic_yields": synthetic_yields,
     }
 

@@ -286,5 +286,6 @@ def catalog_sql() -> dict[str, str]:
         "overrun_by_series": series_flags_sql(),
         "portfolio_value": portfolio_value_sql(),
         "stream_overruns": flags_sql(Y1),
+        "stream_portfolio_value": portfolio_value_sql(),
     })
     return out

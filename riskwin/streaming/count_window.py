@@ -123,7 +123,7 @@ def split_to_files(wide: DataFrame, path: str, files: int) -> None:
         part.coalesce(1).write.mode("append").parquet(path)
 
 
-def run_stream(spark: SparkSession, source: str, schema: T.StructType, handler: CountWindowMonitor,
+def run_stream(spark: SparkSession, source: str, schema: T.StructType, handler,
                checkpoint: str, max_files: int = 1) -> None:
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source)
     q = (stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
