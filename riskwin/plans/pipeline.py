@@ -14,6 +14,7 @@ from riskwin.operators.index import dense_index
 from riskwin.operators.overrun import overrun_flags
 from riskwin.operators.reshape import asset_columns
 from riskwin.operators.rolling import rolling_stats
+from riskwin.sources.text import split_invalid
 
 
 @dataclass
@@ -49,6 +50,9 @@ def prepare(wide: DataFrame, assets: Sequence[str] | None = None, id_col: str =
     base = wide.select(id_col, *assets)
     if id_col != "ID":
         base = base.withColumnRenamed(id_col, "ID")
+    # records with a NULL key or a NULL/NaN yield are rejected at ingest
+    # (``sources.text.split_invalid`` returns them with the reason)
+    base, _rejects = split_invalid(base, assets)
     if persist is True or (persist == "auto" and is_derived(base)):
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
     indexed = dense_index(base, "ID")

@@ -51,3 +51,17 @@ def render_lines(wide: DataFrame, assets: Sequence[str], quote_ids: bool = True)
 
 def write_yield_text(wide: DataFrame, path: str, assets: Sequence[str], quote_ids: bool = True) -> None:
     render_lines(wide, assets, quote_ids).write.mode("overwrite").text(path)
+
+
+def split_invalid(wide: DataFrame, assets: Sequence[str], id_col: str = "ID") -> tuple[DataFrame, DataFrame]:
+    """(valid, rejects) for any yields table: a record with a NULL key or a
+    NULL/NaN yield cannot be ranked or averaged, so it goes to the rejects
+    side with the reason instead of into the statistics."""
+    bad_key = F.col(id_col).isNull()
+    bad_val = F.lit(False)
+    for a in assets:
+        bad_val = bad_val | F.col(a).isNull() | F.isnan(F.col(a))
+    valid = wide.where(~bad_key & ~bad_val)
+    rejects = wide.where(bad_key | bad_val).withColumn(
+        "reason", F.when(bad_key, F.lit("missing key")).otherwise(F.lit("missing or NaN yield")))
+    return valid, rejects

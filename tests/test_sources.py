@@ -62,3 +62,31 @@ def test_sampler_generator_parameters(spark):
     import pytest
     with pytest.raises(ValueError):
         truncated_t(spark, 10, [0.0, 0.0], [[1e-4, 0], [0, 1e-4]], 4, [-1, -1], [1, 1])
+
+
+def test_split_invalid_and_monitor_ignores_bad_records(spark):
+    from riskwin.plans.pipeline import run_monitor
+    from riskwin.sources.text import split_invalid
+
+    rows = [(i, 0.01 * ((i * 7) % 13) - 0.05, 0.02 * ((i * 5) % 11) - 0.1) for i in range(1, 61)]
+    bad = [(61, None, 0.1), (62, float("nan"), 0.1), (None, 0.1, 0.1)]
+    df = spark.createDataFrame(rows + bad, "ID long, asset_1 double, asset_2 double")
+    valid, rejects = split_invalid(df, ["asset_1", "asset_2"])
+    assert valid.count() == 60
+    assert sorted(r["reason"] for r in rejects.collect()) == ["missing key", "missing or NaN yield",
+                                                              "missing or NaN yield"]
+    clean = spark.createDataFrame(rows, "ID long, asset_1 double, asset_2 double")
+    a = run_monitor(df, ["asset_1", "asset_2"])
+    b = run_monitor(clean, ["asset_1", "asset_2"])
+    assert sorted(map(tuple, a.flags.collect())) == sorted(map(tuple, b.flags.collect()))
+
+
+def test_append_stats_sink(spark):
+    from riskwin.sinks.metrics import append_stats
+
+    long = spark.createDataFrame([("asset_1", "mean", 0.5)], "target string, stat string, value double")
+    path = scratch_path(spark, "test-sink")
+    append_stats(long, path, "FULL_PORTFOLIO_BATCH_DATA_PER_STAT")
+    append_stats(long, path, "FULL_PORTFOLIO_BATCH_DATA_PER_ASSET")
+    out = spark.read.parquet(path)
+    assert out.count() == 2 and {"run_ts", "header", "target", "stat", "value"} <= set(out.columns)
