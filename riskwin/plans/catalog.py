@@ -147,9 +147,9 @@ def overrun_lines_q(spark, sf):
 # ---- order statistics report ---------------------------------------------------
 def k_smallest_q(spark, sf):
     long = melt(_y2(spark, sf), fx.asset_names(6))
-    per_asset = long.select(F.col("asset").alias("target"), "ID", "asset", "yield")
-    pooled = long.select(F.lit(PORTFOLIO).alias("target"), "ID", "asset", "yield")
-    both = per_asset.unionByName(pooled)
+    # every value under its asset and under the portfolio, in one scan
+    both = long.select(F.explode(F.array(F.col("asset"), F.lit(PORTFOLIO))).alias("target"),
+                       "ID", "asset", "yield")
     return round_doubles(k_smallest(both, K_REPORT, "target", "yield", ("ID", "asset")))
 
 
