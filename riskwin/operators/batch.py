@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from riskwin.config import BATCH_MEDIAN_DIGITS, PORTFOLIO, STATS, TAIL_SHARE, RiskParams
 from riskwin.functions.names import batch_name
-from riskwin.operators.order_stats import select_ranks
+from riskwin.operators.order_stats import grouped_brackets, select_ranks
 from riskwin.operators.reshape import stack_targets
 
 
@@ -93,14 +93,15 @@ def _lookup(mapping: dict[str, float], key_col):
 
 
 def stats_from_values(values: DataFrame, counts: dict[str, int], means: dict[str, float],
-                      params: RiskParams = RiskParams()) -> BatchStats:
+                      params: RiskParams = RiskParams(), initial: dict | None = None) -> BatchStats:
     """Rank-based and deviation statistics, given counts and means.
 
-    ``values``: (target, x). Works for any set of targets."""
+    ``values``: (target, x). Works for any set of targets. ``initial``:
+    first-round rank brackets when already computed."""
     targets = list(counts)
     ranks = {t: rank_plan(counts[t]) for t in targets}
     picked = select_ranks(values, ranks, counts, limit=params.exact_rank_limit,
-                          accuracy=params.approx_accuracy) if any(ranks.values()) else {}
+                          accuracy=params.approx_accuracy, initial=initial) if any(ranks.values()) else {}
 
     tail_t = {t: picked[(t, "tail")] for t in targets if (t, "tail") in picked}
     t, x = F.col("target"), F.col("x")
@@ -227,12 +228,15 @@ def full_history_stats(wide: DataFrame, assets: Sequence[str],
         # the portfolio mean is the mean of the asset means (equal counts)
         means[PORTFOLIO] = sum(means[a] for a in assets) / len(assets)
         return _from_one_pass(rows, targets, means)
-    first = wide.agg(*[F.avg(a).alias(a) for a in assets]).collect()[0]
-    means = {a: first[a] for a in assets}
-    means[PORTFOLIO] = sum(means.values()) / len(assets)
     counts = {a: n for a in assets}
     counts[PORTFOLIO] = n * len(assets)
-    st = stats_from_values(values, counts, means, params)
+    ranks = {t: rank_plan(counts[t]) for t in targets}
+    # one grouped pass: each target's mean and its rank brackets
+    initial, rows = grouped_brackets(values, ranks, counts, params.approx_accuracy, [F.avg("x").alias("_m")])
+    means = {a: rows[a]["_m"] for a in assets}
+    # the portfolio mean is the mean of the asset means (equal counts)
+    means[PORTFOLIO] = sum(means[a] for a in assets) / len(assets)
+    st = stats_from_values(values, counts, means, params, initial=initial)
     st.targets = targets
     return st
 

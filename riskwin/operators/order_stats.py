@@ -109,16 +109,49 @@ def _sketch(values: DataFrame, asks: dict[str, list[tuple[float, float, str, int
     return out
 
 
+def _probs(r: int, n: int, accuracy: int) -> tuple[float, float]:
+    slack = 3 * math.ceil(n / accuracy) + 1
+    return max(0.0, (r - slack) / n), min(1.0, (r + slack) / n)
+
+
+def grouped_brackets(values: DataFrame, ranks: dict[str, dict[str, int]], counts: dict[str, int],
+                     accuracy: int = 20_000, extra=()) -> tuple[dict, dict]:
+    """First-round brackets for every target in one grouped aggregation:
+    one sketch per target (each value updates only its own target's sketch,
+    combined map-side), over the union of the probabilities any target
+    needs. ``extra``: more aggregate columns computed in the same pass.
+
+    Returns (brackets per target, {target: row of extra values})."""
+    want = {t: {name: _probs(r, counts[t], accuracy) for name, r in rs.items()} for t, rs in ranks.items() if rs}
+    probs = sorted({p for d in want.values() for pair in d.values() for p in pair})
+    rows = values.groupBy("target").agg(
+        F.percentile_approx("x", probs or [0.5], accuracy).alias("_q"), *extra).collect()
+    brackets, other = {}, {}
+    for row in rows:
+        t = str(row["target"])
+        other[t] = row
+        if t not in want:
+            continue
+        at = dict(zip(probs, row["_q"]))
+        brackets[t] = [(NEG if p_lo <= 0.0 else float(at[p_lo]), POS if p_hi >= 1.0 else float(at[p_hi]),
+                        name, ranks[t][name]) for name, (p_lo, p_hi) in want[t].items()]
+    return brackets, other
+
+
 def select_ranks(values: DataFrame, ranks: dict[str, dict[str, int]],
                  counts: dict[str, int], limit: int = 2_000_000,
-                 accuracy: int = 20_000, max_rounds: int = 8) -> dict[tuple[str, str], float]:
+                 accuracy: int = 20_000, max_rounds: int = 8,
+                 initial: dict | None = None) -> dict[tuple[str, str], float]:
     """Exact values at 1-based ranks. ``values``: columns (target, x), no NULL.
 
-    ``ranks[target][name] = r``; ``counts[target]`` = number of values."""
+    ``ranks[target][name] = r``; ``counts[target]`` = number of values.
+    ``initial``: first-round brackets already computed (``grouped_brackets``)."""
     values = values.select(F.col("target").cast("string").alias("target"), F.col("x").cast("double").alias("x"))
     brackets: dict[str, list[tuple[float, float, str, int]]] = {}
     big = {t: rs for t, rs in ranks.items() if counts[t] > limit and rs}
-    if big:
+    if big and initial is not None:
+        brackets.update({t: initial[t] for t in big})
+    elif big:
         asks = {t: [(NEG, POS, name, r, counts[t]) for name, r in rs.items()] for t, rs in big.items()}
         approx = _sketch(values, asks, accuracy)
         for t, rs in big.items():
