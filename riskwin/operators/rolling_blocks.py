@@ -16,7 +16,6 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskwin.config import PORTFOLIO, STATS, TAIL_SHARE, RiskParams
@@ -125,8 +124,3 @@ def rolling_stats_blocks(indexed: DataFrame, assets: Sequence[str], n_full,
 
     ship_package(spark)
     return blocks.groupBy(*keys, "blk").applyInPandas(per_block, schema)
-
-
-def plain_blocks_frame(df: DataFrame) -> DataFrame:
-    """Drop helper columns; kept for symmetry with ``rolling.window_frames``."""
-    return df.drop("blk", "own") if "blk" in df.columns else df.select(F.col("*"))

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 import brute
-from riskwin.config import PORTFOLIO, STATS, RiskParams
+from riskwin.config import PORTFOLIO, RiskParams
 from riskwin.functions.names import window_name
 from riskwin.operators.index import dense_index, halo_blocks
 from riskwin.operators.rolling import rolling_stats
