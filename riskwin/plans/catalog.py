@@ -189,6 +189,11 @@ def stream_portfolio_value(spark, sf):
     return round_doubles(stream_value_from_table(spark, prices, holdings, files=4))
 
 
+def stream_rolling_by_series(spark, sf):
+    from riskwin.streaming.keyed_windows import stream_rolling_by_series as run
+    return round_doubles(run(spark, fx.long_from_events(spark, sf), PARAMS, files=4))
+
+
 def synthetic_yields(spark, sf):
     """One generator draw per order key: random values, so rows-only check."""
     from riskwin.sources.sampler import generator_draws_for
@@ -234,6 +239,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "portfolio_value": portfolio_value_q,
         "stream_overruns": stream_overruns,
         "stream_portfolio_value": stream_portfolio_value,
+        "stream_rolling_by_series": stream_rolling_by_series,
         "synthetic_yields": synthetic_yields,
     }
 

@@ -287,5 +287,6 @@ def catalog_sql() -> dict[str, str]:
         "portfolio_value": portfolio_value_sql(),
         "stream_overruns": flags_sql(Y1),
         "stream_portfolio_value": portfolio_value_sql(),
+        "stream_rolling_by_series": series_rolling_sql(),
     })
     return out

@@ -90,3 +90,17 @@ def test_stream_valuation_equals_batch(spark):
         assert s["portfolio_value"] == pytest.approx(b["portfolio_value"], abs=0.011)
         assert s["cumulative_return"] == pytest.approx(b["cumulative_return"], abs=1e-9)
     assert handler.late_records() == 1
+
+
+def test_keyed_stream_windows_equal_batch(spark):
+    from riskwin.operators.series import rolling_by_series
+    from riskwin.streaming.keyed_windows import stream_rolling_by_series
+
+    long = fx.long_from_events(spark, SF_SMALL)
+    cols = ["series", "window_index", "mean", "median", "tenth", "tail_mean", "safety"]
+    s = sorted(map(tuple, stream_rolling_by_series(spark, long, files=3).select(*cols).collect()))
+    b = sorted(map(tuple, rolling_by_series(long).select(*cols).collect()))
+    assert len(s) == len(b) > 800
+    for rs, rb in zip(s, b):
+        assert rs[:2] == rb[:2]
+        assert rs[2:] == pytest.approx(rb[2:], abs=1e-12)
