@@ -23,7 +23,7 @@ from riskwin.operators.reshape import flatten_records, melt
 from riskwin.operators.rolling import rolling_stats
 from riskwin.operators.series import flags_by_series, rolling_by_series
 from riskwin.operators.valuation import portfolio_value, segment_holdings
-from riskwin.plans.pipeline import prepare, run_monitor
+from riskwin.plans.monitor import prepare, run_monitor
 from riskwin.sinks.metrics import overrun_lines
 from riskwin.sources import fixtures as fx
 from riskwin.sources.text import read_yield_text, write_yield_text

@@ -4,7 +4,7 @@ import pytest
 from conftest import SF_MID
 from riskwin.config import PORTFOLIO, STATS
 from riskwin.operators.overrun import overrun_counts
-from riskwin.plans.pipeline import run_monitor
+from riskwin.plans.monitor import run_monitor
 from riskwin.sources import fixtures as fx
 
 FULL = {

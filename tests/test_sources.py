@@ -65,7 +65,7 @@ def test_sampler_generator_parameters(spark):
 
 
 def test_split_invalid_and_monitor_ignores_bad_records(spark):
-    from riskwin.plans.pipeline import run_monitor
+    from riskwin.plans.monitor import run_monitor
     from riskwin.sources.text import split_invalid
 
     rows = [(i, 0.01 * ((i * 7) % 13) - 0.05, 0.02 * ((i * 5) % 11) - 0.1) for i in range(1, 61)]

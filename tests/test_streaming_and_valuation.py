@@ -5,7 +5,7 @@ import pytest
 from conftest import SF_SMALL
 from riskwin.config import RiskParams
 from riskwin.operators.valuation import portfolio_value
-from riskwin.plans.pipeline import run_monitor
+from riskwin.plans.monitor import run_monitor
 from riskwin.sources import fixtures as fx
 from riskwin.streaming.count_window import stream_flags_from_table
 
