@@ -21,6 +21,7 @@ job's flags.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -109,9 +110,14 @@ class CountWindowMonitor:
         new.unpersist()
 
 
+ROWS_PER_FILE = 1_000_000  # bounds the rows one writing task holds
+
+
 def split_to_files(wide: DataFrame, path: str, files: int) -> None:
-    """Write a table as ``files`` ID-ordered Parquet files, one after the
-    other, so file arrival order follows ID order."""
+    """Write a table as at least ``files`` ID-ordered Parquet files (more when
+    needed so that no file, and no writing task, exceeds ``ROWS_PER_FILE``
+    records), one after the other, so file arrival order follows ID order."""
+    files = max(files, math.ceil(wide.count() / ROWS_PER_FILE))
     bounds = wide.select(F.percentile_approx("ID", [i / files for i in range(1, files)], 10000)).collect()[0][0]
     edges = [None, *bounds, None]
     for i in range(files):

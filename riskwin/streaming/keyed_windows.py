@@ -12,6 +12,7 @@ series is one task per micro-batch (micro-batches bound its size).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from riskwin.config import STATS, RiskParams
 from riskwin.operators.rolling_blocks import _stats
 from riskwin.session import scratch_path, ship_package
+from riskwin.streaming.count_window import ROWS_PER_FILE
 
 
 def keyed_window_stream(stream: DataFrame, counts: dict, params: RiskParams = RiskParams(),
@@ -70,7 +72,9 @@ def keyed_window_stream(stream: DataFrame, counts: dict, params: RiskParams = Ri
 
 
 def split_long_to_files(long: DataFrame, path: str, files: int, order: str = "ID") -> None:
-    """Write a long table as ``files`` ID-ordered Parquet files, in order."""
+    """Write a long table as ID-ordered Parquet files, in order; at least
+    ``files`` of them and none over ``ROWS_PER_FILE`` records."""
+    files = max(files, math.ceil(long.count() / ROWS_PER_FILE))
     bounds = long.select(F.percentile_approx(order, [i / files for i in range(1, files)], 10000)).collect()[0][0]
     edges = [None, *bounds, None]
     for i in range(files):
