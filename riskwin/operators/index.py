@@ -38,15 +38,18 @@ def dense_index(df: DataFrame, order_col: str = "ID", keys: Sequence[str] = (),
     if not keys and assume_contiguous is not False:
         lo, hi, n = df.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).collect()[0]
         if n == 0:
-            return df.withColumn(idx_col, F.lit(None).cast("long"))
+            out = df.withColumn(idx_col, F.lit(None).cast("long"))
+            out.row_count, out.key_range = 0, (None, None)
+            return out
         if assume_contiguous or (hi - lo + 1 == n):
             # keys are unique (record numbers), so a full range means no gaps
             out = df.withColumn(idx_col, (F.col(order_col) - F.lit(lo)).cast("long"))
-            out.row_count = int(n)
+            out.row_count, out.key_range = int(n), (lo, hi)
             return out
-        total = n
+        total, key_range = n, (lo, hi)
     else:
         total = n_rows if n_rows is not None else df.count()
+        key_range = None
     checkpoint_root(spark)
     parts = max(spark.sparkContext.defaultParallelism, math.ceil(total / rows_per_partition), 1)
     ranged = (
@@ -83,6 +86,7 @@ def dense_index(df: DataFrame, order_col: str = "ID", keys: Sequence[str] = (),
         (F.col("_off") + F.col("_pos") - F.col("_first")).cast("long").alias(idx_col),
     )
     out.row_count = int(total)  # known here; saves callers a count
+    out.key_range = key_range
     return out
 
 

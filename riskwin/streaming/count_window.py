@@ -91,8 +91,9 @@ class CountWindowMonitor:
         if last_id is not None:
             late += batch.where(F.col("ID") <= F.lit(last_id)).count()
             rows = rows.where(F.col("ID") > F.lit(last_id))
-        new = dense_index(rows, "ID").withColumn("idx", F.col("idx") + F.lit(seen)).persist()
-        n_new = new.count()
+        indexed = dense_index(rows, "ID")  # its key-range pass also counts the rows
+        n_new, (_, new_last) = indexed.row_count, indexed.key_range
+        new = indexed.withColumn("idx", F.col("idx") + F.lit(seen)).persist()
         if n_new:
             both = halo.unionByName(new.select(*self.halo_schema.fieldNames()))
             win = rolling_stats(both, self.assets, self.n_full, self.params, n_rows=n_new + self.params.window)
@@ -100,7 +101,6 @@ class CountWindowMonitor:
             flags.write.mode("overwrite").parquet(f"{self.sink}/batch_id={batch_id}")
             total = seen + n_new
             keep = both.where(F.col("idx") >= F.lit(total - (self.params.window - 1)))
-            new_last = new.agg(F.max("ID")).collect()[0][0]
         else:
             total, keep, new_last = seen, halo, last_id
         # halo first, counters last: a batch counts as done once its counters exist
