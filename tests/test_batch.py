@@ -107,3 +107,29 @@ def test_views(spark):
     per_stat = st.per_stat(spark)
     assert per_stat.count() == 5 and set(per_stat.columns) == {"stat", *ASSETS, PORTFOLIO}
     assert per_stat.where(F.col("stat") == "mean").first()[PORTFOLIO] == pytest.approx(arr.mean())
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 100])
+def test_ranks_with_a_hot_value(spark, limit):
+    """One value holds a third of all rows: ties collapse into one count."""
+    rng = np.random.default_rng(21)
+    xs = np.concatenate([np.full(9000, 0.25), np.round(rng.normal(size=18000), 2)])
+    rng.shuffle(xs)
+    arr = xs.reshape(-1, 3)
+    st = full_history_stats(wide_df(spark, arr), ASSETS, RiskParams(exact_rank_limit=limit, approx_accuracy=200))
+    check(st, arr)
+
+
+def test_k_smallest_report_matches_sort(spark):
+    from riskwin.operators.order_stats import k_smallest
+
+    rng = np.random.default_rng(8)
+    vals = np.round(rng.normal(size=400), 1)  # many ties
+    rows = [("a" if i % 3 else "b", i, float(v)) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "target string, ID long, x double")
+    got = k_smallest(df, 7, "target", "x", ("ID",)).collect()
+    for t in ("a", "b"):
+        exp = sorted((x, i) for tt, i, x in rows if tt == t)[:7]
+        mine = sorted((r["rank"], r["x"], r["ID"]) for r in got if r["target"] == t)
+        assert [(x, i) for _, x, i in mine] == exp
+        assert [r for r, _, _ in mine] == list(range(1, 8))
