@@ -100,3 +100,21 @@ def test_halo_rows(spark):
     assert all(r["blk"] == r["idx"] // 40 - 1 for r in halo)
     with pytest.raises(ValueError):
         halo_blocks(df, 30, 10)
+
+
+def test_params_validation():
+    for bad in (dict(window=0), dict(block_rows=10), dict(median="x"), dict(quantile_index="x"),
+                dict(safety_divisor="x"), dict(engine="x")):
+        with pytest.raises(ValueError):
+            RiskParams(**bad)
+
+
+def test_flatten_records_order_on_gapped_ids(spark):
+    from riskwin.operators.reshape import flatten_records
+
+    df = frame(spark, np.arange(8, dtype=float).reshape(4, 2), ids=[7, 3, 20, 11])
+    flat = flatten_records(dense_index(df, "ID"), ASSETS).orderBy("flat_idx").collect()
+    assert [r["flat_idx"] for r in flat] == list(range(8))
+    assert [(r["ID"], r["asset"]) for r in flat] == [(3, "asset_1"), (3, "asset_2"), (7, "asset_1"), (7, "asset_2"),
+                                                     (11, "asset_1"), (11, "asset_2"), (20, "asset_1"), (20, "asset_2")]
+    assert [r["full_portfolio"] for r in flat] == [2.0, 3.0, 0.0, 1.0, 6.0, 7.0, 4.0, 5.0]
