@@ -8,7 +8,8 @@ uses, with the rank computed by the caller.
 Plan, per target whose count exceeds ``limit``:
 
 1. ``percentile_approx`` (mergeable sketch, partial aggregation) brackets
-   every rank: values at ranks ``r -/+ slack``;
+   every rank: values at ranks ``r -/+ slack`` (``grouped_brackets`` does this
+   for all targets in one ``groupBy(target)`` pass);
 2. one aggregation counts the values below each bracket and inside it;
    a bracket that does not hold its rank is widened, one that holds more
    than ``limit`` values is narrowed by a sketch over just its values;
