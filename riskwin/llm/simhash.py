@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskwin.llm.batches import small_batches
 from riskwin.llm.components import connected_components
 from riskwin.session import checkpoint_root
 
@@ -219,6 +220,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     come back repeated; an empty table gives no rows.
     """
     checkpoint_root(docs.sparkSession)
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), simhash(F.col(f"`{text_col}`"), shingle).alias("fp")).checkpoint()
     fps = rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     roots = connected_components(links(fps.select("fp"), max_bits, run))
