@@ -5,8 +5,13 @@ from __future__ import annotations
 import importlib
 from collections.abc import Callable
 
+#: Query names and their modules.
 NAMES = {
+    "op1_toxicity": "toxicity",
+    "op2_langid": "langid",
     "op3_simhash": "simhash",
+    "op4_mixing": "mixing",
+    "op10_sharding": "sharding",
 }
 
 
@@ -16,4 +21,6 @@ def llm_queries() -> dict[str, Callable]:
 
 
 def llm_sql() -> dict[str, str]:
-    return {}
+    from riskwin.llm.mixing import mixing_sql
+
+    return {"op4_mixing": mixing_sql()}
