@@ -182,9 +182,9 @@ def mixing_sql() -> str:
 totals AS (SELECT source AS of, CAST(sum(tokens) AS BIGINT) AS source_tokens FROM classes GROUP BY source HAVING sum(tokens) > 0),
 natural_shares AS (
   SELECT list(source_tokens / total) AS ps, any_value(total) AS total,
-    sum(-(source_tokens / total) * ln(source_tokens / total)) AS natural, ln(count(*)) AS flat
+    sum(-(source_tokens / total) * ln(source_tokens / total)) AS least_entropy, ln(count(*)) AS flat
   FROM totals, (SELECT CAST(sum(source_tokens) AS DOUBLE) AS total FROM totals) s),
-{meet("by_entropy", f"ln({z}) - mid * {plogp} / {z}", f"natural + {FLATTEN} * (flat - natural)")},
+{meet("by_entropy", f"ln({z}) - mid * {plogp} / {z}", f"least_entropy + {FLATTEN} * (flat - least_entropy)")},
 {meet("by_repeats", f"{most} / {z}", str(MAX_REPEATS))},
 chosen AS (SELECT greatest((SELECT lo FROM by_entropy WHERE i = 60), (SELECT lo FROM by_repeats WHERE i = 60)) AS t),
 powers AS (SELECT of, source_tokens, pow(source_tokens / total, t) AS w, total FROM totals, natural_shares, chosen),
