@@ -11,6 +11,8 @@ NAMES = {
     "op2_langid": "langid",
     "op3_simhash": "simhash",
     "op4_mixing": "mixing",
+    "op5_topk": "vafile",
+    "op8_decontam": "decontam",
     "op10_sharding": "sharding",
 }
 
@@ -22,5 +24,6 @@ def llm_queries() -> dict[str, Callable]:
 
 def llm_sql() -> dict[str, str]:
     from riskwin.llm.mixing import mixing_sql
+    from riskwin.llm.vafile import TOPK_SQL
 
-    return {"op4_mixing": mixing_sql()}
+    return {"op4_mixing": mixing_sql(), "op5_topk": TOPK_SQL}
