@@ -13,6 +13,7 @@ NAMES = {
     "op4_mixing": "mixing",
     "op5_topk": "vafile",
     "op8_decontam": "decontam",
+    "op9_token_store": "token_store",
     "op10_sharding": "sharding",
 }
 
