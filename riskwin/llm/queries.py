@@ -12,6 +12,8 @@ NAMES = {
     "op3_simhash": "simhash",
     "op4_mixing": "mixing",
     "op5_topk": "vafile",
+    "op6_pii": "pii",
+    "op7_warc": "warc",
     "op8_decontam": "decontam",
     "op9_token_store": "token_store",
     "op10_sharding": "sharding",
