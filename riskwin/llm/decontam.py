@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskwin.llm.batches import small_batches
+from riskwin.llm.columns import fresh
 from riskwin.llm.langid import chunks
 
 #: Characters of a q-gram.
@@ -259,8 +260,9 @@ def _one_pass(rows: DataFrame, items: list[tuple], q: int, rate: float) -> DataF
 def without_matches(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Documents whose id has no match. Rows with a null id stay unless ``found``
     holds a null id."""
-    bad = found.select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col("bad_id")), "left_anti")
+    name = fresh(docs, "bad_id")
+    bad = found.select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col(name)), "left_anti")
 
 
 def op8_decontam(spark, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskwin.llm.batches import small_batches
+from riskwin.llm.columns import columns, fresh
 
 #: Characters of an n-gram; words are padded with one space.
 GRAM = 4
@@ -190,7 +191,8 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, capacity: int = CAPACITY,
 
 
 def identify(df: DataFrame, model: LanguageFilters, text_col: str = "text") -> DataFrame:
-    """``df`` with ``lang_pred``, ``lang_score`` and ``lang_share``.
+    """``df`` with ``lang_pred``, ``lang_score`` and ``lang_share`` (columns that
+    have these names already are replaced).
 
     A text that is null or has no letter gets ``und`` and zeros; so does every
     text if the model knows no language. One whose n-grams no language holds
@@ -203,9 +205,8 @@ def identify(df: DataFrame, model: LanguageFilters, text_col: str = "text") -> D
         found = [x for i, j in chunks(own) for x in filters.predict(own[i:j])]
         return pd.DataFrame(found, columns=["lang_pred", "lang_score", "lang_share"])
 
-    taken = predict(F.col(f"`{text_col}`")).alias("_language")
-    return df.select(*[F.col(f"`{c}`") for c in df.columns], taken).select(
-        *[F.col(f"`{c}`") for c in df.columns], "_language.*")
+    kept, name = columns(df, ("lang_pred", "lang_score", "lang_share")), fresh(df, "language")
+    return df.select(*kept, predict(F.col(f"`{text_col}`")).alias(name)).select(*kept, f"{name}.*")
 
 
 def held_out() -> Column:

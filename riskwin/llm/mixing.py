@@ -21,6 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskwin.llm.columns import columns
 from riskwin.session import checkpoint_root
 
 SEED = 17
@@ -140,20 +141,20 @@ def mixed_documents(docs: DataFrame, mixture: DataFrame, id_col: str = "doc_id",
     """Rows of ``docs`` as often as the mixture has them. Of rows equal in id,
     source and text each gets its part of the copies, the rest in the order of
     the other columns."""
-    times = mixture.groupBy(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"),
-                            F.col("digest").alias("mix_digest")).agg(
-        F.count("*").alias("mix_times"), F.first("n").alias("mix_n"))
+    times = mixture.groupBy("doc_id", "source", "digest").agg(F.count("*").alias("times"), F.first("n").alias("n"))
     digest = F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary"))
-    joined = docs.join(times, F.col(f"`{id_col}`").eqNullSafe(F.col("mix_id"))
-                       & F.col(f"`{source_col}`").eqNullSafe(F.col("mix_source")) & (digest == F.col("mix_digest")))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    single = joined.filter("mix_n = 1").withColumn("mix_copies", F.col("mix_times"))
-    order = Window.partitionBy("mix_id", "mix_source", "mix_digest").orderBy(
-        *[F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map")])
-    repeated = joined.filter("mix_n > 1").withColumn(
-        "mix_copies", F.expr("mix_times div mix_n") + F.when(F.row_number().over(order) <= F.expr("mix_times % mix_n"), 1).otherwise(0))
-    return single.unionByName(repeated).filter("mix_copies > 0").select(
-        *columns, F.explode(F.expr("sequence(1L, cast(mix_copies as long))")).alias("mix_copy")).drop("mix_copy")
+    rows = docs.select(F.struct(*columns(docs)).alias("row"), F.col(f"`{id_col}`").alias("id"),
+                       F.col(f"`{source_col}`").alias("of"), digest.alias("md5"))
+    joined = rows.join(times, F.col("id").eqNullSafe(F.col("doc_id")) & F.col("of").eqNullSafe(F.col("source"))
+                       & (F.col("md5") == F.col("digest")))
+    order = Window.partitionBy("id", "of", "md5").orderBy(
+        *[F.col("row").getField(c) for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"])
+    rest = F.when(F.row_number().over(order) <= F.expr("times % n"), 1).otherwise(0)
+    single = joined.filter("n = 1").select("row", "times")
+    repeated = joined.filter("n > 1").select("row", (F.expr("times div n") + rest).alias("times"))
+    return single.unionByName(repeated).filter("times > 0").select(
+        "row", F.explode(F.expr("sequence(1L, cast(times as long))"))).select(
+        *[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskwin.llm.batches import small_batches
+from riskwin.llm.columns import columns
 from riskwin.session import checkpoint_root
 
 KINDS = ("email", "ip", "card", "phone")
@@ -258,11 +259,10 @@ def sanitised(docs: DataFrame, found: DataFrame, text_col: str = "text", out: st
         return pd.Series([sanitise_text(t or "", s, r) for t, s, r in zip(texts, spans, removed)], dtype=object)
 
     own = found.select("hash", "spans", "removed").dropDuplicates(["hash"])
-    columns = [F.col(f"`{c}`") for c in docs.columns if c != out]
-    keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], _hash(F.col(f"`{text_col}`")).alias("_pii_hash"))
-    joined_rows = keyed.join(own.select(F.col("hash").alias("_pii_hash"), F.col("spans").alias("_pii_spans"),
-                                        F.col("removed").alias("_pii_removed")), "_pii_hash")
-    return joined_rows.select(*columns, clean(F.col(f"`{text_col}`"), "_pii_spans", "_pii_removed").alias(out))
+    text = F.col(f"`{text_col}`")
+    rows = docs.select(F.struct(*columns(docs, (out,))).alias("row"), text.cast("string").alias("text"), _hash(text).alias("hash"))
+    return rows.join(own, "hash").select("row", clean("text", "spans", "removed").alias(out)).select(
+        *[F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() != out.lower()], out)
 
 
 def op6_pii(spark, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ from riskwin.session import scratch_path
 
 #: Bytes of a bucket on average. A pass-two task holds one, twice over.
 BUCKET_BYTES = 8 << 20
+MAX_PARTITIONS = 20_000
 SEED = 20240607
 
 
@@ -75,8 +76,10 @@ def shuffle_to_shards(df: DataFrame, shards: int, seed: int = SEED, id_col: str
     firsts = loads.select("bucket", F.coalesce(F.sum("n").over(
         Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
     schema = T.StructType([keyed.schema["row"], T.StructField("place", T.LongType())])
+    # a partition for each bucket, as far as Spark's scheduler bears it
+    dealt = keyed.select("bucket", "key", "row").repartition(min(n, MAX_PARTITIONS), "bucket")
     placed = (
-        keyed.select("bucket", "key", "row").join(firsts, "bucket")
+        dealt.join(firsts, "bucket")
         .groupBy("bucket").applyInArrow(_shuffle_bucket(seed), schema)
     )
     return _cut(placed, n_rows, shards, df.columns)
@@ -87,7 +90,7 @@ def _cut(placed: DataFrame, n_rows: int, shards: int, columns: list[str]) -> Dat
     shard = F.expr(f"(place * {shards} + {shards - 1}) div {max(n_rows, 1)}").cast("int")
     # the largest s with floor(s * N / shards) <= place
     return placed.select(
-        *[F.col("row").getField(c).alias(c) for c in columns if c not in ("shard", "slot")],
+        *[F.col("row").getField(c).alias(c) for c in columns if c.lower() not in ("shard", "slot")],
         shard.alias("shard"), "place",
     ).withColumn("slot", F.col("place") - F.expr(f"shard * {n_rows}L div {shards}")).drop("place")
 

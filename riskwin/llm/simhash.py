@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskwin.llm.batches import small_batches
+from riskwin.llm.columns import fresh
 from riskwin.llm.components import connected_components
 from riskwin.session import checkpoint_root
 
@@ -238,10 +239,10 @@ def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> Data
     ``component_id``, once each. Rows with a null id can't be told apart and
     all stay."""
     ids = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("times"))
-    ids = ids.withColumnRenamed("doc_id", "keep_id")
-    match = F.col(f"`{id_col}`") == F.col("keep_id")
-    once = docs.join(ids.filter("times = 1"), match, "left_semi")
-    again = docs.join(ids.filter("times > 1"), match, "left_semi").dropDuplicates([id_col])
+    name = fresh(docs, "keep_id")
+    match = F.col(f"`{id_col}`") == F.col(name)
+    once, again = (docs.join(ids.filter(f"times {op} 1").select(F.col("doc_id").alias(name)), match, "left_semi") for op in "=>")
+    again = again.dropDuplicates([id_col])
     return once.unionByName(again).unionByName(docs.filter(F.col(f"`{id_col}`").isNull()))
 
 

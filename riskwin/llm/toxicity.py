@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskwin.llm.batches import small_batches
+from riskwin.llm.columns import columns, fresh
 from riskwin.llm.langid import hash_sample
 
 #: Labelled rows that the lexicon and the curve are fitted on, at most about.
@@ -252,7 +253,8 @@ def score_text(text: str | None, model: ToxicityModel, automaton) -> float:
 
 
 def score(df: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """``df`` with ``toxicity`` (0 to 1) and ``toxic_terms`` (matches counted).
+    """``df`` with ``toxicity`` (0 to 1) and ``toxic_terms`` (matches counted);
+    columns that have these names already are replaced.
 
     A null or empty text scores like one without a match."""
     parts = (model.weights, model.exceptions, model.slope, model.offset)
@@ -267,8 +269,8 @@ def score(df: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFr
             rows.append((score_text(t, own, automaton), len(matches(fold(t), automaton)[0])))
         return pd.DataFrame(rows, columns=["toxicity", "toxic_terms"])
 
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    return df.select(*columns, scored(F.col(f"`{text_col}`")).alias("_toxicity")).select(*columns, "_toxicity.*")
+    kept, name = columns(df, ("toxicity", "toxic_terms")), fresh(df, "scored")
+    return df.select(*kept, scored(F.col(f"`{text_col}`")).alias(name)).select(*kept, f"{name}.*")
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:
