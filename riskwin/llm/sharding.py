@@ -89,10 +89,9 @@ def _cut(placed: DataFrame, n_rows: int, shards: int, columns: list[str]) -> Dat
     """Places to shards: shard s has those from s * N / shards on, rounded down."""
     shard = F.expr(f"(place * {shards} + {shards - 1}) div {max(n_rows, 1)}").cast("int")
     # the largest s with floor(s * N / shards) <= place
-    return placed.select(
-        *[F.col("row").getField(c).alias(c) for c in columns if c.lower() not in ("shard", "slot")],
-        shard.alias("shard"), "place",
-    ).withColumn("slot", F.col("place") - F.expr(f"shard * {n_rows}L div {shards}")).drop("place")
+    slot = F.col("place") - F.expr(f"shard * {n_rows}L div {shards}")
+    return placed.withColumn("shard", shard).select("row", "shard", slot.alias("slot")).select(
+        *[F.col("row").getField(c).alias(c) for c in columns if c.lower() not in ("shard", "slot")], "shard", "slot")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -72,7 +72,8 @@ FOLD = fold_table()
 
 def fold(text: str | None) -> str:
     """Folded words of a text, one space around each; " " for none."""
-    return f" {' '.join((text or '').lower().translate(FOLD).split())} "
+    words = (text or "").lower().translate(FOLD).split()
+    return f" {' '.join(words)} " if words else " "
 
 
 @dataclass

@@ -1,0 +1,124 @@
+"""Mixing: weights, limits, whole permutations, and the SQL."""
+import math
+from collections import Counter
+
+import pytest
+from compare import compare, duck
+from conftest import SF_MID, SF_SMALL
+from llm.fixtures import awkward, clashing, docs_of
+
+from riskwin.llm import mixing as M
+
+
+def bisected(tokens, budget_ratio, flatten, repeats):
+    total = sum(tokens)
+    p = [t / total for t in tokens]
+
+    def weights(t):
+        z = sum(x ** t for x in p)
+        return [x ** t / z for x in p]
+
+    def entropy(w):
+        return -sum(x * math.log(x) for x in w)
+
+    target = entropy(p) + flatten * (math.log(len(p)) - entropy(p))
+
+    def root(f):
+        lo, hi = 0.0, 1.0
+        for _ in range(80):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if f(mid) else (lo, mid)
+        return lo
+
+    by_entropy = root(lambda t: entropy(weights(t)) >= target)
+    by_repeats = root(lambda t: max(w / x for w, x in zip(weights(t), p)) * budget_ratio >= repeats)
+    return max(by_entropy, by_repeats)
+
+
+def corpus(spark):
+    rows = []
+    for source, n, words in (("big", 300, 20), ("mid", 60, 15), ("small", 12, 10)):
+        rows += [(len(rows) + i, " ".join(f"{source}{i}w{j}" for j in range(words)), "en", source, 0) for i in range(n)]
+    return docs_of(spark, rows)
+
+
+@pytest.mark.parametrize("flatten, repeats", [(0.5, 100.0), (1.0, 100.0), (1.0, 2.0), (0.0, 100.0)])
+def test_exponent(spark, flatten, repeats):
+    tokens = [6000, 900, 120]
+    totals = spark.createDataFrame([(str(i), t) for i, t in enumerate(tokens)], "source string, tokens long")
+    got = M.exponent(totals, 7020, 7020, flatten, repeats)
+    assert got == pytest.approx(bisected(tokens, 1.0, flatten, repeats), abs=1e-6)
+
+
+def test_weights_and_permutations(spark):
+    docs = corpus(spark)
+    rows = M.mix(docs, flatten=0.8, max_repeats=50.0, block_tokens=500).collect()
+    total = 300 * 20 + 60 * 15 + 12 * 10
+    t = bisected([6000, 900, 120], 1.0, 0.8, 50.0)
+    powers = {"big": (6000 / total) ** t, "mid": (900 / total) ** t, "small": (120 / total) ** t}
+    z = sum(powers.values())
+    used = Counter()
+    for r in rows:
+        used[r["source"]] += r["tokens"]
+    for s, p in powers.items():
+        assert abs(used[s] - p / z * total) <= 20
+    # a whole permutation before a document comes again
+    epochs = Counter((r["doc_id"], r["epoch"]) for r in rows)
+    assert max(epochs.values()) == 1
+    small = sorted({r["epoch"] for r in rows if r["source"] == "small"})
+    assert small == list(range(len(small))) and len(small) > 1
+    for e in small[:-1]:
+        assert sum(r["source"] == "small" and r["epoch"] == e for r in rows) == 12
+    # blocks hold the sources in their weights; slots have no gap
+    blocks = Counter(r["block"] for r in rows)
+    assert all(sorted(r["slot"] for r in rows if r["block"] == b) == list(range(n)) for b, n in blocks.items())
+    for b in blocks:
+        big = sum(r["tokens"] for r in rows if r["block"] == b and r["source"] == "big")
+        every = sum(r["tokens"] for r in rows if r["block"] == b)
+        assert abs(big / every - powers["big"] / z) < 0.1
+
+
+def test_repetition_limit(spark):
+    rows = M.mix(corpus(spark), flatten=1.0, max_repeats=2.0).collect()
+    used = Counter()
+    for r in rows:
+        used[r["source"]] += r["tokens"]
+    assert used["small"] <= 2 * 120 and used["mid"] <= 2 * 900
+
+
+@pytest.mark.parametrize("sf", [SF_SMALL, SF_MID])
+def test_sql(spark, sf):
+    r = compare(M.op4_mixing(spark, sf), duck(sf), M.mixing_sql())
+    assert r["cols"] and r["rows"][0] == r["rows"][1] and r["hash"]
+
+
+def test_awkward_rows(spark):
+    docs = clashing(awkward(spark), ["row", "times", "digest", "n", "tokens", "epoch"])
+    mixture = M.mix(docs, flatten=0.0)
+    once = M.mixed_documents(docs, mixture)
+    assert once.columns == docs.columns
+    # natural weights and one budget's worth: every document of a source with tokens comes once
+    want = Counter(tuple(r) for r in docs.collect() if r["source"] is not None or r["doc_id"] is None and r["text"])
+    got = Counter(tuple(r) for r in once.collect())
+    have = {r["source"] for r in mixture.collect()}
+    assert have == {"a", "b"} or have == {"a", "b", None}
+    assert all(got[k] <= want[k] or k[0] is None for k in got) and sum(got.values()) == mixture.count()
+
+
+def test_null_source_and_repeated_rows(spark):
+    docs = docs_of(spark, [(1, "a b c", "en", None, 0)] * 5 + [(2, "d e f", "de", "s", 0), (2, "d e f", "fr", "s", 0)])
+    mixture = M.mix(docs, budget=42, flatten=0.0)
+    assert Counter(r["source"] for r in mixture.collect()) == {None: 10, "s": 4}
+    assert Counter(r["lang"] for r in M.mixed_documents(docs, mixture).collect()) == {"en": 10, "de": 2, "fr": 2}
+
+
+def test_empty_table(spark):
+    empty = docs_of(spark, [(1, "x")]).limit(0)
+    assert M.mix(empty).count() == 0 and M.mixed_documents(empty, M.mix(empty)).count() == 0
+    blank = docs_of(spark, [(1, "", None, "s", 0), (2, None, None, "s", 0)])
+    assert M.mix(blank).count() == 0
+
+
+def test_plan_is_native(spark):
+    plan = M.mix(corpus(spark))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

@@ -1,0 +1,63 @@
+"""Exact top-k against the whole score matrix."""
+import numpy as np
+import pytest
+from compare import compare, duck
+from conftest import SF_MID
+from pyspark.sql import functions as F
+
+from riskwin.llm import vafile as V
+
+
+def brute(queries, query_ids, vectors, ids, k):
+    out = []
+    for q, i in zip(queries.tolist(), query_ids.tolist()):
+        scores = [(-sum(a * b for a, b in zip(q, v)), j) for v, j in zip(vectors.tolist(), ids.tolist()) if j != i]
+        out.append([(i, j, -s) for s, j in sorted(scores)[:k]])
+    return out
+
+
+@pytest.mark.parametrize("scale, dim", [(40, 16), (1, 4), (5000, 8), (1 << 40, 3), (1 << 62, 2), (0, 3)])
+def test_block_against_brute_force(scale, dim):
+    rng = np.random.default_rng(dim)
+    vectors = rng.integers(-scale, scale + 1, (300, dim))
+    ids = rng.permutation(300).astype(np.int64)
+    queries, q_ids = vectors[:20], ids[:20]
+    q, v, score, read = V.block_topk(queries, q_ids, vectors, ids, 7)
+    got = [[(int(q_ids[a]), int(ids[b]), int(s)) for a, b, s in zip(q, v, score) if a == i] for i in range(20)]
+    want = [[(i, j, max(-(1 << 63), min((1 << 63) - 1, s))) for i, j, s in row] for row in brute(queries, q_ids, vectors, ids, 7)]
+    assert got == want
+
+
+def test_few_vectors_are_read_exactly():
+    rng = np.random.default_rng(0)
+    vectors = (rng.normal(size=(4000, 64)) * 8).astype(np.int64)
+    *_, read = V.block_topk(vectors[:50], np.arange(50), vectors, np.arange(4000), 20)
+    assert read < 50 * 4000 * 0.1
+
+
+def test_sql(spark):
+    r = compare(V.op5_topk(spark, SF_MID), duck(SF_MID), V.TOPK_SQL)
+    assert r["cols"] and r["rows"][0] == r["rows"][1] and r["hash"]
+
+
+def test_blocks_give_the_same(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.integers(-3, 4, 5).tolist()) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    one = sorted(map(tuple, V.exact_topk(df, F.col("vec_id") % 3 == 0, 6).collect()))
+    many = sorted(map(tuple, V.exact_topk(df, F.col("vec_id") % 3 == 0, 6, query_block=7, vector_block=11).collect()))
+    ids = np.arange(120)
+    vs = np.array([r[1] for r in rows])
+    want = sorted((i, n + 1, j, s) for row in brute(vs[::3], ids[::3], vs, ids, 6) for n, (i, j, s) in enumerate(row))
+    assert one == want and many == want
+
+
+def test_awkward_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    raw = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, None), (2, [nan, 1.0]), (3, [inf, 1.0]), (4, [None, 1.0]), (None, [1.0, 1.0]),
+           (5, [0.5, 0.5]), (6, [0.5, 0.5]), (7, [1.0, 1.0, 1.0]), (8, [])]
+    df = spark.createDataFrame([(*r, "x", 1) for r in raw], "vec_id long, embedding array<float>, id string, row int")
+    df = df.filter(V.usable(F.col("embedding"))).withColumn("v", F.transform("embedding", lambda x: F.floor(64.0 * x.cast("double"))))
+    got = sorted(map(tuple, V.exact_topk(df, F.col("vec_id").isin(0, 7, 8), vector_col="v").collect()))
+    assert got == [(0, 1, 5, 64 * 32 + 128 * 32), (0, 2, 6, 64 * 32 + 128 * 32)]
+    assert V.exact_topk(df.limit(0), F.col("vec_id") == 0, vector_col="v").count() == 0
