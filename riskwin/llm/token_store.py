@@ -49,23 +49,12 @@ LEVEL = 3
 #: Text bytes of a file, on average.
 FILE_BYTES = 24 << 20
 #: Pieces remembered by an encoder; others are encoded each time they come.
-MEMORY = 600_000
-_WORD = re.compile(r"([^\W\d_]+)([^\w\s]*)")
+MEMORY = 1_000_000
+_WORD = re.compile(r"(\n?)([^\W\d_]+)([^\w\s]*)")
 #: Name under which a Python worker keeps its encoders from task to task.
 _KEPT = "_token_store_encoders"
 
 
-class Memory(dict):
-    """Ids of pieces, serialised; ``extra`` holds those of one batch."""
-
-    def __init__(self):
-        super().__init__()
-        self.extra: dict[str, bytes] = {}
-
-    def __missing__(self, piece: str) -> bytes:
-        return self.extra[piece]
-
-
 class Encoder:
     """Ids of whole texts by a ``tokenizers`` file, as bytes.
 
@@ -73,8 +62,8 @@ class Encoder:
     both sides of a single blank or line end, so it is asked once for each
     distinct piece between them and its answers are put together. A word of
     letters goes straight to the tokenizer's model. Texts with other white
-    space or with a special token's string, and tokenizers of another kind, are
-    encoded in one go.
+    space, characters that don't print or a special token's string, and
+    tokenizers of another kind, are encoded in one go.
     """
 
     def __init__(self, path: str):
@@ -94,12 +83,16 @@ class Encoder:
             and not parts.get("normalizer") and len(line_end) == 1
             and not any(any(map(str.isspace, t["content"])) or t["lstrip"] or t["rstrip"] or t["single_word"] for t in added))
         self.line_end = line_end.tobytes()
-        self.after_blank, self.line_first, self.signs = Memory(), Memory(), {}
+        # ids of " word", under "word", and of a line end and "word", under
+        # "\nword"; and of signs
+        self.memory: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
         # bytes as the byte-level model spells them: printable ones as they are,
         # the rest as the characters from 256 on
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         odd = [b for b in range(256) if b not in plain]
         self.spelling = {b: 256 + i for i, b in enumerate(odd)}
+        self.blank = " ".translate(self.spelling)
 
     @classmethod
     def kept(cls, path: str) -> "Encoder":
@@ -112,66 +105,57 @@ class Encoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind)
 
-    def _word(self, blank: str, word: str) -> bytes:
-        spelled = blank + (word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.spelling))
-        ids = [t.id for t in self.model.tokenize(spelled)]
-        return struct.pack(f"<{len(ids)}{self.format}", *ids)
-
-    def _learn(self, memory: Memory, pieces: set[str], blank: str) -> None:
-        new, others = {}, []
-        spelled_blank = blank.translate(self.spelling)
-        for piece in pieces.difference(memory):
+    def _new(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that are not remembered."""
+        new: dict[str, bytes] = {}
+        others = []
+        memory, tokenize, width = self.memory, self.model.tokenize, self.format
+        for piece in pieces:
             m = _WORD.fullmatch(piece)
-            if m and m[1].isalpha():
-                word, signs = m.groups()
-                core = memory.get(word) or new.get(word)
-                if core is None:
-                    core = new[word] = self._word(spelled_blank, word)
-                if signs:
-                    if signs not in self.signs:
-                        self.signs[signs] = self._ids(signs).tobytes()
-                    new[piece] = core + self.signs[signs]
-            else:
+            if m is None or not m[2].isalpha():
                 others.append(piece)
+                continue
+            line, word, signs = m.groups()
+            core = memory.get(line + word) or new.get(line + word) if signs or line else None
+            if core is None:
+                spelled = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.spelling)
+                ids = [t.id for t in tokenize(spelled if line else self.blank + spelled)]
+                core = struct.pack(f"<{len(ids)}{width}", *ids)
+                new[line + word] = core = self.line_end + core if line else core
+            if signs:
+                if signs not in self.signs:
+                    if len(self.signs) > MEMORY // 10:
+                        self.signs.clear()
+                    self.signs[signs] = self._ids(signs).tobytes()
+                new[piece] = core + self.signs[signs]
         if others:
             # a line end before each: it is always an id of its own there
-            ids = self._ids("".join(f"\n{blank}{p}" for p in others))
-            cuts = np.flatnonzero(ids == np.frombuffer(self.line_end, self.kind)[0])
-            stops = [*cuts[1:].tolist(), len(ids)]
-            new |= {p: ids[a + 1:b].tobytes() for p, a, b in zip(others, cuts.tolist(), stops)}
-        if len(self.signs) > MEMORY // 10:
-            self.signs.clear()
-        memory.extra = {}
+            ids = self._ids("".join(p if p[0] == "\n" else f"\n {p}" for p in others))
+            cuts = np.flatnonzero(ids == np.frombuffer(self.line_end, self.kind)[0]).tolist()
+            for p, a, b in zip(others, cuts, [*cuts[1:], len(ids)]):
+                new[p] = ids[a if p[0] == "\n" else a + 1:b].tobytes()
         if len(memory) + len(new) <= MEMORY:
             memory.update(new)
-        else:
-            memory.extra = new
+        return new
+
+    def _whole(self, text: str) -> bytes:
+        return self._ids(text).tobytes() if text else b""
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text (null: none), serialised little-endian."""
-        out: list[bytes | None] = []
-        lines: list[list[list[str]] | None] = []
-        rest, first = set(), set()
+        out, known, start = [], self.memory.get, len(self.line_end)
         for text in texts:
             text = text or ""
-            if (not self.by_piece or not text or " ".join(text.split()) != text.replace("\n", " ")
+            pieces = ("\n" + text).replace("\n", " \n").split(" ")[1:]
+            if (not self.by_piece or "" in pieces or "\n" in pieces or not text.replace("\n", "").isprintable()
                     or any(s in text for s in self.special)):
-                lines.append(None)
-                out.append(self._ids(text).tobytes() if text else b"")
+                out.append(self._whole(text))
                 continue
-            words = [line.split(" ") for line in text.split("\n")]
-            for line in words:
-                first.add(line[0])
-                rest.update(line[1:])
-            lines.append(words)
-            out.append(None)
-        self._learn(self.after_blank, rest, " ")
-        self._learn(self.line_first, first, "")
-        start, after = self.line_first, self.after_blank
-        for i, words in enumerate(lines):
-            if words is not None:
-                out[i] = self.line_end.join(
-                    [start[line[0]] + b"".join([after[w] for w in line[1:]]) for line in words])
+            ids = list(map(known, pieces))
+            if None in ids:
+                new = self._new(list({p for p, i in zip(pieces, ids) if i is None}))
+                ids = [new[p] if i is None else i for p, i in zip(pieces, ids)]
+            out.append(b"".join(ids)[start:])
         return out
 
 
@@ -194,7 +178,9 @@ def train_dictionary(rows: DataFrame, tokenizer: str, end_id: int) -> bytes:
             parts = [(ids + end)[:SAMPLE_BYTES] for ids in encoder.encode(b.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], ["ids"])
 
-    parts = sorted(bytes(r["ids"]) for r in sample.select("text").mapInArrow(task, "ids binary").collect())
+    # few tasks: each loads the tokenizer for a few documents
+    few = sample.select("text").repartition(2)
+    parts = sorted(bytes(r["ids"]) for r in few.mapInArrow(task, "ids binary").collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, parts).as_bytes()
     except zstandard.ZstdError:
