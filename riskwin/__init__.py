@@ -1,3 +1,11 @@
-"""riskwin: rolling risk statistics and overrun monitoring on Spark."""
+"""Rolling-window risk statistics and training-data operators on Spark.
 
-__version__ = "0.1.0"
+Python code that runs in tasks is pickled by value, so executors need no copy of
+this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- fixed values (must equal the original job's for equal results) ---------
 # rolling window length in records, overrun threshold, portfolio label
@@ -33,8 +33,8 @@ class RiskParams:
     the halo blocks: ``"blocks"`` reduces each block with numpy inside
     ``applyInPandas`` (vectorised, the default); ``"native"`` uses array
     expressions over ``collect_list`` frames (no Python workers).
-    ``exact_rank_limit``: largest number of candidate values one order
-    statistic may hand to a single task; above it brackets are refined first.
+    ``approx_accuracy``: accuracy of the sketch that brackets the exact ranks;
+    it changes the number of candidates, never a result.
     """
 
     window: int = WINDOW_SIZE
@@ -42,11 +42,9 @@ class RiskParams:
     median: str = "reference"
     quantile_index: str = "reference"
     safety_divisor: str = "history"
-    block_rows: int = 1_000_000
+    block_rows: int = 200_000
     engine: str = "blocks"
-    exact_rank_limit: int = 2_000_000
     approx_accuracy: int = 20_000
-    assets: tuple[str, ...] = field(default=())
 
     def __post_init__(self) -> None:
         if self.window < 1:

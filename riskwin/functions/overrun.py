@@ -13,7 +13,8 @@ def overrun(window_stat: Column, baseline: Column, threshold: float) -> Column:
     """1 when ``(baseline - window) / (1 + baseline) >= threshold``, else 0.
 
     Guards, matching what the original's Python arithmetic yields: a NaN on
-    either side gives 0 (``nan >= t`` is false); NULL (no value) gives 0;
+    either side, or as the ratio of infinities, gives 0 (``nan >= t`` is
+    false); NULL (no value) gives 0;
     ``1 + baseline == 0`` gives the sign of the infinite ratio, i.e. 1 when
     the window fell below the baseline. Division is ``try_divide`` so ANSI
     mode never raises.
@@ -23,7 +24,7 @@ def overrun(window_stat: Column, baseline: Column, threshold: float) -> Column:
     return (
         F.when(b.isNull() | w.isNull() | F.isnan(b) | F.isnan(w), F.lit(0))
         .when(F.lit(1.0) + b == 0, F.when(b > w, F.lit(1)).otherwise(F.lit(0)))
-        .when(ratio >= F.lit(threshold), F.lit(1))
+        .when(~F.isnan(ratio) & (ratio >= F.lit(threshold)), F.lit(1))
         .otherwise(F.lit(0))
         .cast("int")
     )
@@ -40,6 +41,6 @@ def overrun_vs_scalar(window_stat: Column, baseline: float | None, threshold: fl
     den = 1.0 + baseline
     if den == 0.0:
         return F.when(w < F.lit(baseline), F.lit(1)).otherwise(F.lit(0)).cast("int")
-    hit = (F.lit(baseline) - w) / F.lit(den) >= F.lit(threshold)
+    ratio = (F.lit(baseline) - w) / F.lit(den)
     # NaN sorts above every number in Spark, so it is excluded explicitly
-    return F.when(~F.isnan(w) & hit, F.lit(1)).otherwise(F.lit(0)).cast("int")
+    return F.when(~F.isnan(ratio) & (ratio >= F.lit(threshold)), F.lit(1)).otherwise(F.lit(0)).cast("int")

@@ -3,280 +3,116 @@
 Targets are the asset columns plus the pooled portfolio (all asset values
 together), or, for keyed series, one target per key. Statistics:
 
-* ``mean``: arithmetic mean; the portfolio mean is the mean of the asset
-  means (all assets have the same count, so it equals the pooled mean);
+* ``mean``: arithmetic mean;
 * ``median``: ``round((Q(0.5) + Q((N//2+1)/N)) / 2, 4)`` with
-  ``Q(p) = s[ceil(p*N)-1]`` (0-based ascending order ``s``);
+  ``Q(p) = s[ceil(p*N)-1]`` (0-based ascending order ``s``), rounded as in
+  ``functions.rounding``;
 * ``tenth``: ``Q(0.1)``;
 * ``tail_mean``: mean of the ``k = int(0.1*N)`` smallest values;
 * ``safety``: ``mean - sum(|x - mean|) / (2*N)``.
 
-Three passes over the data, each a partial aggregation down to one row per
-target: counts and means; exact ranks (``select_ranks``); deviation and
-tail sums around the per-target mean and tail threshold.
+``target_stats`` is one lazy plan for any number of targets and values. Ranks
+are products in binary floating point on purpose: an exact quantile summary
+computes ``ceil(p * n)`` that way, which can exceed the decimal result
+(``((29//2+1)/29)*29`` is slightly above 15, so the upper median rank for 29
+values is 16).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskwin.config import BATCH_MEDIAN_DIGITS, PORTFOLIO, STATS, TAIL_SHARE, RiskParams
 from riskwin.functions.names import batch_name
-from riskwin.operators.order_stats import grouped_brackets, select_ranks
+from riskwin.functions.rounding import round_exact
+from riskwin.operators.order_stats import history_cells, value_at
 from riskwin.operators.reshape import stack_targets
+from riskwin.sources.clean import valid_records, valid_values
 
 
-def rank_plan(n: int) -> dict[str, int]:
-    """1-based ranks used by the batch statistics for a count ``n``.
-
-    The products are taken in binary floating point on purpose: an exact
-    quantile summary computes ``ceil(p * n)`` that way, which can exceed the
-    decimal result (``((29//2+1)/29)*29`` is slightly above 15, so the upper
-    median rank for 29 values is 16)."""
-    if n <= 0:
-        return {}
+def target_stats(values: DataFrame, params: RiskParams = RiskParams(), stats: Sequence[str] = STATS) -> DataFrame:
+    """(target, n, <stat>...) for ``values`` (target, x), NULL or NaN x left out."""
+    values = valid_values(values)
+    if list(stats) == ["mean"]:
+        return values.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"))
+    cells = history_cells(values, (TAIL_SHARE, 0.5), params.approx_accuracy)
+    n, tail = F.col("n").cast("double"), F.floor(F.lit(TAIL_SHARE) * F.col("n"))
     ranks = {
-        "tenth": math.ceil(TAIL_SHARE * n),
-        "med_lo": math.ceil(0.5 * n),
-        "med_hi": math.ceil(((n // 2 + 1) / n) * n),
-        "tail": int(TAIL_SHARE * n),
+        "tenth": F.ceil(F.lit(TAIL_SHARE) * n),
+        "med_lo": F.ceil(F.lit(0.5) * n),
+        "med_hi": F.least(F.ceil(((F.col("n") / 2).cast("long") + 1).cast("double") / n * n), F.col("n")),
+        "tail": tail,
     }
-    return {k: min(max(v, 1), n) for k, v in ranks.items() if not (k == "tail" and v == 0)}
-
-
-@dataclass
-class BatchStats:
-    """Full-history statistics held as scalars (one per target and stat)."""
-
-    targets: list[str]
-    counts: dict[str, int]
-    values: dict[tuple[str, str], float | None]
-
-    def get(self, target: str, stat: str) -> float | None:
-        return self.values[(target, stat)]
-
-    # ---- DataFrame views -------------------------------------------------
-    def long(self, spark: SparkSession) -> DataFrame:
-        rows = [(t, s, self.values[(t, s)]) for t in self.targets for s in STATS]
-        return spark.createDataFrame(rows, "target string, stat string, value double")
-
-    def wide(self, spark: SparkSession, stats: Sequence[str] = STATS) -> DataFrame:
-        """One row; columns in the original per-asset order."""
-        names = [batch_name(t, s) for t in self.targets for s in stats]
-        vals = [self.values[(t, s)] for t in self.targets for s in stats]
-        schema = T.StructType([T.StructField(n, T.DoubleType(), True) for n in names])
-        return spark.createDataFrame([tuple(vals)], schema)
-
-    def per_target(self, spark: SparkSession) -> DataFrame:
-        """Asset-major orientation: one row per target, one column per stat."""
-        long = self.long(spark)
-        return long.groupBy("target").pivot("stat", list(STATS)).agg(F.first("value"))
-
-    def per_stat(self, spark: SparkSession) -> DataFrame:
-        """Stat-major orientation: one row per stat, one column per target."""
-        long = self.long(spark)
-        return long.groupBy("stat").pivot("target", self.targets).agg(F.first("value"))
-
-
-def _lookup(mapping: dict[str, float], key_col):
-    """Per-target literal, looked up in-expression (no join)."""
-    items = []
-    for k, v in mapping.items():
-        items += [F.lit(k), F.lit(v).cast("double")]
-    return F.element_at(F.create_map(*items), key_col)
-
-
-def stats_from_values(values: DataFrame, counts: dict[str, int], means: dict[str, float],
-                      params: RiskParams = RiskParams(), initial: dict | None = None) -> BatchStats:
-    """Rank-based and deviation statistics, given counts and means.
-
-    ``values``: (target, x). Works for any set of targets. ``initial``:
-    first-round rank brackets when already computed."""
-    targets = list(counts)
-    ranks = {t: rank_plan(counts[t]) for t in targets}
-    picked = select_ranks(values, ranks, counts, limit=params.exact_rank_limit,
-                          accuracy=params.approx_accuracy, initial=initial) if any(ranks.values()) else {}
+    under = F.col("upto") <= tail
+    found = cells.groupBy("target", "n", "mean").agg(
+        *[value_at(F.greatest(r, F.lit(1)) if name != "tail" else r).alias(name) for name, r in ranks.items()],
+        F.sum(F.when(under, F.col("sx")).otherwise(0.0)).alias("under_sum"),
+        F.sum(F.when(under, F.col("c")).otherwise(0)).alias("under_n"),
+        F.sum("sd").alias("absdev"),
+    )
+    columns = {
+        "mean": F.col("mean"),
+        "median": round_exact((F.col("med_hi") + F.col("med_lo")) / 2, BATCH_MEDIAN_DIGITS),
+        "tenth": F.col("tenth"),
+        "tail_mean": F.when(tail > 0, (F.col("under_sum") + F.when(tail > F.col("under_n"), (
+            tail - F.col("under_n")) * F.col("tail")).otherwise(0.0)) / tail),
+        "safety": F.col("mean") - F.col("absdev") / (F.lit(2.0) * n),
+    }
+    return found.select("target", "n", *[columns[s].alias(s) for s in stats])
 
-    tail_t = {t: picked[(t, "tail")] for t in targets if (t, "tail") in picked}
-    t, x = F.col("target"), F.col("x")
-    m = _lookup(means, t)
-    thr = _lookup(tail_t, t) if tail_t else F.lit(None).cast("double")
-    sums = values.groupBy("target").agg(
-        F.sum(F.abs(x - m)).alias("absdev"),
-        F.sum(F.when(x < thr, x).otherwise(F.lit(0.0))).alias("below_sum"),
-        F.count_if(x < thr).alias("below_n"),
-    ).collect()
-    sums = {r["target"]: r for r in sums}
 
-    out: dict[tuple[str, str], float | None] = {}
-    for tg in targets:
-        n = counts[tg]
-        out[(tg, "mean")] = means[tg]
-        if n == 0:
-            for s in ("median", "tenth", "tail_mean", "safety"):
-                out[(tg, s)] = None
-            continue
-        lo, hi = picked[(tg, "med_lo")], picked[(tg, "med_hi")]
-        out[(tg, "median")] = round((hi + lo) / 2, BATCH_MEDIAN_DIGITS)
-        out[(tg, "tenth")] = picked[(tg, "tenth")]
-        k = int(TAIL_SHARE * n)
-        if k > 0:
-            r = sums[tg]
-            tk = tail_t[tg]
-            out[(tg, "tail_mean")] = (r["below_sum"] + (k - r["below_n"]) * tk) / k
-        else:
-            out[(tg, "tail_mean")] = None
-        out[(tg, "safety")] = means[tg] - sums[tg]["absdev"] / (2 * n)
-    return BatchStats(targets, counts, out)
+def history_frame(wide: DataFrame, assets: Sequence[str], params: RiskParams = RiskParams(),
+                  stats: Sequence[str] = STATS) -> DataFrame:
+    """``target_stats`` of every asset column and the pooled portfolio; records
+    with a missing or NaN yield are left out."""
+    return target_stats(stack_targets(valid_records(wide, assets), assets), params, stats)
 
 
-def _one_pass_frame(values: DataFrame) -> DataFrame:
-    """Every statistic's ingredients for every target in one job, for
-    targets whose values fit one task each (the caller checks the count
-    against the limit). One row per target.
+def stats_long(frame: DataFrame, stats: Sequence[str] = STATS) -> DataFrame:
+    """(target, stat, value)."""
+    return frame.select("target", F.inline(F.array(*[
+        F.struct(F.lit(s).alias("stat"), F.col(s).alias("value")) for s in stats])))
 
-    Values are counted per distinct value (ties collapse), then one window
-    per target gives running counts, the target's count and sum; ranks are
-    computed in the plan with the same binary arithmetic as ``rank_plan``."""
-    t, x, c = F.col("target"), F.col("x"), F.col("c")
-    vc = values.groupBy("target", "x").agg(F.count(F.lit(1)).alias("c"))
-    whole = Window.partitionBy("target")
-    upto = whole.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vc = vc.select("target", "x", "c", F.sum(c).over(upto).alias("cum"),
-                   F.sum(c).over(whole).alias("n"), F.sum(c * x).over(whole).alias("sx"))
-    n = F.col("n").cast("double")
-    ranks = {
-        "tenth": F.ceil(F.lit(TAIL_SHARE) * n),
-        "med_lo": F.ceil(F.lit(0.5) * n),
-        "med_hi": F.ceil(((F.col("n") / 2).cast("long") + 1).cast("double") / n * n),
-        "tail": F.floor(F.lit(TAIL_SHARE) * n),
-    }
-    prev, cum = F.col("cum") - c, F.col("cum")
-    m = F.col("sx") / n
-    aggs = [F.first("n").alias("n"), F.first("sx").alias("sx")]
-    aggs += [F.max(F.when((prev < r) & (r <= cum), x)).alias(name) for name, r in ranks.items()]
-    aggs += [
-        F.sum(F.when(cum <= ranks["tail"], c * x).otherwise(F.lit(0.0))).alias("below_sum"),
-        F.sum(F.when(cum <= ranks["tail"], c).otherwise(F.lit(0))).alias("below_n"),
-        F.sum(c * F.abs(x - m)).alias("absdev"),
-    ]
-    return vc.groupBy("target").agg(*aggs)
 
+def stats_wide(frame: DataFrame, targets: Sequence[str], stats: Sequence[str] = STATS) -> DataFrame:
+    """One row; columns in the original per-asset order (NULL without data)."""
+    return frame.agg(*[F.max(F.when(F.col("target") == t, F.col(s))).alias(batch_name(t, s))
+                       for t in targets for s in stats])
 
-def _one_pass_stats(values: DataFrame) -> dict[str, dict]:
-    return {r["target"]: r.asDict() for r in _one_pass_frame(values).collect()}
 
+def stats_per_stat(frame: DataFrame, targets: Sequence[str], stats: Sequence[str] = STATS) -> DataFrame:
+    """Stat-major orientation: one row per stat, one column per target."""
+    return stats_long(frame, stats).groupBy("stat").agg(
+        *[F.max(F.when(F.col("target") == t, F.col("value"))).alias(t) for t in targets])
 
-def _finish_frame(fr: DataFrame) -> DataFrame:
-    """(target, mean, median, tenth, tail_mean, safety) from one-pass rows,
-    in the plan (no driver round trip)."""
-    n = F.col("n").cast("double")
-    k = F.floor(F.lit(TAIL_SHARE) * n)
-    mean = F.col("sx") / n
-    return fr.select(
-        "target",
-        mean.alias("mean"),
-        F.round((F.col("med_hi") + F.col("med_lo")) / 2, BATCH_MEDIAN_DIGITS).alias("median"),
-        F.col("tenth"),
-        F.when(k > 0, (F.col("below_sum") + (k - F.col("below_n")) * F.col("tail")) / k).alias("tail_mean"),
-        (mean - F.col("absdev") / (F.lit(2.0) * n)).alias("safety"),
-    )
 
+@dataclass
+class BatchStats:
+    """A baseline as scalars: one per target and statistic, None without data."""
 
-def _from_one_pass(rows: dict[str, dict], targets: list[str], means: dict[str, float]) -> BatchStats:
-    counts = {tg: int(rows[tg]["n"]) if tg in rows else 0 for tg in targets}
-    out: dict[tuple[str, str], float | None] = {}
-    for tg in targets:
-        r, n = rows.get(tg), counts[tg]
-        out[(tg, "mean")] = means.get(tg)
-        if not r or n == 0:
-            for s in ("median", "tenth", "tail_mean", "safety"):
-                out[(tg, s)] = None
-            continue
-        out[(tg, "median")] = round((r["med_hi"] + r["med_lo"]) / 2, BATCH_MEDIAN_DIGITS)
-        out[(tg, "tenth")] = r["tenth"]
-        k = int(TAIL_SHARE * n)
-        out[(tg, "tail_mean")] = (r["below_sum"] + (k - r["below_n"]) * r["tail"]) / k if k else None
-        out[(tg, "safety")] = means[tg] - r["absdev"] / (2 * n)
-    return BatchStats(targets, counts, out)
+    targets: list[str]
+    counts: dict[str, int]
+    values: dict[tuple[str, str], float | None]
 
+    def get(self, target: str, stat: str) -> float | None:
+        return self.values[(target, stat)]
 
-def full_history_stats(wide: DataFrame, assets: Sequence[str],
-                       params: RiskParams = RiskParams(), n: int | None = None) -> BatchStats:
-    """All five statistics for every asset column and the pooled portfolio.
 
-    ``n``: the record count when the caller knows it. If every target fits
-    ``params.exact_rank_limit`` the whole baseline is one job; otherwise
-    three passes with bracketed exact ranks."""
-    assets = list(assets)
+def full_history_stats(wide: DataFrame, assets: Sequence[str], params: RiskParams = RiskParams()) -> BatchStats:
+    """``history_frame`` collected: one row per asset column and one for the
+    portfolio."""
     targets = [*assets, PORTFOLIO]
-    if n is None:
-        n = wide.count()
-    if n == 0:
-        counts = {a: 0 for a in assets} | {PORTFOLIO: 0}
-        return BatchStats(targets, counts, {(t, s): None for t in targets for s in STATS})
-    values = stack_targets(wide, assets)
-    if n * len(assets) <= params.exact_rank_limit:
-        rows = _one_pass_stats(values)
-        means = {a: rows[a]["sx"] / rows[a]["n"] for a in assets}
-        # the portfolio mean is the mean of the asset means (equal counts)
-        means[PORTFOLIO] = sum(means[a] for a in assets) / len(assets)
-        return _from_one_pass(rows, targets, means)
-    counts = {a: n for a in assets}
-    counts[PORTFOLIO] = n * len(assets)
-    ranks = {t: rank_plan(counts[t]) for t in targets}
-    # one grouped pass: each target's mean and its rank brackets
-    initial, rows = grouped_brackets(values, ranks, counts, params.approx_accuracy, [F.avg("x").alias("_m")])
-    means = {a: rows[a]["_m"] for a in assets}
-    # the portfolio mean is the mean of the asset means (equal counts)
-    means[PORTFOLIO] = sum(means[a] for a in assets) / len(assets)
-    st = stats_from_values(values, counts, means, params, initial=initial)
-    st.targets = targets
-    return st
-
+    rows = {r["target"]: r for r in history_frame(wide, assets, params).collect()}
+    return BatchStats(targets, {t: int(rows[t]["n"]) if t in rows else 0 for t in targets},
+                      {(t, s): rows[t][s] if t in rows else None for t in targets for s in STATS})
 
-def keyed_stats_frame(long: DataFrame, key_col: str, value_col: str,
-                      params: RiskParams = RiskParams()) -> tuple[DataFrame, int]:
-    """(key, mean, median, tenth, tail_mean, safety) per key as a DataFrame,
-    plus the number of keys.
 
-    Keys whose values fit ``exact_rank_limit`` (normally all) are done in
-    one distributed job without the driver; the few larger keys (at most
-    N / limit of them) go through the bracketed exact-rank passes."""
-    key_type = long.schema[key_col].dataType
+def keyed_stats_frame(long: DataFrame, key_col: str, value_col: str, params: RiskParams = RiskParams()) -> DataFrame:
+    """(key, mean, median, tenth, tail_mean, safety) per key; NULL is a key like
+    any other."""
     values = long.select(F.col(key_col).alias("target"), F.col(value_col).alias("x"))
-    counts = values.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"))
-    n_keys, biggest = counts.agg(F.count(F.lit(1)), F.max("n")).collect()[0]
-    limit = params.exact_rank_limit
-    if not n_keys or biggest <= limit:
-        return _finish_frame(_one_pass_frame(values)).withColumnRenamed("target", key_col), int(n_keys or 0)
-    big = counts.where(F.col("n") > F.lit(limit)).collect()
-    big_keys = [r["target"] for r in big]
-    small = _finish_frame(_one_pass_frame(values.where(~F.col("target").isin(big_keys))))
-    big_values = values.where(F.col("target").isin(big_keys)).select(
-        F.col("target").cast("string").alias("target"), "x")
-    st = stats_from_values(big_values, {str(r["target"]): int(r["n"]) for r in big},
-                           {str(r["target"]): r["m"] for r in big}, params)
-    spark = long.sparkSession
-    rows = [(str(t), *[st.get(str(t), s) for s in STATS]) for t in big_keys]
-    large = spark.createDataFrame(rows, "target string, " + ", ".join(f"{s} double" for s in STATS))
-    large = large.select(F.col("target").cast(key_type).alias("target"), *STATS)
-    return small.unionByName(large).withColumnRenamed("target", key_col), int(n_keys)
-
-
-def keyed_history_stats(long: DataFrame, key_col: str, value_col: str,
-                        params: RiskParams = RiskParams()) -> BatchStats:
-    """``keyed_stats_frame`` collected into scalars (for a modest number of
-    keys; use the frame itself to keep many keys distributed)."""
-    frame, _ = keyed_stats_frame(long, key_col, value_col, params)
-    rows = frame.collect()
-    targets = sorted(str(r[key_col]) for r in rows)
-    values = {(str(r[key_col]), s): r[s] for r in rows for s in STATS}
-    counts = {t: None for t in targets}
-    return BatchStats(targets, counts, values)
+    return target_stats(values, params).drop("n").withColumnRenamed("target", key_col)

@@ -1,14 +1,11 @@
 """Dense record index and halo blocks: ordered windows without one task.
 
 ``dense_index`` numbers records 0..N-1 in key order (per series when keys
-are given). Contiguous integer keys need no shuffle (``idx = ID - min``).
-Otherwise the table is range-partitioned on the order key (boundaries are
-sampled, so a dense run of keys cannot pile up in one task), sorted inside
-each partition and checkpointed to the shared folder, which fixes the
-partition layout for the next two passes and survives lost executors. A
-per-partition count (a table of at most partitions x series rows) gives
-each partition's offset; a row's index is that offset plus its position in
-the partition.
+are given), repeated keys included. Key values cut from a sketch split the
+records into buckets of similar size; the cuts enter the plan as literals, so
+the buckets are the same in every pass and need no checkpoint. A count per
+bucket gives its offset; a row's index is the offset plus its place in the
+bucket.
 
 ``halo_blocks`` cuts the index into blocks of ``B`` records and copies the
 first ``W-1`` records of every block into the block before it, so a
@@ -20,74 +17,88 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskwin.session import checkpoint_root
-
-POS_BITS = 33  # monotonically_increasing_id keeps the row position in 33 bits
-BROADCAST_ROWS = 1_000_000
-
-
-def dense_index(df: DataFrame, order_col: str = "ID", keys: Sequence[str] = (),
-                idx_col: str = "idx", rows_per_partition: int = 8_000_000,
-                assume_contiguous: bool | None = None, n_rows: int | None = None) -> DataFrame:
-    keys = list(keys)
-    spark = df.sparkSession
-    if not keys and assume_contiguous is not False:
-        lo, hi, n = df.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).collect()[0]
-        if n == 0:
-            out = df.withColumn(idx_col, F.lit(None).cast("long"))
-            out.row_count, out.key_range = 0, (None, None)
-            return out
-        if assume_contiguous or (hi - lo + 1 == n):
-            # keys are unique (record numbers), so a full range means no gaps
-            out = df.withColumn(idx_col, (F.col(order_col) - F.lit(lo)).cast("long"))
-            out.row_count, out.key_range = int(n), (lo, hi)
-            return out
-        total, key_range = n, (lo, hi)
-    else:
-        total = n_rows if n_rows is not None else df.count()
-        key_range = None
-    checkpoint_root(spark)
-    parts = max(spark.sparkContext.defaultParallelism, math.ceil(total / rows_per_partition), 1)
-    ranged = (
-        df.repartitionByRange(parts, *keys, order_col)
-        .sortWithinPartitions(*keys, order_col)
-        .checkpoint(eager=True)
-    )
-    pos = ranged.select(
-        "*",
-        F.spark_partition_id().alias("_pid"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << POS_BITS) - 1)).alias("_pos"),
-    )
-    per_part = pos.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-    if not keys:
-        # one row per partition (``parts`` rows, chosen above): prefix sums on
-        # the driver, broadcast back
-        rows = sorted((r["_pid"], r["_n"], r["_first"]) for r in per_part.collect())
-        acc, table = 0, []
-        for pid, cnt, first in rows:
-            table.append((pid, first, acc))
-            acc += cnt
-        side = F.broadcast(spark.createDataFrame(table, "_pid int, _first long, _off long"))
+#: Records of a bucket on average, and the accuracy of the cuts.
+BUCKET_ROWS = 1_000_000
+CUT_ACCURACY = 20_000
+
+
+@dataclass
+class Indexed:
+    """``df`` with its index column, the number of its rows and the least and
+    largest key (None without rows)."""
+
+    df: DataFrame
+    n_rows: int
+    first_key: int | None = None
+    last_key: int | None = None
+
+
+def bucket_of(key: Column, cuts: Sequence) -> Column:
+    """Number of ``cuts`` (ascending, distinct) that are not above the key, by
+    bisection in the plan."""
+    if not cuts:
+        return F.lit(0)
+    size = 1 << (len(cuts).bit_length() - 1)
+    steps = [size >> i for i in range(size.bit_length())]
+    table = F.array(*[F.lit(c) for c in cuts])
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda at, step: F.when((at + step <= len(cuts)) & (F.get(table, at + step - 1) <= key), at + step).otherwise(at))
+
+
+def ascending_cuts(df: DataFrame, key: Column, n: int) -> list:
+    """Up to ``n`` distinct values of the key that split the rows evenly."""
+    if n < 1:
+        return []
+    found = df.agg(F.percentile_approx(key, [i / (n + 1) for i in range(1, n + 1)], max(CUT_ACCURACY, 4 * n))).first()[0]
+    return sorted(set(found or []))
+
+
+def _tie_order(df: DataFrame, used: Sequence[str]) -> list[Column]:
+    """Records with the same key follow each other in the order of their other
+    columns; those alike in all columns may follow in any order."""
+    return [F.col(c) for c, kind in df.dtypes if c not in used and "map<" not in kind]
+
+
+def dense_index(df: DataFrame, order_col: str = "ID", keys: Sequence[str] = (), idx_col: str = "idx",
+                contiguous: bool = False, bucket_rows: int = BUCKET_ROWS, n_rows: int | None = None) -> Indexed:
+    """Records numbered in the order of ``order_col``, then their other columns.
+
+    ``contiguous``: the caller vouches that the keys are distinct and without
+    gaps; the index is then the key less the smallest, without a shuffle."""
+    keys, order = list(keys), F.col(order_col)
+    lo, hi, n = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
+    if contiguous and not keys:
+        return Indexed(df.withColumn(idx_col, (order - F.lit(lo)).cast("long")), int(n), lo, hi)
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    cuts = ascending_cuts(df, order, max(parallel, math.ceil(n / bucket_rows)) - 1)
+    placed = df.withColumn("_bucket", bucket_of(order, cuts))
+    counts = placed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(order, *_tie_order(df, [*keys, order_col]))
+    if keys:
+        earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select(
+            *[F.col(k).alias(f"_{k}") for k in keys], F.col("_bucket").alias("_of"),
+            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        same = F.col("_bucket") == F.col("_of")
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        numbered = placed.withColumn("_place", F.row_number().over(in_bucket)).join(offsets, same)
+        index = F.col("_before") + F.col("_place") - 1
     else:
-        before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = per_part.select(
-            *keys, "_pid", "_first",
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-        )
-        # at most partitions + series rows; broadcast only under a checked size
-        n_off = offsets.count()
-        side = F.broadcast(offsets) if n_off <= BROADCAST_ROWS else offsets
-    out = pos.join(side, [*keys, "_pid"]).select(
-        *df.columns,
-        (F.col("_off") + F.col("_pos") - F.col("_first")).cast("long").alias(idx_col),
-    )
-    out.row_count = int(total)  # known here; saves callers a count
-    out.key_range = key_range
-    return out
+        per = {r["_bucket"]: r["_n"] for r in counts.collect()}  # one row a bucket
+        before, total = [], 0
+        for b in range(len(cuts) + 1):
+            before.append(total)
+            total += per.get(b, 0)
+        numbered = placed.withColumn("_place", F.row_number().over(in_bucket))
+        index = F.get(F.array(*[F.lit(x) for x in before]), F.col("_bucket")) + F.col("_place") - 1
+    return Indexed(numbered.select(*df.columns, index.cast("long").alias(idx_col)), int(n), lo, hi)
 
 
 def block_size(n_rows: int, window: int, block_rows: int, parallelism: int) -> int:

@@ -1,232 +1,80 @@
 """Exact order statistics over (target, x) without sorting everything.
 
-``select_ranks`` returns, for every requested (target, name, rank), the
-value of 1-based rank ``rank`` in the ascending order of that target's
-``x`` values: the rule ``s[ceil(p*N)-1]`` that an exact quantile summary
-uses, with the rank computed by the caller.
-
-Plan, per target whose count exceeds ``limit``:
-
-1. ``percentile_approx`` (mergeable sketch, partial aggregation) brackets
-   every rank: values at ranks ``r -/+ slack`` (``grouped_brackets`` does this
-   for all targets in one ``groupBy(target)`` pass);
-2. one aggregation counts the values below each bracket and inside it;
-   a bracket that does not hold its rank is widened, one that holds more
-   than ``limit`` values is narrowed by a sketch over just its values;
-3. the candidates inside the brackets are counted per distinct value and a
-   running sum inside (target, bracket) finds the rank.
-
-Small targets skip 1-2 and go straight to 3 with the whole target as one
-bracket. Only scalars (counts, bracket ends, picked values) reach the
-driver; no task ever holds more than ``limit`` distinct values.
+One plan for any number of targets and values:
+
+1. a grouped sketch (``percentile_approx``) brackets the wanted ranks of every
+   target by values a little below and above them;
+2. the brackets are joined to the values, and one aggregation counts the values
+   between brackets and, inside them, every distinct value;
+3. running counts over these cells place every rank.
+
+Brackets and cells are tables; nothing about a target is in the plan or on the
+driver. The running counts go bucket by bucket through each bracket, so a task
+holds a small part of the candidates of a target only.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-NEG = float("-inf")
-POS = float("inf")
-
-
-@dataclass
-class _Interval:
-    target: str
-    lo: float
-    hi: float
-    below: int = 0
-    inside: int = 0
-    ranks: list = None  # list[(name, rank)]
-
-
-def _merge(brackets: list[tuple[float, float, str, int]]) -> list[tuple[float, float, list]]:
-    """Merge overlapping [lo, hi] brackets; keep the ranks each covers."""
-    out: list[list] = []
-    for lo, hi, name, r in sorted(brackets, key=lambda b: (b[0], b[1])):
-        if out and lo <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], hi)
-            out[-1][2].append((name, r))
-        else:
-            out.append([lo, hi, [(name, r)]])
-    return [(a, b, c) for a, b, c in out]
-
-
-def _in(x, lo: float, hi: float):
-    cond = F.lit(True)
-    if lo != NEG:
-        cond = cond & (x >= F.lit(lo))
-    if hi != POS:
-        cond = cond & (x <= F.lit(hi))
-    return cond
-
-
-def _count_intervals(values: DataFrame, intervals: list[_Interval]) -> None:
-    """One aggregation: values below and inside each interval."""
-    t, x = F.col("target"), F.col("x")
-    exprs = []
-    for i, iv in enumerate(intervals):
-        own = t == F.lit(iv.target)
-        below = own & (x < F.lit(iv.lo)) if iv.lo != NEG else F.lit(False)
-        exprs.append(F.count_if(below).alias(f"b{i}"))
-        exprs.append(F.count_if(own & _in(x, iv.lo, iv.hi)).alias(f"n{i}"))
-    row = values.agg(*exprs).collect()[0]
-    for i, iv in enumerate(intervals):
-        iv.below, iv.inside = int(row[f"b{i}"]), int(row[f"n{i}"])
-
-
-def _sketch(values: DataFrame, asks: dict[str, list[tuple[float, float, str, int, int]]],
-            accuracy: int) -> dict[tuple[str, str], tuple[float, float]]:
-    """Approximate brackets for ranks, one sketch aggregation per round.
-
-    ``asks[target] = [(lo, hi, name, local_rank, local_count)]``: bracket
-    rank ``local_rank`` among the ``local_count`` values of ``target`` that
-    lie in [lo, hi]."""
-    t, x = F.col("target"), F.col("x")
-    # one sketch per (target, interval); all its ranks share it
-    groups: dict[tuple[str, float, float], list] = {}
-    for target, items in asks.items():
-        for lo, hi, name, r, n in items:
-            slack = 3 * math.ceil(n / accuracy) + 1
-            p_lo = max(0.0, (r - slack) / n)
-            p_hi = min(1.0, (r + slack) / n)
-            groups.setdefault((target, lo, hi), []).append((name, p_lo, p_hi))
-    exprs, keys = [], []
-    for gi, ((target, lo, hi), items) in enumerate(groups.items()):
-        probs = [p for _, p_lo, p_hi in items for p in (p_lo, p_hi)]
-        sel = F.when((t == F.lit(target)) & _in(x, lo, hi), x)
-        exprs.append(F.percentile_approx(sel, probs, accuracy).alias(f"q{gi}"))
-        keys.append((target, items))
-    row = values.agg(*exprs).collect()[0]
-    out = {}
-    for gi, (target, items) in enumerate(keys):
-        qs = row[f"q{gi}"]
-        for j, (name, p_lo, p_hi) in enumerate(items):
-            lo, hi = qs[2 * j], qs[2 * j + 1]
-            out[(target, name)] = (NEG if p_lo <= 0.0 else float(lo), POS if p_hi >= 1.0 else float(hi))
-    return out
-
-
-def _probs(r: int, n: int, accuracy: int) -> tuple[float, float]:
-    slack = 3 * math.ceil(n / accuracy) + 1
-    return max(0.0, (r - slack) / n), min(1.0, (r + slack) / n)
-
-
-def grouped_brackets(values: DataFrame, ranks: dict[str, dict[str, int]], counts: dict[str, int],
-                     accuracy: int = 20_000, extra=()) -> tuple[dict, dict]:
-    """First-round brackets for every target in one grouped aggregation:
-    one sketch per target (each value updates only its own target's sketch,
-    combined map-side), over the union of the probabilities any target
-    needs. ``extra``: more aggregate columns computed in the same pass.
-
-    Returns (brackets per target, {target: row of extra values})."""
-    want = {t: {name: _probs(r, counts[t], accuracy) for name, r in rs.items()} for t, rs in ranks.items() if rs}
-    probs = sorted({p for d in want.values() for pair in d.values() for p in pair})
-    rows = values.groupBy("target").agg(
-        F.percentile_approx("x", probs or [0.5], accuracy).alias("_q"), *extra).collect()
-    brackets, other = {}, {}
-    for row in rows:
-        t = str(row["target"])
-        other[t] = row
-        if t not in want:
-            continue
-        at = dict(zip(probs, row["_q"]))
-        brackets[t] = [(NEG if p_lo <= 0.0 else float(at[p_lo]), POS if p_hi >= 1.0 else float(at[p_hi]),
-                        name, ranks[t][name]) for name, (p_lo, p_hi) in want[t].items()]
-    return brackets, other
-
-
-def select_ranks(values: DataFrame, ranks: dict[str, dict[str, int]],
-                 counts: dict[str, int], limit: int = 2_000_000,
-                 accuracy: int = 20_000, max_rounds: int = 8,
-                 initial: dict | None = None) -> dict[tuple[str, str], float]:
-    """Exact values at 1-based ranks. ``values``: columns (target, x), no NULL.
-
-    ``ranks[target][name] = r``; ``counts[target]`` = number of values.
-    ``initial``: first-round brackets already computed (``grouped_brackets``)."""
-    values = values.select(F.col("target").cast("string").alias("target"), F.col("x").cast("double").alias("x"))
-    brackets: dict[str, list[tuple[float, float, str, int]]] = {}
-    big = {t: rs for t, rs in ranks.items() if counts[t] > limit and rs}
-    if big and initial is not None:
-        brackets.update({t: initial[t] for t in big})
-    elif big:
-        asks = {t: [(NEG, POS, name, r, counts[t]) for name, r in rs.items()] for t, rs in big.items()}
-        approx = _sketch(values, asks, accuracy)
-        for t, rs in big.items():
-            brackets[t] = [(*approx[(t, name)], name, r) for name, r in rs.items()]
-    for t, rs in ranks.items():
-        if t not in big and rs:
-            brackets[t] = [(NEG, POS, name, r) for name, r in rs.items()]
-
-    intervals: list[_Interval] = []
-    for _ in range(max_rounds):
-        intervals = [
-            _Interval(t, lo, hi, ranks=rk)
-            for t, bl in brackets.items()
-            for lo, hi, rk in _merge(bl)
-        ]
-        if big:
-            _count_intervals(values, intervals)
-        else:
-            for iv in intervals:
-                iv.below, iv.inside = 0, counts[iv.target]
-        bad, wide = False, {}
-        for iv in intervals:
-            for name, r in iv.ranks:
-                if not (iv.below < r <= iv.below + iv.inside):
-                    bad = True  # sketch missed: open the bracket on that side
-                    side = (NEG, iv.hi) if r <= iv.below else (iv.lo, POS)
-                    brackets[iv.target] = [
-                        (side[0], side[1], n, rr) if n == name else (lo, hi, n, rr)
-                        for lo, hi, n, rr in brackets[iv.target]
-                    ]
-            if iv.inside > limit and iv.lo != iv.hi:
-                wide.setdefault(iv.target, []).extend(
-                    (iv.lo, iv.hi, name, r - iv.below, iv.inside) for name, r in iv.ranks)
-        if bad:
-            continue
-        if not wide:
-            break
-        narrowed = _sketch(values, wide, accuracy)
-        for t, items in wide.items():
-            keep = {name for _, _, name, _, _ in items}
-            brackets[t] = [
-                (*narrowed[(t, n)], n, rr) if n in keep else (lo, hi, n, rr)
-                for lo, hi, n, rr in brackets[t]
-            ]
-            # a narrowed bracket must stay inside the interval it came from
-            src = {name: (lo, hi) for lo, hi, name, _, _ in items}
-            brackets[t] = [
-                (max(lo, src[n][0]), min(hi, src[n][1]), n, rr) if n in src else (lo, hi, n, rr)
-                for lo, hi, n, rr in brackets[t]
-            ]
-    else:
-        raise RuntimeError("order statistic brackets did not converge")
-
-    # tag candidates with their interval, count per distinct value, walk ranks
-    iv_of = None
-    for i, iv in enumerate(intervals):
-        cond = (F.col("target") == F.lit(iv.target)) & _in(F.col("x"), iv.lo, iv.hi)
-        iv_of = F.when(cond, F.lit(i)) if iv_of is None else iv_of.when(cond, F.lit(i))
-    cand = values.select("target", "x", iv_of.alias("iv")).where(F.col("iv").isNotNull())
-    vc = cand.groupBy("iv", "x").count()
-    w = Window.partitionBy("iv").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vc = vc.select("iv", "x", F.sum("count").over(w).alias("cum"), "count")
-    wanted = [(i, name, r - iv.below) for i, iv in enumerate(intervals) for name, r in iv.ranks]
-    spark = values.sparkSession
-    want_df = spark.createDataFrame(wanted, "iv int, name string, local long")
-    hit = vc.join(F.broadcast(want_df), "iv").where(
-        (F.col("cum") - F.col("count") < F.col("local")) & (F.col("local") <= F.col("cum")))
-    out = {}
-    for row in hit.select("iv", "name", "x").collect():
-        out[(intervals[row["iv"]].target, row["name"])] = float(row["x"])
-    missing = [(intervals[i].target, n) for i, n, _ in wanted if (intervals[i].target, n) not in out]
-    if missing:
-        raise RuntimeError(f"ranks not found: {missing}")
-    return out
+#: Buckets that a bracket's values are cut into for the running counts.
+BUCKETS = 64
+
+
+def history_cells(values: DataFrame, shares: tuple[float, ...], accuracy: int = 20_000) -> DataFrame:
+    """Cells of ``values`` (target, x; no NULL or NaN in x), in the order of x:
+
+    (target, n, mean, v, c, sx, sd, upto). A cell is a distinct value ``v``
+    near one of the ``shares`` of the target's values, or (``v`` NULL) all
+    values between two of these regions. ``c`` counts its values, ``sx`` sums
+    them, ``sd`` sums their distances from the mean, ``upto`` counts the values
+    up to and with the cell; ``n`` and ``mean`` are the target's. A target may be NULL.
+    """
+    margin = 4.0 / accuracy
+    at = [p for s in sorted(shares) for p in (max(0.0, s - margin), min(1.0, s + margin))]
+    heads = values.groupBy("target").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"), F.percentile_approx("x", at, accuracy).alias("q"))
+    # with few values the margin is under a rank: all of them are candidates
+    few = F.col("n") * margin < 4
+    ends = [F.when(few, F.lit(float("-inf") if i % 2 == 0 else float("inf"))).otherwise(F.get("q", i)).alias(f"q{i}")
+            for i in range(len(at))]
+    heads = heads.select(F.col("target").alias("of"), "n", "mean", *ends)
+    x = F.col("x")
+    zone, bucket = F.lit(len(at)), F.lit(0)
+    for i in reversed(range(0, len(at), 2)):
+        lo, hi = F.col(f"q{i}"), F.col(f"q{i + 1}")
+        inside = F.when(hi - lo < F.lit(float("inf")), F.least(
+            F.floor(F.try_divide(x - lo, hi - lo) * BUCKETS), F.lit(BUCKETS - 1))).otherwise(F.lit(0))
+        zone = F.when(x < lo, i).when(x <= hi, i + 1).otherwise(zone)
+        bucket = F.when(x < lo, 0).when(x <= hi, F.coalesce(inside, F.lit(0))).otherwise(bucket)
+    placed = values.join(heads, F.col("target").eqNullSafe(F.col("of"))).select(
+        "target", "n", "mean", "x", zone.alias("zone"), bucket.cast("int").alias("bucket"))
+    cells = placed.groupBy("target", "n", "mean", "zone", "bucket", F.when(F.col("zone") % 2 == 1, x).alias("v")).agg(
+        F.count(F.lit(1)).alias("c"), F.sum("x").alias("sx"), F.sum(F.abs(x - F.col("mean"))).alias("sd"))
+    return _running(cells)
+
+
+def _running(cells: DataFrame) -> DataFrame:
+    parts = cells.groupBy("target", "zone", "bucket").agg(F.sum("c").alias("part"))
+    earlier = Window.partitionBy("target").orderBy("zone", "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select(F.col("target").alias("of"), F.col("zone").alias("of_zone"), F.col("bucket").alias("of_bucket"),
+                          F.coalesce(F.sum("part").over(earlier), F.lit(0)).alias("before"))
+    within = Window.partitionBy("target", "zone", "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    same = (F.col("target").eqNullSafe(F.col("of")) & (F.col("zone") == F.col("of_zone"))
+            & (F.col("bucket") == F.col("of_bucket")))
+    return cells.withColumn("own", F.sum("c").over(within)).join(before, same).select(
+        "target", "n", "mean", "v", "c", "sx", "sd", (F.col("before") + F.col("own")).alias("upto"))
+
+
+def value_at(rank: Column) -> Column:
+    """Aggregate over a target's cells: the value at a 1-based rank (NULL for
+    rank 0). Fails if the rank is outside the candidates, which the sketch's
+    error bound rules out."""
+    hit = (F.col("upto") - F.col("c") < rank) & (rank <= F.col("upto"))
+    found = F.max(F.when(hit, F.col("v")))
+    lost = F.max(hit & F.col("v").isNull())
+    return F.when(lost, F.raise_error(F.lit("a rank lies outside its bracket")).cast("double")).otherwise(found)
 
 
 def k_smallest(long: DataFrame, k: int, target_col: str = "target", value_col: str = "x",

@@ -58,25 +58,29 @@ def rolling_stats(indexed: DataFrame, assets: Sequence[str], n_full: int,
                   params: RiskParams = RiskParams(), keys: Sequence[str] = (),
                   stats: Sequence[str] = STATS, portfolio: bool = True,
                   idx_col: str = "idx", names: str = "reference",
-                  carry: Sequence[str] = (), n_rows: int | None = None) -> DataFrame:
+                  carry: Sequence[str] = (), n_rows: int | None = None,
+                  targets: Sequence[str] | None = None) -> DataFrame:
     """One row per complete window with ``len(stats) * (n+1)`` statistics.
 
     ``n_full``: full-history record count, the divisor of the original
     safety measure (``safety_divisor='history'``); a Column gives a
     per-series count (keyed series).
     ``names='reference'`` uses the original column names, ``'plain'`` uses
-    ``<stat>`` (single asset) or ``<target>_<stat>``."""
+    ``<stat>`` (single asset) or ``<target>_<stat>``. ``targets``: the assets
+    (and the portfolio) to report, by default all; only these are computed."""
     assets = list(assets)
     W, n = params.window, len(assets)
+    if list(stats) == ["mean"] and not keys and isinstance(n_full, int):
+        return _rolling_means(indexed, assets, n_full, params, portfolio and n > 1, idx_col, names, targets)
     if params.engine == "blocks":
         from riskwin.operators.rolling_blocks import rolling_stats_blocks
 
         if isinstance(n_full, int):
             return rolling_stats_blocks(indexed, assets, n_full, params, keys, stats, portfolio,
-                                        idx_col, names, n_rows)
+                                        idx_col, names, n_rows, targets=targets)
         # a per-series count travels as the first carried column
         return rolling_stats_blocks(indexed, assets, None, params, keys, stats, portfolio,
-                                    idx_col, names, n_rows, n_full_col=carry[0])
+                                    idx_col, names, n_rows, n_full_col=carry[0], targets=targets)
     if n_rows is None and isinstance(n_full, int) and not keys:
         n_rows = n_full
     frames = window_frames(indexed, assets, params, keys, idx_col, carry, n_rows)
@@ -104,6 +108,8 @@ def rolling_stats(indexed: DataFrame, assets: Sequence[str], n_full: int,
     # step 2: statistics read off the arrays
     out = [*keys, "window_index"]
     for t, (_, _, size, k) in parts.items():
+        if targets and t not in targets:
+            continue
         if params.safety_divisor == "history":
             div = n_full * (n if t == PORTFOLIO else 1) if isinstance(n_full, int) else n_full
         else:
@@ -118,6 +124,25 @@ def rolling_stats(indexed: DataFrame, assets: Sequence[str], n_full: int,
     return step.select(*out)
 
 
+def _rolling_means(indexed: DataFrame, assets: list[str], n_rows: int, params: RiskParams, portfolio: bool,
+                   idx_col: str, names: str, targets: Sequence[str] | None) -> DataFrame:
+    """Window means as plain window averages; the pooled mean is the mean of the
+    means, since all assets have the same count."""
+    W = params.window
+    B = block_size(n_rows, W, params.block_rows, indexed.sparkSession.sparkContext.defaultParallelism)
+    blocks = halo_blocks(indexed.select(idx_col, *assets), W, B, idx_col)
+    w = Window.partitionBy("blk").orderBy(idx_col).rowsBetween(Window.currentRow, W - 1)
+    framed = blocks.select(idx_col, "own", F.count(F.lit(1)).over(w).alias("c"), *[F.avg(a).over(w).alias(a) for a in assets])
+    means = {a: F.col(a) for a in assets}
+    if portfolio:
+        means[PORTFOLIO] = sum(means.values(), F.lit(0.0)) / F.lit(float(len(assets)))
+    shown = {t: m for t, m in means.items() if not targets or t in targets}
+    return framed.where(F.col("own") & (F.col("c") == W)).select(
+        F.col(idx_col).alias("window_index"),
+        *[m.alias(window_name(t, "mean") if names == "reference" else "mean" if len(means) == 1 else f"{t}_mean")
+          for t, m in shown.items()])
+
+
 def ordered_columns(assets: Sequence[str], stats: Sequence[str] = STATS, portfolio: bool = True) -> list[str]:
     """Original layout: for each stat, the assets then the portfolio."""
     ts = [*assets, PORTFOLIO] if portfolio else list(assets)

@@ -22,15 +22,20 @@ from riskwin.config import PORTFOLIO, STATS, TAIL_SHARE, RiskParams
 from riskwin.functions.names import window_name
 from riskwin.functions.window_arrays import tail_share
 from riskwin.operators.index import block_size, halo_blocks
-from riskwin.session import ship_package
 
 CHUNK = 4096  # frames reduced per numpy step (bounds temporary memory)
-MAX_BLOCK = 200_000  # records per block for this engine
+SORTED = ("median", "tenth", "tail_mean")  # statistics read off the sorted frame
 
 
 def _stats(v: np.ndarray, m: np.ndarray, size: int, n_assets: int, div: np.ndarray,
-           params: RiskParams) -> dict[str, np.ndarray]:
-    """v: (frames, size) values in record order; m: (frames,) means."""
+           params: RiskParams, stats: Sequence[str] = STATS) -> dict[str, np.ndarray]:
+    """v: (frames, size) values in record order; m: (frames,) means. Only what
+    ``stats`` asks for is computed."""
+    out = {"mean": m}
+    if "safety" in stats:
+        out["safety"] = m - np.abs(v - m[:, None]).sum(axis=1) / (2.0 * div)
+    if not any(st in stats for st in SORTED):
+        return out
     s = np.sort(v, axis=1)
     if params.median == "reference":
         c = size // 2
@@ -47,15 +52,15 @@ def _stats(v: np.ndarray, m: np.ndarray, size: int, n_assets: int, div: np.ndarr
     tenth = s[:, ti] if ti < size else np.full(len(s), np.nan)
     k = int(share)
     tail = s[:, :k].sum(axis=1) / share if k else np.zeros(len(s))
-    safety = m - np.abs(v - m[:, None]).sum(axis=1) / (2.0 * div)
-    return {"mean": m, "median": med, "tenth": tenth, "tail_mean": tail, "safety": safety}
+    return out | {"median": med, "tenth": tenth, "tail_mean": tail}
 
 
 def rolling_stats_blocks(indexed: DataFrame, assets: Sequence[str], n_full,
                          params: RiskParams = RiskParams(), keys: Sequence[str] = (),
                          stats: Sequence[str] = STATS, portfolio: bool = True,
                          idx_col: str = "idx", names: str = "reference",
-                         n_rows: int | None = None, n_full_col: str | None = None) -> DataFrame:
+                         n_rows: int | None = None, n_full_col: str | None = None,
+                         targets: Sequence[str] | None = None) -> DataFrame:
     """Same output as ``rolling.rolling_stats``. ``n_full``: an int, or None
     with ``n_full_col`` naming a per-series count column in ``indexed``."""
     assets, keys = list(assets), list(keys)
@@ -64,12 +69,12 @@ def rolling_stats_blocks(indexed: DataFrame, assets: Sequence[str], n_full,
     spark = indexed.sparkSession
     if n_rows is None:
         n_rows = n_full if isinstance(n_full, int) else indexed.count()
-    B = min(block_size(n_rows, W, params.block_rows, spark.sparkContext.defaultParallelism),
-            max(MAX_BLOCK, W - 1))
+    B = block_size(n_rows, W, params.block_rows, spark.sparkContext.defaultParallelism)
     carry = [n_full_col] if n_full_col else []
     blocks = halo_blocks(indexed.select(*keys, idx_col, *carry, *assets), W, B, idx_col)
 
-    targets = [*assets, PORTFOLIO] if pooled else assets
+    targets = list(targets) if targets else ([*assets, PORTFOLIO] if pooled else assets)
+    pooled = pooled and PORTFOLIO in targets
     out_names = []
     for t in targets:
         for st in stats:
@@ -106,12 +111,13 @@ def rolling_stats_blocks(indexed: DataFrame, assets: Sequence[str], n_full,
             means = frames.mean(axis=2)
             res = {}
             for j, a in enumerate(assets):
-                div = np.full(len(sel), float(W) if safety_window else nf)
-                res[a] = _stats(frames[:, j, :], means[:, j], W, 1, div, params)
+                if a in targets:
+                    div = np.full(len(sel), float(W) if safety_window else nf)
+                    res[a] = _stats(frames[:, j, :], means[:, j], W, 1, div, params, stats)
             if pooled:
                 div = np.full(len(sel), float(W * n) if safety_window else nf * n)
                 res[PORTFOLIO] = _stats(frames.reshape(len(sel), n * W), means.mean(axis=1),
-                                        W * n, n, div, params)
+                                        W * n, n, div, params, stats)
             for t, st, nm in out_names:
                 cols[nm].append(res[t][st])
         # key values repeated as object columns (numpy unicode arrays do not
@@ -122,5 +128,4 @@ def rolling_stats_blocks(indexed: DataFrame, assets: Sequence[str], n_full,
             out[nm] = pd.Series(np.concatenate(cols[nm]))
         return pd.DataFrame(out)[schema.fieldNames()]
 
-    ship_package(spark)
     return blocks.groupBy(*keys, "blk").applyInPandas(per_block, schema)

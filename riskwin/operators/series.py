@@ -3,8 +3,8 @@
 The same five statistics per series: rolling windows per series (dense
 index and halo blocks keyed by series, so one long series still spreads
 over many tasks), a full-history baseline per series, and the five flags.
-Per-series tables (counts, baselines) have one row per series and are
-broadcast only under a checked row count.
+Records without an ID or a number are left out (``split_invalid`` gives them);
+a NULL series is a series like any other.
 """
 
 from __future__ import annotations
@@ -15,35 +15,30 @@ from pyspark.sql import functions as F
 from riskwin.config import STATS, RiskParams
 from riskwin.functions.overrun import overrun
 from riskwin.operators.batch import keyed_stats_frame
-from riskwin.operators.index import BROADCAST_ROWS, dense_index
+from riskwin.operators.index import dense_index
 from riskwin.operators.rolling import rolling_stats
-
-
-def _small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Broadcast a per-series table only under a checked row count."""
-    rows = df.count() if rows is None else rows
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+from riskwin.sources.clean import split_invalid
 
 
 def rolling_by_series(long: DataFrame, params: RiskParams = RiskParams(), key: str = "series",
                       order: str = "ID", value: str = "yield") -> DataFrame:
     """(series, window_index, mean, median, tenth, tail_mean, safety)."""
-    counts = long.groupBy(key).agg(F.count(F.lit(1)).alias("_n_full"))
-    n_series, n_rows = counts.agg(F.count(F.lit(1)), F.sum("_n_full")).collect()[0]
-    n_rows = int(n_rows or 0)
-    indexed = dense_index(long.select(key, order, value), order, keys=[key], n_rows=n_rows)
-    indexed = indexed.join(_small_side(counts, n_series), key)
-    return rolling_stats(indexed, [value], F.col("_n_full"), params, keys=[key],
-                         portfolio=False, names="plain", carry=["_n_full"],
-                         n_rows=int(n_rows)).drop("_n_full")
+    valid, _ = split_invalid(long.select(key, order, value), [value], order)
+    counts = valid.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n_full"))
+    indexed = dense_index(valid, order, keys=[key])
+    # series too short for a window give none and needn't be shuffled
+    long_enough = counts.where(F.col("_n_full") >= params.window)
+    rows = indexed.df.join(long_enough, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+    return rolling_stats(rows, [value], F.col("_n_full"), params, keys=[key], portfolio=False, names="plain",
+                         carry=["_n_full"], n_rows=indexed.n_rows).drop("_n_full")
 
 
 def flags_by_series(long: DataFrame, params: RiskParams = RiskParams(), key: str = "series",
                     order: str = "ID", value: str = "yield") -> DataFrame:
     """(series, window_index, <stat>_ovr...) against each series' own history."""
-    base, n_keys = keyed_stats_frame(long, key, value, params)
-    bdf = base.select(key, *[F.col(s).alias(f"b_{s}") for s in STATS])
-    win = rolling_by_series(long, params, key, order, value)
-    joined = win.join(_small_side(bdf, n_keys), key)
+    valid, _ = split_invalid(long.select(key, order, value), [value], order)
+    base = keyed_stats_frame(valid, key, value, params)
+    base = base.select(F.col(key).alias("_key"), *[F.col(s).alias(f"b_{s}") for s in STATS])
+    joined = rolling_by_series(valid, params, key, order, value).join(base, F.col(key).eqNullSafe(F.col("_key")))
     return joined.select(key, "window_index", *[
         overrun(F.col(s), F.col(f"b_{s}"), params.threshold).alias(f"{s}_ovr") for s in STATS])

@@ -10,63 +10,62 @@ from pyspark.sql import DataFrame
 
 from riskwin.config import RiskParams
 from riskwin.operators.batch import BatchStats, full_history_stats
-from riskwin.operators.index import dense_index
+from riskwin.operators.index import Indexed, dense_index
 from riskwin.operators.overrun import overrun_flags
 from riskwin.operators.reshape import asset_columns
 from riskwin.operators.rolling import rolling_stats
-from riskwin.sources.text import split_invalid
+from riskwin.sources.clean import split_invalid
 
 
 @dataclass
-class Monitor:
+class Prepared:
+    """Usable records with their index, and the rejected ones with the reason."""
+
     assets: list[str]
-    indexed: DataFrame
+    indexed: Indexed
+    rejects: DataFrame
+    kept: DataFrame | None = None
+
+    def release(self) -> None:
+        """Give back what ``persist`` holds."""
+        if self.kept is not None:
+            self.kept.unpersist()
+
+
+@dataclass
+class Monitor:
+    prepared: Prepared
     baseline: BatchStats
     windows: DataFrame
     flags: DataFrame
 
+    @property
+    def assets(self) -> list[str]:
+        return self.prepared.assets
 
-DERIVED = ("Aggregate", "Join", "Window", "Generate", "Union", "Expand")
-
-
-def is_derived(df: DataFrame) -> bool:
-    """True when the plan computes its rows (aggregation, join, ...) rather
-    than reading and projecting files, so re-reading it would redo work."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return any(op in plan for op in DERIVED)
+    @property
+    def rejects(self) -> DataFrame:
+        return self.prepared.rejects
 
 
 def prepare(wide: DataFrame, assets: Sequence[str] | None = None, id_col: str = "ID",
-            params: RiskParams = RiskParams(), persist: bool | str = "auto") -> tuple[list[str], DataFrame]:
-    """Select and index the wide table once; later passes reuse it.
-
-    Indexing reads the input up to three times (key range, range-boundary
-    sample, checkpoint) and the baseline and windows read it again. A plain
-    file scan is cheap to re-read (pruned columns, pushed filters); a derived
-    input (an aggregation, a join) is persisted (memory, spilling to disk) so
-    it is computed once (``persist="auto"``). A lost executor only recomputes
-    its own partitions from lineage."""
+            persist: bool = False, contiguous: bool = False) -> Prepared:
+    """Select, validate and index the wide table.
+
+    Index, baseline and windows each read the input. A file scan is cheap to
+    repeat (pruned columns, pushed filters); for an input that takes work (an
+    aggregation, a join) ``persist`` keeps it in memory, spilling to disk, until
+    ``release``. A lost executor's part is computed anew."""
     assets = list(assets) if assets else asset_columns(wide, id_col)
-    base = wide.select(id_col, *assets)
-    if id_col != "ID":
-        base = base.withColumnRenamed(id_col, "ID")
-    # records with a NULL key or a NULL/NaN yield are rejected at ingest
-    # (``sources.text.split_invalid`` returns them with the reason)
-    base, _rejects = split_invalid(base, assets)
-    if persist is True or (persist == "auto" and is_derived(base)):
-        base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    indexed = dense_index(base, "ID")
-    return assets, indexed
+    base = wide.select(wide[id_col].alias("ID"), *assets)
+    kept = base.persist(StorageLevel.MEMORY_AND_DISK) if persist else None
+    valid, rejects = split_invalid(base, assets)
+    return Prepared(assets, dense_index(valid, "ID", contiguous=contiguous), rejects, kept)
 
 
 def run_monitor(wide: DataFrame, assets: Sequence[str] | None = None, id_col: str = "ID",
-                params: RiskParams = RiskParams()) -> Monitor:
-    assets, indexed = prepare(wide, assets, id_col, params)
-    n = getattr(indexed, "row_count", None)
-    if n is None:
-        n = indexed.count()
-    baseline = full_history_stats(indexed, assets, params, n=n)
-    n = baseline.counts[assets[0]]
-    windows = rolling_stats(indexed, assets, n, params)
-    flags = overrun_flags(windows, baseline, assets, params)
-    return Monitor(assets, indexed, baseline, windows, flags)
+                params: RiskParams = RiskParams(), persist: bool = False) -> Monitor:
+    prepared = prepare(wide, assets, id_col, persist)
+    baseline = full_history_stats(prepared.indexed.df, prepared.assets, params)
+    windows = rolling_stats(prepared.indexed.df, prepared.assets, prepared.indexed.n_rows, params)
+    return Monitor(prepared, baseline, windows, overrun_flags(windows, baseline, prepared.assets, params))

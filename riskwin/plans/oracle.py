@@ -5,8 +5,11 @@ pre-registered parquet views. Doubles are rounded like the Spark side.
 
 from __future__ import annotations
 
+import math
+
 from riskwin.config import PORTFOLIO, STATS, WINDOW_SIZE
 from riskwin.functions.names import batch_name, flag_name, window_name
+from riskwin.functions.rounding import round_exact_sql
 
 ASSETS = [f"asset_{i}" for i in range(1, 7)]
 TARGETS = [*ASSETS, PORTFOLIO]
@@ -50,7 +53,7 @@ rk AS (SELECT target, n, m,
 o AS (SELECT target, x, row_number() OVER (PARTITION BY target ORDER BY x) AS rn FROM v),
 st AS (SELECT rk.target,
           any_value(rk.m) AS mean,
-          round((max(CASE WHEN rn = r_hi THEN x END) + max(CASE WHEN rn = r_lo THEN x END)) / 2, 4) AS median,
+          {round_exact_sql("(max(CASE WHEN rn = r_hi THEN x END) + max(CASE WHEN rn = r_lo THEN x END)) / 2", 4)} AS median,
           max(CASE WHEN rn = r_tenth THEN x END) AS tenth,
           sum(CASE WHEN rn <= k THEN x END) / any_value(k) AS tail_mean,
           any_value(rk.m) - sum(abs(x - rk.m)) / (2 * any_value(rk.n)) AS safety
@@ -96,7 +99,7 @@ g AS (SELECT window_index, {', '.join(f'l_{a}, list_sort(l_{a}) AS s_{a}, list_a
 h AS (SELECT *, list_sort(l_{PORTFOLIO}) AS s_{PORTFOLIO}, list_avg(l_{PORTFOLIO}) AS m_{PORTFOLIO} FROM g)"""
 
 
-def _window_stat(t: str, s: str) -> str:
+def _window_stat(t: str, s: str, median: str = "reference", quantile: str = "reference", safety: str = "history") -> str:
     pooled = t == PORTFOLIO
     size = W * len(ASSETS) if pooled else W
     sv, lv, mv = f"s_{t}", f"l_{t}", f"m_{t}"
@@ -104,19 +107,21 @@ def _window_stat(t: str, s: str) -> str:
     if s == "mean":
         e = mv
     elif s == "median":
-        e = f"({sv}[{size // 2 + 1}] + {sv}[{size // 2 + 2}]) / 2"
+        first = size // 2 + 1 if median == "reference" else size // 2
+        e = f"({sv}[{first}] + {sv}[{first + 1}]) / 2"
     elif s == "tenth":
-        e = f"{sv}[{int(tail) + 1}]"
+        e = f"{sv}[{int(tail) + 1 if quantile == 'reference' else max(math.ceil(0.1 * size), 1)}]"
     elif s == "tail_mean":
         e = f"list_sum({sv}[1:{int(tail)}]) / CAST({tail!r} AS DOUBLE)"
     else:
         mult = len(ASSETS) if pooled else 1
-        e = f"{mv} - list_sum(list_transform({lv}, lambda x: abs(x - {mv}))) / (2.0 * {mult} * (SELECT n FROM nf))"
+        n = f"{mult} * (SELECT n FROM nf)" if safety == "history" else str(size)
+        e = f"{mv} - list_sum(list_transform({lv}, lambda x: abs(x - {mv}))) / (2.0 * {n})"
     return e
 
 
-def rolling_sql(y: str, stats=STATS, targets=TARGETS) -> str:
-    cols = [f"{_r(_window_stat(t, s))} AS {window_name(t, s)}" for t in targets for s in stats]
+def rolling_sql(y: str, stats=STATS, targets=TARGETS, **options: str) -> str:
+    cols = [f"{_r(_window_stat(t, s, **options))} AS {window_name(t, s)}" for t in targets for s in stats]
     return _window_ctes(y) + "\nSELECT window_index, " + ",\n  ".join(cols) + " FROM h"
 
 
@@ -124,6 +129,7 @@ def rolling_sql(y: str, stats=STATS, targets=TARGETS) -> str:
 def _flag(w: str, b: str) -> str:
     return (f"CAST(CASE WHEN {w} IS NULL OR {b} IS NULL OR isnan({w}) OR isnan({b}) THEN 0 "
             f"WHEN 1 + {b} = 0 THEN CASE WHEN {b} > {w} THEN 1 ELSE 0 END "
+            f"WHEN isnan(({b} - {w}) / (1 + {b})) THEN 0 "
             f"WHEN ({b} - {w}) / (1 + {b}) >= 0.01 THEN 1 ELSE 0 END AS INTEGER)")
 
 
@@ -184,19 +190,24 @@ def series_rolling_sql() -> str:
 
 
 def _series_batch() -> str:
-    return f"""c AS (SELECT series, count(*) AS n, avg(x) AS m FROM e GROUP BY series),
-rk AS (SELECT series, n, m,
+    return _keyed_batch("series", "e")
+
+
+def _keyed_batch(key: str, e: str) -> str:
+    """CTEs ending in ``st`` with a row per key of table ``e`` (key, x)."""
+    return f"""c AS (SELECT {key}, count(*) AS n, avg(x) AS m FROM {e} GROUP BY {key}),
+rk AS (SELECT {key}, n, m,
           CAST(ceil(CAST(0.1 AS DOUBLE) * n) AS BIGINT) AS r_tenth,
           CAST(ceil(CAST(0.5 AS DOUBLE) * n) AS BIGINT) AS r_lo,
           CAST(ceil((CAST(n // 2 + 1 AS DOUBLE) / CAST(n AS DOUBLE)) * CAST(n AS DOUBLE)) AS BIGINT) AS r_hi,
           CAST(floor(CAST(0.1 AS DOUBLE) * n) AS BIGINT) AS k FROM c),
-o AS (SELECT series, x, row_number() OVER (PARTITION BY series ORDER BY x) AS rn FROM e),
-st AS (SELECT rk.series, any_value(rk.m) AS mean,
-          round((max(CASE WHEN rn = r_hi THEN x END) + max(CASE WHEN rn = r_lo THEN x END)) / 2, 4) AS median,
+o AS (SELECT {key}, x, row_number() OVER (PARTITION BY {key} ORDER BY x) AS rn FROM {e}),
+st AS (SELECT rk.{key}, any_value(rk.m) AS mean, any_value(rk.n) AS n,
+          {round_exact_sql("(max(CASE WHEN rn = r_hi THEN x END) + max(CASE WHEN rn = r_lo THEN x END)) / 2", 4)} AS median,
           max(CASE WHEN rn = r_tenth THEN x END) AS tenth,
           sum(CASE WHEN rn <= k THEN x END) / any_value(k) AS tail_mean,
           any_value(rk.m) - sum(abs(x - rk.m)) / (2 * any_value(rk.n)) AS safety
-       FROM o JOIN rk ON o.series = rk.series GROUP BY rk.series)"""
+       FROM o JOIN rk ON o.{key} = rk.{key} GROUP BY rk.{key})"""
 
 
 def series_batch_sql() -> str:
@@ -237,6 +248,57 @@ def parse_sql() -> str:
     return f"WITH {Y1}\nSELECT ID, " + ", ".join(f"{_r(a)} AS {a}" for a in ASSETS) + " FROM y"
 
 
+def dense_index_repeated_sql() -> str:
+    return """SELECT l_orderkey AS ID, l_linenumber, l_partkey, l_suppkey, l_quantity, row_number() OVER (
+  ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity) - 1 AS idx FROM lineitem"""
+
+
+def hot_ties_sql() -> str:
+    return ("WITH e AS (SELECT 'l_discount' AS target, l_discount AS x FROM lineitem UNION ALL SELECT 'l_tax', l_tax FROM lineitem),\n"
+            + _keyed_batch("target", "e") + "\nSELECT target, n, " + ", ".join(f"{_r(s)} AS {s}" for s in STATS) + " FROM st")
+
+
+def all_coordinates_sql() -> str:
+    return ("WITH e AS (SELECT CAST(i - 1 AS INTEGER) AS target, CAST(embedding[i] AS DOUBLE) AS x FROM (\n"
+            "  SELECT embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)),\n"
+            + _keyed_batch("target", "e") + "\nSELECT target, n, " + ", ".join(f"{_r(s)} AS {s}" for s in STATS) + " FROM st")
+
+
+def rejects_sql() -> str:
+    return """WITH l AS (SELECT o_orderkey % 7 AS k, CAST(o_orderkey AS VARCHAR) AS o FROM orders)
+SELECT CASE k WHEN 1 THEN o || ' 0.1' WHEN 2 THEN o || ' NA 0.2' WHEN 3 THEN o || ' 0.1f 0.2d' WHEN 4 THEN ' ' || chr(9) || ' '
+    ELSE 'x' || o || ' 1. +2' END AS line,
+  CASE k WHEN 1 THEN 'too few tokens' WHEN 4 THEN 'blank' ELSE 'not a number' END AS reason
+FROM l WHERE k IN (1, 2, 3, 4, 6)"""
+
+
+def odd_lines_sql() -> str:
+    return """SELECT o_orderkey AS ID, CASE o_orderkey % 7 WHEN 0 THEN 0.1::DOUBLE ELSE -0.5::DOUBLE END AS asset_1,
+  CASE o_orderkey % 7 WHEN 0 THEN 0.2::DOUBLE ELSE 0.001::DOUBLE END AS asset_2
+FROM orders WHERE o_orderkey % 7 IN (0, 5)"""
+
+
+def yield_rejects_sql() -> str:
+    return f"""WITH {Y1}
+SELECT CASE WHEN ID % 25 <> 0 THEN ID END AS ID, {_r('asset_2')} AS asset_2,
+  CASE WHEN ID % 25 = 0 THEN 'missing key' ELSE 'missing or NaN yield' END AS reason
+FROM y WHERE ID % 25 = 0 OR ID % 10 = 0 OR ID % 15 = 1"""
+
+
+def metrics_sql(by: str) -> str:
+    outer, inner = (STATS, TARGETS) if by == "stat" else (TARGETS, STATS)
+    quote, lines = "'" * 2, []
+    for i, o in enumerate(outer):
+        entries = []
+        for x in inner:
+            t, s = (x, o) if by == "stat" else (o, x)
+            entries.append(f"'{quote}{batch_name(t, s)}{quote}: ' || printf('%.{D}f', (SELECT {s} FROM st WHERE target = '{t}'))")
+        lines.append(f"SELECT {i + 4} AS seq, '{{' || " + " || ', ' || ".join(entries) + " || '}' AS line")
+    rule = "-" * 80
+    frame = f"SELECT 0 AS seq, '{rule}' AS line UNION ALL SELECT 2, 'Baseline' UNION ALL SELECT 1000000000, '{rule}'"
+    return _batch_ctes(Y1) + "\nSELECT CAST(seq AS BIGINT) AS seq, line FROM (" + " UNION ALL ".join([frame, *lines]) + ")"
+
+
 def portfolio_value_sql() -> str:
     return """WITH p AS (
   SELECT c_mktsegment AS asset, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, avg(o_totalprice) AS price
@@ -286,6 +348,19 @@ def catalog_sql() -> dict[str, str]:
         "overrun_by_series": series_flags_sql(),
         "portfolio_value": portfolio_value_sql(),
         "stream_overruns": flags_sql(Y1),
+        "stream_overruns_text": flags_sql(Y1),
+        "batch_hot_ties": hot_ties_sql(),
+        "batch_all_coordinates": all_coordinates_sql(),
+        "dense_index_repeated": dense_index_repeated_sql(),
+        "rolling_true_median": rolling_sql(Y1, ["median"], median="true"),
+        "rolling_disc_quantile": rolling_sql(Y1, ["tenth"], quantile="disc"),
+        "rolling_window_safety": rolling_sql(Y1, ["safety"], safety="window"),
+        "rolling_all_native": rolling_sql(Y1),
+        "parse_rejects": rejects_sql(),
+        "parse_odd_lines": odd_lines_sql(),
+        "yield_rejects": yield_rejects_sql(),
+        "metrics_per_stat": metrics_sql("stat"),
+        "metrics_per_asset": metrics_sql("target"),
         "stream_portfolio_value": portfolio_value_sql(),
         "stream_rolling_by_series": series_rolling_sql(),
     })

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -32,17 +31,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, used as it is.
 
-    On a cluster the setting is given and used as is. Only when it is unset
-    (a bare local session, as in tests) do we choose a local folder.
-    """
+    Where the setting is missing, a bare local session (as in tests) gets a
+    folder of its own; on a cluster that would be a folder that executors don't
+    share, so it is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="riskwin-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()
@@ -57,38 +58,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local-only helpers (tests)."""
     return path[5:] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> str:
-    os.makedirs(local_path(path), exist_ok=True)
-    return path
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``riskwin`` importable in Python workers (once per context).
-
-    Zips the package into the shared checkpoint folder and registers it
-    with ``addPyFile``, the standard way to ship code to executors."""
-    sc = spark.sparkContext
-    if getattr(sc, "_riskwin_shipped", False):
-        return
-    import io
-    import zipfile
-
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-        for root, _dirs, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(root, f)
-                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    target = scratch_path(spark, "pkg") + ".zip"
-    jvm = sc._jvm
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
-    out = fs.create(path, True)
-    out.write(bytearray(buf.getvalue()))
-    out.close()
-    sc.addPyFile(target)
-    sc._riskwin_shipped = True

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskwin.config import STATS
@@ -44,11 +44,12 @@ def append_stats(long_stats: DataFrame, path: str, header: str) -> None:
 
 
 def metrics_block(long_stats: DataFrame, header: str, targets: Sequence[str],
-                  by: str = "stat") -> DataFrame:
+                  by: str = "stat", digits: int | None = None, stamp: bool = True) -> DataFrame:
     """SNK2/SNK3 rendering as (seq, line): ``by='stat'`` gives one line per
     statistic listing every target, ``by='target'`` one line per target
     listing every statistic; framed like the original block. A single
-    ``write_lines(..., 'seq')`` writes it in order."""
+    ``append_lines(..., 'seq')`` writes it in order. ``digits`` fixes the
+    decimal places; without ``stamp`` the time line is left out."""
     names = []
     for t in targets:
         for st in STATS:
@@ -57,7 +58,8 @@ def metrics_block(long_stats: DataFrame, header: str, targets: Sequence[str],
     t_pos = F.array_position(F.array(*[F.lit(t) for t in targets]), F.col("target"))
     s_pos = F.array_position(F.array(*[F.lit(st) for st in STATS]), F.col("stat"))
     inner, outer = (t_pos, s_pos) if by == "stat" else (s_pos, t_pos)
-    entry = F.concat(F.lit("'"), name, F.lit("': "), F.col("value").cast("string"))
+    shown = F.col("value").cast("string") if digits is None else F.format_string(f"%.{digits}f", "value")
+    entry = F.concat(F.lit("'"), name, F.lit("': "), shown)
     body = (
         long_stats.select(outer.alias("grp"), inner.alias("pos"), entry.alias("e"))
         .groupBy("grp")
@@ -67,12 +69,29 @@ def metrics_block(long_stats: DataFrame, header: str, targets: Sequence[str],
     )
     spark = long_stats.sparkSession
     frame = spark.createDataFrame([(0, RULE), (2, header), (10 ** 9, RULE)], "seq long, line string")
-    stamp = spark.range(1).select(
+    if stamp:
+        frame = frame.unionByName(time_line(spark))
+    return frame.unionByName(body.select((F.col("seq") + 1).alias("seq"), "line"))
+
+
+def time_line(spark: SparkSession) -> DataFrame:
+    return spark.range(1).select(
         F.lit(1).cast("long").alias("seq"),
         F.concat(F.lit("Time of execution: "), F.current_timestamp().cast("string")).alias("line"))
-    return frame.unionByName(stamp).unionByName(body.select((F.col("seq") + 1).alias("seq"), "line"))
 
 
-def write_lines(lines: DataFrame, path: str, order_col: str) -> None:
-    """Ordered text output; one file per range partition, names in order."""
-    lines.orderBy(order_col).select("line").write.mode("overwrite").text(path)
+def append_scalar(spark: SparkSession, path: str, header: str, name: str, value: float | None) -> None:
+    """SNK1 as text: one framed statistic added to a folder of text files."""
+    rows = [(0, RULE), (2, header), (3, f"{name}: {value}"), (4, RULE)]
+    append_lines(spark.createDataFrame(rows, "seq long, line string").unionByName(time_line(spark)), path, "seq")
+
+
+def append_flags(flags: DataFrame, path: str) -> None:
+    """SNK4 as data: add a run's flags to a Parquet table."""
+    flags.write.mode("append").parquet(path)
+
+
+def append_lines(lines: DataFrame, path: str, order_col: str) -> None:
+    """Add lines to a folder of text files, in order: one file per range
+    partition, names in order within a run."""
+    lines.orderBy(order_col).select("line").write.mode("append").text(path)

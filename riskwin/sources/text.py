@@ -16,14 +16,22 @@ from pyspark.sql import functions as F
 from riskwin.sources.fixtures import asset_names
 
 
+# what a number looks like, as Python's float() takes it (but for underscores)
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:inf|infinity|nan)$"
+
+
 def parse_lines(lines: DataFrame, n_assets: int, line_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    tokens = F.split(F.trim(F.col(line_col)), r"\s+")
+    """(records, rejects with the reason) of lines; white space of any kind
+    parts the tokens and may surround them."""
+    bare = F.regexp_replace(F.col(line_col), r"^\s+|\s+$", "")
+    tokens = F.split(bare, r"\s+")
     assets = asset_names(n_assets)
+    values = [F.get(tokens, i + 1) for i in range(n_assets)]
     parsed = lines.select(
         F.col(line_col).alias("line"),
-        F.when(F.trim(F.col(line_col)) == "", F.lit(0)).otherwise(F.size(tokens)).alias("_n"),
+        F.when(bare.isNull() | (bare == ""), F.lit(0)).otherwise(F.size(tokens)).alias("_n"),
         F.regexp_replace(F.get(tokens, 0), '"', "").try_cast("bigint").alias("ID"),
-        *[F.get(tokens, i + 1).try_cast("double").alias(a) for i, a in enumerate(assets)],
+        *[F.when(v.rlike(NUMBER), v.try_cast("double")).alias(a) for v, a in zip(values, assets)],
     )
     ok = F.col("_n") >= n_assets + 1
     for c in ["ID", *assets]:
@@ -43,25 +51,13 @@ def read_yield_text(spark: SparkSession, path: str, n_assets: int = 6) -> tuple[
     return parse_lines(spark.read.text(path), n_assets)
 
 
-def render_lines(wide: DataFrame, assets: Sequence[str], quote_ids: bool = True) -> DataFrame:
-    """One text line per record: ``"ID" y1 .. yn`` (SRC7 layout)."""
+def render_lines(wide: DataFrame, assets: Sequence[str], quote_ids: bool = True, keep_id: bool = False) -> DataFrame:
+    """One text line per record: ``"ID" y1 .. yn`` (SRC7 layout), beside the ID
+    with ``keep_id``."""
     idc = F.concat(F.lit('"'), F.col("ID").cast("string"), F.lit('"')) if quote_ids else F.col("ID").cast("string")
-    return wide.select(F.concat_ws(" ", idc, *[F.col(a).cast("string") for a in assets]).alias("value"))
+    line = F.concat_ws(" ", idc, *[F.col(a).cast("string") for a in assets]).alias("value")
+    return wide.select("ID", line) if keep_id else wide.select(line)
 
 
 def write_yield_text(wide: DataFrame, path: str, assets: Sequence[str], quote_ids: bool = True) -> None:
     render_lines(wide, assets, quote_ids).write.mode("overwrite").text(path)
-
-
-def split_invalid(wide: DataFrame, assets: Sequence[str], id_col: str = "ID") -> tuple[DataFrame, DataFrame]:
-    """(valid, rejects) for any yields table: a record with a NULL key or a
-    NULL/NaN yield cannot be ranked or averaged, so it goes to the rejects
-    side with the reason instead of into the statistics."""
-    bad_key = F.col(id_col).isNull()
-    bad_val = F.lit(False)
-    for a in assets:
-        bad_val = bad_val | F.col(a).isNull() | F.isnan(F.col(a))
-    valid = wide.where(~bad_key & ~bad_val)
-    rejects = wide.where(bad_key | bad_val).withColumn(
-        "reason", F.when(bad_key, F.lit("missing key")).otherwise(F.lit("missing or NaN yield")))
-    return valid, rejects

@@ -3,16 +3,17 @@
 ``groupBy(series).applyInPandasWithState``: the state of a series is the
 number of its records seen, its last ID and its last ``W-1`` values. Each
 micro-batch hands every active series its new records (sorted by ID; IDs
-not above the last seen are late and dropped); the series' windows that
+not above the last seen are late: counted and dropped); the series' windows that
 became complete are computed with the same numpy reduction as the batch
-block engine and emitted in append mode. State stays ``W-1`` values per
-series, whatever the stream length; the shuffle is by series, so one
-series is one task per micro-batch (micro-batches bound its size).
+block engine, some thousand frames at a time, and emitted in append mode. State
+stays ``W-1`` values per series and goes after ``expire_after_ms`` without records,
+if that is given (for queries that run on: with a time-out Spark never ends an
+``availableNow`` run); a series that comes back then starts anew. The shuffle is by
+series, so one series is one task per micro-batch (micro-batches bound its size).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,80 +24,82 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from riskwin.config import STATS, RiskParams
-from riskwin.operators.rolling_blocks import _stats
-from riskwin.session import scratch_path, ship_package
-from riskwin.streaming.count_window import ROWS_PER_FILE
+from riskwin.operators.rolling_blocks import CHUNK, _stats
+from riskwin.session import scratch_path
+from riskwin.sources.clean import split_invalid
+from riskwin.streaming.replay import write_in_order
 
 
-def keyed_window_stream(stream: DataFrame, counts: dict, params: RiskParams = RiskParams(),
-                        key: str = "series", order: str = "ID", value: str = "yield") -> DataFrame:
-    """Streaming DataFrame (key, window_index, mean, median, tenth, tail_mean, safety).
+def keyed_window_stream(stream: DataFrame, counts: DataFrame, params: RiskParams = RiskParams(),
+                        key: str = "series", order: str = "ID", value: str = "yield",
+                        expire_after_ms: int | None = None) -> DataFrame:
+    """Streaming DataFrame (key, window_index, mean, median, tenth, tail_mean,
+    safety, late). A row without a window index counts the late records of a
+    series in a micro-batch.
 
-    ``counts``: full-history record count per series (the original safety
-    divisor); one entry per series, so a modest number of series."""
+    ``counts``: table (key, n) of full-history record counts (the original
+    safety divisor). A series that isn't in it has no history to be compared
+    with: its ``safety`` is NULL."""
     W = params.window
     key_type = stream.schema[key].dataType
     out_schema = T.StructType([T.StructField(key, key_type), T.StructField("window_index", T.LongType())]
-                              + [T.StructField(s, T.DoubleType()) for s in STATS])
+                              + [T.StructField(s, T.DoubleType()) for s in STATS] + [T.StructField("late", T.LongType())])
     state_schema = T.StructType([T.StructField("seen", T.LongType()), T.StructField("last_id", T.LongType()),
                                  T.StructField("tail", T.ArrayType(T.DoubleType()))])
     safety_window = params.safety_divisor == "window"
-    counts = dict(counts)
+    names = out_schema.fieldNames()
 
     def step(k, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         seen, last_id, tail = (0, None, [])
         if state.exists:
             seen, last_id, tail = state.get
             tail = list(tail)
-        new = pd.concat(list(pdfs)).sort_values(order)
-        if last_id is not None:
-            new = new[new[order] > last_id]
-        if len(new) == 0:
-            return
-        vals = np.concatenate([np.asarray(tail, dtype=np.float64), new[value].to_numpy(np.float64)])
-        first_idx = seen - len(tail)
-        if len(vals) >= W:
-            frames = np.lib.stride_tricks.sliding_window_view(vals, W)
-            nf = float(W if safety_window else counts[k[0]])
-            res = _stats(frames, frames.mean(axis=1), W, 1, np.full(len(frames), nf), params)
-            out = {key: [k[0]] * len(frames),
-                   "window_index": np.arange(first_idx, first_idx + len(frames), dtype=np.int64)}
-            out.update({s: res[s] for s in STATS})
-            yield pd.DataFrame(out)[out_schema.fieldNames()]
-        state.update((seen + len(new), int(new[order].iloc[-1]), vals[len(vals) - (W - 1):].tolist()
-                      if W > 1 else []))
-
-    ship_package(stream.sparkSession)
-    return stream.select(key, order, value).groupBy(key).applyInPandasWithState(
-        step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
-
+        every = pd.concat(list(pdfs)).sort_values(order, kind="stable")
+        new = every if last_id is None else every[every[order] > last_id]
+        if len(new) < len(every):
+            yield pd.DataFrame([{key: k[0], "late": len(every) - len(new)}], columns=names).astype(
+                {"late": "int64", "window_index": "Int64", **{s: "float64" for s in STATS}})
+        if len(new):
+            vals = np.concatenate([np.asarray(tail, dtype=np.float64), new[value].to_numpy(np.float64)])
+            first_idx = seen - len(tail)
+            if len(vals) >= W:
+                every_frame = np.lib.stride_tricks.sliding_window_view(vals, W)
+                history = new["_n"].iloc[0]
+                nf = float(W) if safety_window else float(history) if pd.notna(history) else np.nan
+                for c in range(0, len(every_frame), CHUNK):
+                    frames = every_frame[c:c + CHUNK]
+                    res = _stats(frames, frames.mean(axis=1), W, 1, np.full(len(frames), nf), params)
+                    if np.isnan(nf):
+                        res["safety"] = [None] * len(frames)
+                    out = {key: [k[0]] * len(frames), "late": np.zeros(len(frames), dtype=np.int64),
+                           "window_index": np.arange(first_idx + c, first_idx + c + len(frames), dtype=np.int64)}
+                    yield pd.DataFrame(out | {s: pd.Series(res[s], dtype="float64") for s in STATS})[names]
+            state.update((seen + len(new), int(new[order].iloc[-1]),
+                          vals[len(vals) - (W - 1):].tolist() if W > 1 else []))
+        if expire_after_ms and state.exists:
+            state.setTimeoutDuration(expire_after_ms)
 
-def split_long_to_files(long: DataFrame, path: str, files: int, order: str = "ID") -> None:
-    """Write a long table as ID-ordered Parquet files, in order; at least
-    ``files`` of them and none over ``ROWS_PER_FILE`` records."""
-    files = max(files, math.ceil(long.count() / ROWS_PER_FILE))
-    bounds = long.select(F.percentile_approx(order, [i / files for i in range(1, files)], 10000)).collect()[0][0]
-    edges = [None, *bounds, None]
-    for i in range(files):
-        part = long
-        if edges[i] is not None:
-            part = part.where(F.col(order) > F.lit(edges[i]))
-        if edges[i + 1] is not None:
-            part = part.where(F.col(order) <= F.lit(edges[i + 1]))
-        part.coalesce(1).write.mode("append").parquet(path)
+    known = counts.select(F.col(key).alias("_key"), F.col("n").cast("double").alias("_n"))
+    rows, _ = split_invalid(stream.select(key, order, value), [value], order)
+    rows = rows.join(known, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if expire_after_ms else GroupStateTimeout.NoTimeout
+    return rows.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append", timeout)
 
 
 def stream_rolling_by_series(spark: SparkSession, long: DataFrame, params: RiskParams = RiskParams(),
                              files: int = 4, key: str = "series", order: str = "ID",
                              value: str = "yield") -> DataFrame:
     """Replay a long table as a file stream; return the streamed windows."""
-    long = long.select(key, order, value)
-    counts = {r[key]: int(r["n"]) for r in long.groupBy(key).agg(F.count(F.lit(1)).alias("n")).collect()}
-    src, sink, ck = scratch_path(spark, "keyed-src"), scratch_path(spark, "keyed-sink"), scratch_path(spark, "keyed-ck")
-    split_long_to_files(long, src, files, order)
+    long, _ = split_invalid(long.select(key, order, value), [value], order)
+    counts = long.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    src, sink, ck = (scratch_path(spark, f"keyed-{n}") for n in ("src", "sink", "ck"))
+    write_in_order(long, src, order, files)
     stream = spark.readStream.schema(long.schema).option("maxFilesPerTrigger", 1).parquet(src)
     q = (keyed_window_stream(stream, counts, params, key, order, value).writeStream
          .format("parquet").option("path", sink).option("checkpointLocation", ck)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    return spark.read.parquet(sink).where("window_index IS NOT NULL").drop("late")

@@ -2,103 +2,77 @@
 
 Observations (asset, month, price) arrive in month order across
 micro-batches. Between batches only a small state is kept in the shared
-checkpoint folder, per batch id: each asset's last price (one row per
-asset) and the running value, number of priced assets, initial value and
-last month (one row). A batch continues the running value from that state
-(``valuation.value_steps``), appends its fully priced months with returns
-to ``<sink>/batch_id=<id>`` (overwrite: a replayed batch rewrites itself)
-and writes the next state. Observations not after the last month are late:
-counted and dropped. The union of batches equals the batch valuation.
+checkpoint folder: each asset's last price (one row per asset) and the running
+value, number of priced assets, initial value and last month (one row). A batch
+continues the running value from that state (``valuation.value_steps``), appends
+its fully priced months with returns to ``<sink>/batch_id=<id>`` (overwrite: a
+replayed batch rewrites itself) and writes the next state. Observations not
+after the last month are late: counted and dropped. The union of batches equals
+the batch valuation.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskwin.operators.valuation import holdings_side, value_steps, with_returns
-from riskwin.streaming.count_window import _done_batches
+from riskwin.operators.valuation import first_value, priced_holdings, valid_prices, value_steps, with_returns
+from riskwin.session import scratch_path
+from riskwin.streaming.replay import BatchState, run_stream, write_in_order
+
+COUNTERS = "value double, priced long, init double, last_month date, late long"
+PRICES = T.StructType([T.StructField("asset", T.StringType()), T.StructField("price", T.DoubleType())])
 
 
 class ValuationMonitor:
-    """``foreachBatch`` handler: running portfolio value with carry-forward."""
+    """``foreachBatch`` handler: running portfolio value with carry-forward.
 
-    def __init__(self, spark: SparkSession, holdings: DataFrame, sink: str, state: str):
-        self.spark, self.sink, self.state = spark, sink, state
-        self.side, self.n_assets = holdings_side(holdings)
+    Months are reported once all ``holdings`` have a price."""
 
-    def _previous(self, batch_id: int):
-        done = [i for i in _done_batches(self.spark, f"{self.state}/meta") if i < batch_id]
-        if not done:
-            return None, 0.0, 0, None, None, 0
-        b = done[-1]
-        m = self.spark.read.parquet(f"{self.state}/meta/batch_id={b}").collect()[0]
-        prices = self.spark.read.parquet(f"{self.state}/prices/batch_id={b}")
-        return prices, m["value"], int(m["priced"]), m["init"], m["last_month"], int(m["late"])
+    def __init__(self, spark: SparkSession, holdings: DataFrame, sink: str, state: str):
+        self.spark, self.sink, self.holdings = spark, sink, holdings
+        self.state, self.last_batch = BatchState(spark, state), -1
+        self.n_assets = holdings.count()
 
     def late_records(self) -> int:
-        done = _done_batches(self.spark, f"{self.state}/meta")
-        return self._previous(done[-1] + 1)[5] if done else 0
+        return int(self.state.read_row(self.last_batch)["late"]) if self.last_batch >= 0 else 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        prices, value, priced, init, last_month, late = self._previous(batch_id)
-        obs = batch.select("asset", "month", "price")
-        if last_month is not None:
-            late += batch.where(F.col("month") <= F.lit(last_month)).count()
-            obs = obs.where(F.col("month") > F.lit(last_month))
-        obs = obs.persist()
-        steps = value_steps(obs, self.side, prices, value, priced).persist()
-        end = steps.agg(F.max("month").alias("m"),
-                        F.max_by("portfolio_value", "month").alias("v"),
-                        F.max_by("assets_priced", "month").alias("p"),
-                        F.min_by("portfolio_value", F.when(F.col("assets_priced") == self.n_assets,
-                                                             F.col("month"))).alias("first_full")).collect()[0]
+        if batch_id == 0:
+            prices, value, priced, init, last_month, late = None, 0.0, 0, None, None, 0
+        else:
+            _, value, priced, init, last_month, late = self.state.read_row(batch_id - 1)
+            prices = self.state.read("prices", batch_id - 1, PRICES)
+        rows = valid_prices(batch.select("asset", "month", F.col("price").cast("double").alias("price"))).persist()
+        obs = rows if last_month is None else rows.where(F.col("month") > F.lit(last_month))
+        late += rows.count() - obs.count()
+        steps = value_steps(obs, self.holdings, prices, value, priced).persist()
+        end = steps.agg(F.max("month").alias("m"), F.max_by("portfolio_value", "month").alias("v"),
+                        F.max_by("assets_priced", "month").alias("p")).first()
         if end["m"] is not None:
-            with_returns(steps, self.n_assets, init).write.mode("overwrite") \
-                .parquet(f"{self.sink}/batch_id={batch_id}")
-            if init is None and end["first_full"] is not None:
-                init = end["first_full"]
+            if init is None:
+                init = first_value(steps, self.n_assets).first()["init"]
+            with_returns(steps, self.n_assets, init).write.mode("overwrite").parquet(f"{self.sink}/batch_id={batch_id}")
             value, priced, last_month = end["v"], int(end["p"]), end["m"]
-            latest = Window.partitionBy("asset").orderBy(F.col("month").desc())
-            carried = obs.select("asset", "month", "price")
-            if prices is not None:
-                carried = carried.unionByName(prices.select("asset", F.lit(None).cast("date").alias("month"), "price"))
-            carried = carried.withColumn("_r", F.row_number().over(latest)).where("_r = 1")
-            carried.select("asset", "price").write.mode("overwrite").parquet(f"{self.state}/prices/batch_id={batch_id}")
-        elif prices is not None:
-            prices.write.mode("overwrite").parquet(f"{self.state}/prices/batch_id={batch_id}")
-        else:
-            self.spark.createDataFrame([], "asset string, price double").write.mode("overwrite") \
-                .parquet(f"{self.state}/prices/batch_id={batch_id}")
-        self.spark.createDataFrame(
-            [(float(value), priced, init, last_month, late)],
-            "value double, priced long, init double, last_month date, late long",
-        ).coalesce(1).write.mode("overwrite").parquet(f"{self.state}/meta/batch_id={batch_id}")
+        seen = obs.select("asset", "month", "price")
+        if prices is not None:
+            seen = seen.unionByName(prices.select("asset", F.lit(None).cast("date").alias("month"), "price"))
+        first_date = F.to_date(F.lit("0001-01-01"))
+        latest = seen.groupBy("asset").agg(F.max_by("price", F.struct(F.coalesce("month", first_date), "price")).alias("price"))
+        self.state.write("prices", batch_id, latest)
+        self.state.write_row(batch_id, (float(value), priced, init, last_month, late), COUNTERS)
+        self.last_batch = batch_id
         steps.unpersist()
-        obs.unpersist()
-
-
-def split_by_month(prices: DataFrame, path: str, files: int) -> None:
-    """Write a price table as ``files`` month-ordered Parquet files, one
-    after the other, so arrival order follows month order."""
-    months = sorted(r["month"] for r in prices.select("month").distinct().collect())  # calendar-sized
-    step = max(1, -(-len(months) // files))
-    for i in range(0, len(months), step):
-        chunk = months[i:i + step]
-        prices.where(F.col("month").between(F.lit(chunk[0]), F.lit(chunk[-1]))) \
-            .coalesce(1).write.mode("append").parquet(path)
+        rows.unpersist()
 
 
 def stream_value_from_table(spark: SparkSession, prices: DataFrame, holdings: DataFrame,
                             files: int = 4) -> DataFrame:
     """Replay a price table as a file stream; return the streamed valuation."""
-    from riskwin.session import scratch_path
-    from riskwin.streaming.count_window import run_stream
-
     prices = prices.select("asset", "month", "price")
-    src, sink = scratch_path(spark, "value-src"), scratch_path(spark, "value-sink")
-    state, ck = scratch_path(spark, "value-state"), scratch_path(spark, "value-ck")
-    split_by_month(prices, src, files)
-    handler = ValuationMonitor(spark, holdings, sink, state)
+    src, sink, state, ck = (scratch_path(spark, f"value-{n}") for n in ("src", "sink", "state", "ck"))
+    write_in_order(prices, src, "month", files)
+    handler = ValuationMonitor(spark, priced_holdings(prices, holdings), sink, state)
     run_stream(spark, src, prices.schema, handler, ck)
     return spark.read.parquet(sink).drop("batch_id")

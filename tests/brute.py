@@ -19,7 +19,7 @@ def batch(x):
     k = int(0.1 * n)
     return {
         "mean": m,
-        "median": round((q(s, (n // 2 + 1) / n) + q(s, 0.5)) / 2, 4),
+        "median": round(float(q(s, (n // 2 + 1) / n) + q(s, 0.5)) / 2, 4),
         "tenth": q(s, 0.1),
         "tail_mean": s[:k].sum() / k if k else None,
         "safety": m - np.abs(x - m).sum() / (2 * n),

@@ -10,6 +10,7 @@ CASES = [
     (0.5, 0.6), (0.594, 0.6), (0.6, 0.6), (0.7, 0.6),  # fall / no fall / rise
     (-2.0, -1.0), (0.0, -1.0), (-1.0, -1.0),           # 1 + baseline == 0
     (float("nan"), 0.1), (0.1, float("nan")),          # NaN never flags
+    (float("inf"), float("inf")), (float("-inf"), float("inf")), (0.1, float("inf")), (0.1, float("-inf")), (float("-inf"), 0.1),
     (-0.02, 0.0), (-0.01, 0.0), (0.0, -0.5), (-0.51, -0.5), (3.0, -3.0), (-3.1, -3.0),
 ]
 

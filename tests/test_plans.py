@@ -4,6 +4,7 @@ import pytest
 import __spark_entry__ as se
 from conftest import SF_SMALL
 from riskwin.config import RiskParams
+from riskwin.operators.batch import keyed_stats_frame
 from riskwin.operators.index import dense_index
 from riskwin.operators.rolling import rolling_stats
 from riskwin.sources import fixtures as fx
@@ -16,8 +17,8 @@ def plan(df) -> str:
 @pytest.mark.parametrize("engine", ["blocks", "native"])
 def test_window_plan_has_one_hash_exchange_and_no_single_partition(spark, engine):
     wide = fx.wide_from_embeddings(spark, SF_SMALL)
-    idx = dense_index(wide, "ID")  # contiguous ids: no shuffle for the index
-    p = plan(rolling_stats(idx, fx.asset_names(6), idx.row_count, RiskParams(engine=engine)))
+    idx = dense_index(wide, "ID", contiguous=True)  # no shuffle for the index
+    p = plan(rolling_stats(idx.df, fx.asset_names(6), idx.n_rows, RiskParams(engine=engine)))
     assert "SinglePartition" not in p
     assert p.count("Exchange hashpartitioning(blk") == 1
     assert p.count("Exchange") == 1
@@ -30,9 +31,15 @@ def test_flagship_scan_is_pruned(spark):
     assert "SinglePartition" not in p
 
 
-def test_gapped_index_uses_checkpoint_and_broadcast_offsets(spark):
+def test_gapped_index_has_one_exchange_and_no_checkpoint(spark):
     y2 = fx.wide_from_lineitem(spark, SF_SMALL)
-    p = plan(dense_index(y2, "ID"))
-    assert "Scan ExistingRDD" in p  # reads the checkpointed, range-partitioned copy
-    assert "BroadcastHashJoin" in p
+    p = plan(dense_index(y2, "ID").df)
+    assert "ExistingRDD" not in p and "Join" not in p
     assert "SinglePartition" not in p
+    assert p.count("Exchange hashpartitioning(_bucket") == 1
+
+
+def test_history_has_no_literal_of_a_target(spark):
+    long = fx.long_from_events(spark, SF_SMALL)
+    p = plan(keyed_stats_frame(long, "series", "yield"))
+    assert "click" not in p and "SinglePartition" not in p

@@ -18,7 +18,7 @@ def frame(spark, arr, ids=None):
 
 def run(spark, arr, params, ids=None):
     df = frame(spark, arr, ids)
-    idx = dense_index(df, "ID")
+    idx = dense_index(df, "ID").df
     out = rolling_stats(idx, ASSETS, len(arr), params).orderBy("window_index").collect()
     return out
 
@@ -113,7 +113,7 @@ def test_flatten_records_order_on_gapped_ids(spark):
     from riskwin.operators.reshape import flatten_records
 
     df = frame(spark, np.arange(8, dtype=float).reshape(4, 2), ids=[7, 3, 20, 11])
-    flat = flatten_records(dense_index(df, "ID"), ASSETS).orderBy("flat_idx").collect()
+    flat = flatten_records(dense_index(df, "ID").df, ASSETS).orderBy("flat_idx").collect()
     assert [r["flat_idx"] for r in flat] == list(range(8))
     assert [(r["ID"], r["asset"]) for r in flat] == [(3, "asset_1"), (3, "asset_2"), (7, "asset_1"), (7, "asset_2"),
                                                      (11, "asset_1"), (11, "asset_2"), (20, "asset_1"), (20, "asset_2")]

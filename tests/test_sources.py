@@ -2,7 +2,8 @@ import os
 
 import pytest
 
-from riskwin.session import local_path, scratch_path
+from riskwin.config import RiskParams
+from riskwin.session import scratch_path
 from riskwin.sources.text import parse_lines, read_yield_text, write_yield_text
 
 
@@ -15,13 +16,27 @@ def test_parse_lines_with_rejects(spark):
         ("5 NA 0.2 0.3 0.4 0.5 0.6",),
         ("",),
         ('"x" 0.1 0.2 0.3 0.4 0.5 0.6',),
+        ("\t6 0.1 0.2 0.3 0.4 0.5 0.6\x0b",),
+        ("\t",),
+        (None,),
+        ("7 0.1f 0.2d 0.3 0.4 0.5 0.6",),
     ], "value string")
     good, bad = parse_lines(lines, 6)
     rows = sorted(good.collect())
-    assert [r["ID"] for r in rows] == [1, 2, 3]
+    assert [r["ID"] for r in rows] == [1, 2, 3, 6]
     assert rows[0]["asset_6"] == 0.6 and rows[2]["asset_1"] == 0.001
     reasons = sorted(r["reason"] for r in bad.collect())
-    assert reasons == ["blank", "not a number", "not a number", "too few tokens"]
+    assert reasons == ["blank"] * 3 + ["not a number"] * 3 + ["too few tokens"]
+
+
+@pytest.mark.parametrize("token", ["1", "-1.5", "+.5", "1.", "1e3", "-1E-3", "0.1f", "0.2d", "1_0", "", "abc", ".", "e5", "0x10", "inf", "-Infinity"])
+def test_numbers_are_what_float_takes(spark, token):
+    good, _ = parse_lines(spark.createDataFrame([(f"1 {token} 2",)], "value string"), 2)
+    try:
+        want = [float(token)] if "_" not in token and token else []
+    except ValueError:
+        want = []
+    assert [r["asset_1"] for r in good.collect()] == want
 
 
 def test_text_roundtrip(spark):
@@ -29,44 +44,15 @@ def test_text_roundtrip(spark):
                                "ID long, " + ", ".join(f"asset_{i} double" for i in range(1, 7)))
     path = scratch_path(spark, "test-text")
     write_yield_text(df, path, [f"asset_{i}" for i in range(1, 7)])
-    assert any(f.startswith("part-") for f in os.listdir(local_path(path)))
+    assert any(f.startswith("part-") for f in os.listdir(path.removeprefix("file:")))
     good, bad = read_yield_text(spark, path, 6)
     assert bad.count() == 0
     assert sorted(good.collect()) == sorted(df.collect())
 
 
-def test_sampler_generator_parameters(spark):
-    import numpy as np
-
-    from riskwin.sources.sampler import (GENERATOR_LOCATION, GENERATOR_SCALE, generator_draws_for,
-                                         min_acceptance, tries_per_round, truncated_t)
-
-    acc = min_acceptance(GENERATOR_LOCATION, GENERATOR_SCALE, 4, [-0.1] * 6, [0.1] * 6)
-    assert 0.9 < acc < 1.0
-    assert tries_per_round(acc) <= 12
-    ids = spark.range(1, 20001).withColumnRenamed("id", "ID")
-    draws = generator_draws_for(ids)
-    rows = draws.collect()
-    assert len(rows) == 20000 and len({r["ID"] for r in rows}) == 20000
-    x = np.array([[r[f"asset_{i}"] for i in range(1, 7)] for r in rows])
-    assert x.min() >= -0.1 and x.max() <= 0.1
-    # nearly uniform on the box: mean near the box centre, variance near 0.2^2/12
-    assert np.abs(x.mean(axis=0)).max() < 0.01
-    assert np.abs(x.var(axis=0) - 0.04 / 12).max() < 0.0005
-    # the same ids give the same draws (pure function of id and seed)
-    again = {r["ID"]: r["asset_3"] for r in generator_draws_for(ids.repartition(3)).collect()}
-    assert all(again[r["ID"]] == r["asset_3"] for r in rows[:500])
-    # a concentrated target inside a wide box: acceptance is low but above the floor
-    small = truncated_t(spark, 3000, [0.0, 0.0], [[0.5, 0.1], [0.1, 0.5]], 4, [-1, -1], [1, 1]).collect()
-    assert len(small) == 3000
-    import pytest
-    with pytest.raises(ValueError):
-        truncated_t(spark, 10, [0.0, 0.0], [[1e-4, 0], [0, 1e-4]], 4, [-1, -1], [1, 1])
-
-
 def test_split_invalid_and_monitor_ignores_bad_records(spark):
     from riskwin.plans.monitor import run_monitor
-    from riskwin.sources.text import split_invalid
+    from riskwin.sources.clean import split_invalid
 
     rows = [(i, 0.01 * ((i * 7) % 13) - 0.05, 0.02 * ((i * 5) % 11) - 0.1) for i in range(1, 61)]
     bad = [(61, None, 0.1), (62, float("nan"), 0.1), (None, 0.1, 0.1)]
@@ -79,6 +65,41 @@ def test_split_invalid_and_monitor_ignores_bad_records(spark):
     a = run_monitor(df, ["asset_1", "asset_2"])
     b = run_monitor(clean, ["asset_1", "asset_2"])
     assert sorted(map(tuple, a.flags.collect())) == sorted(map(tuple, b.flags.collect()))
+    assert a.rejects.count() == 3 and b.rejects.count() == 0
+    for engine in ("blocks", "native"):
+        m = run_monitor(df, ["asset_1", "asset_2"], params=RiskParams(engine=engine), persist=True)
+        assert m.windows.count() == 31
+        m.prepared.release()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from riskwin.session import checkpoint_root
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d: d))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(session)
+
+
+def test_text_sinks_append(spark):
+    from riskwin.sinks.metrics import append_flags, append_lines, append_scalar
+
+    path = scratch_path(spark, "test-lines")
+    lines = spark.createDataFrame([(2, "b"), (1, "a")], "seq long, line string")
+    append_lines(lines, path, "seq")
+    append_lines(lines, path, "seq")
+    assert sorted(r[0] for r in spark.read.text(path).collect()) == ["a", "a", "b", "b"]
+    scalar = scratch_path(spark, "test-scalar")
+    append_scalar(spark, scalar, "BATCH", "mean_asset_1", 0.5)
+    append_scalar(spark, scalar, "BATCH", "mean_asset_2", None)
+    text = [r[0] for r in spark.read.text(scalar).collect()]
+    assert len(text) == 10 and "mean_asset_1: 0.5" in text and "mean_asset_2: None" in text
+    flags = scratch_path(spark, "test-flags")
+    append_flags(lines, flags)
+    append_flags(lines, flags)
+    assert spark.read.parquet(flags).count() == 4
 
 
 def test_append_stats_sink(spark):

@@ -42,7 +42,8 @@ def test_stream_drops_and_counts_late_records(spark):
 
     from riskwin.operators.batch import full_history_stats
     from riskwin.session import scratch_path
-    from riskwin.streaming.count_window import CountWindowMonitor, run_stream
+    from riskwin.streaming.count_window import CountWindowMonitor
+    from riskwin.streaming.replay import run_stream
 
     assets = ["asset_1", "asset_2"]
     rng = np.random.default_rng(12)
@@ -68,13 +69,14 @@ def test_stream_drops_and_counts_late_records(spark):
 def test_stream_valuation_equals_batch(spark):
     from riskwin.operators.valuation import segment_holdings
     from riskwin.session import scratch_path
-    from riskwin.streaming.count_window import run_stream
-    from riskwin.streaming.valuation_stream import ValuationMonitor, split_by_month
+    from riskwin.streaming.replay import run_stream
+    from riskwin.streaming.replay import write_in_order
+    from riskwin.streaming.valuation_stream import ValuationMonitor
 
     prices = fx.segment_prices(spark, SF_SMALL).select("asset", "month", "price")
     holdings = segment_holdings(fx.table(spark, SF_SMALL, "customer"))
     src = scratch_path(spark, "val-src")
-    split_by_month(prices, src, 4)
+    write_in_order(prices, src, "month", 4)
     # a late observation in a final file: an early month again
     early = prices.orderBy("month").limit(1)
     early.coalesce(1).write.mode("append").parquet(src)
@@ -104,3 +106,77 @@ def test_keyed_stream_windows_equal_batch(spark):
     for rs, rb in zip(s, b):
         assert rs[:2] == rb[:2]
         assert rs[2:] == pytest.approx(rb[2:], abs=1e-12)
+
+
+@pytest.mark.parametrize("as_text, files", [(True, 3), (False, 1)])
+def test_text_stream_and_single_file(spark, as_text, files):
+    wide = fx.wide_from_embeddings(spark, SF_SMALL).where("ID <= 90")
+    assets = fx.asset_names(6)
+    streamed = stream_flags_from_table(spark, wide, assets, files=files, as_text=as_text)
+    batch = run_monitor(wide, assets).flags
+    assert sorted(map(tuple, streamed.select(*batch.columns).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_shuffled_arrival_equals_batch(spark):
+    """Records up to 40 IDs out of order wait in the buffer; rejects and late
+    ones are counted; the state keeps two slots."""
+    import os
+
+    import numpy as np
+
+    from riskwin.operators.batch import full_history_stats
+    from riskwin.session import scratch_path
+    from riskwin.streaming.count_window import stream_flags
+
+    rng = np.random.default_rng(3)
+    assets = ["asset_1", "asset_2"]
+    rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.normal(0, 0.05, (120, 2)))]
+    full = spark.createDataFrame(rows, "ID long, asset_1 double, asset_2 double")
+    mixed = sorted(rows, key=lambda r: r[0] + rng.integers(0, 30))
+    src = scratch_path(spark, "mixed-src")
+    chunks = [mixed[:40], mixed[40:70] + [(None, 1.0, 1.0), (500, None, 1.0)], mixed[70:],
+              [(1, 9.0, 9.0), (2, 9.0, 9.0)]]
+    for chunk in chunks:
+        spark.createDataFrame(chunk, full.schema).coalesce(1).write.mode("append").parquet(src)
+    base = full_history_stats(full, assets)
+    flags, handler = stream_flags(spark, src, assets, base, 120, full.schema, max_delay=40)
+    batch = run_monitor(full, assets).flags
+    assert sorted(map(tuple, flags.select(*batch.columns).collect())) == sorted(map(tuple, batch.collect()))
+    assert handler.late_records() == 2 and handler.rejected_records() == 2
+    folder = handler.state.folder.removeprefix("file:")
+    assert all(sorted(os.listdir(f"{folder}/{t}")) == ["slot=0", "slot=1"] for t in os.listdir(folder))
+
+
+def test_keyed_stream_counts_late_records_and_meets_new_series(spark):
+    from riskwin.session import scratch_path
+    from riskwin.streaming.keyed_windows import keyed_window_stream
+
+    src, sink = scratch_path(spark, "kl-src"), scratch_path(spark, "kl-sink")
+    schema = "series string, ID long, yield double"
+    first = [("a", i, 0.1 * i) for i in range(40)] + [("new", i, 0.2) for i in range(30)]
+    second = [("a", i, 0.1 * i) for i in range(35, 50)] + [(None, 1, 1.0)]
+    for chunk in (first, second):
+        spark.createDataFrame(chunk, schema).coalesce(1).write.mode("append").parquet(src)
+    counts = spark.createDataFrame([("a", 50)], "series string, n long")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = keyed_window_stream(stream, counts).writeStream.format("parquet").option("path", sink).option(
+        "checkpointLocation", scratch_path(spark, "kl-ck")).outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    rows = spark.read.parquet(sink).collect()
+    assert sum(r["late"] for r in rows if r["series"] == "a") == 5
+    windows = sorted(r["window_index"] for r in rows if r["series"] == "a" and r["window_index"] is not None)
+    assert windows == list(range(21))
+    new = [r for r in rows if r["series"] == "new"]
+    assert len(new) == 1 and new[0]["safety"] is None and new[0]["mean"] == pytest.approx(0.2)
+
+
+def test_holding_without_price_is_reported(spark):
+    from riskwin.operators.valuation import unpriced_holdings
+
+    d = [dt.date(2019, 12, 1), dt.date(2020, 1, 1), dt.date(2021, 5, 1)]
+    prices = spark.createDataFrame([("A", d[0], 10.0), ("A", d[2], 12.0), ("B", d[1], 4.0), ("B", None, 1.0), ("C", d[0], None)],
+                                   "asset string, month date, price double")
+    holdings = spark.createDataFrame([("A", 1.0), ("B", 1.0), ("C", 1.0)], "asset string, share double")
+    rows = portfolio_value(prices, holdings).orderBy("month").collect()
+    assert [(r["month"], r["portfolio_value"]) for r in rows] == [(d[1], 14.0), (d[2], 16.0)]
+    assert [r["asset"] for r in unpriced_holdings(prices, holdings).collect()] == ["C"]

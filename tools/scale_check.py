@@ -3,8 +3,7 @@
 Usage: python tools/scale_check.py <scratch folder> [records]
 
 Writes the records to Parquet under the scratch folder, runs the monitor with
-default parameters (range-partitioned dense index; bracketed exact ranks once
-6N exceeds the one-task limit) and compares the full-history statistics with
+default parameters and compares the full-history statistics with
 a numpy sort of the same data. Not a registered query: the input is synthetic.
 """
 
