@@ -38,6 +38,9 @@ GENERALISE_AT, REMOVE_AT = 0.8, 0.95
 #: Candidate terms up to this number are broadcast to be counted (each is a
 #: word, so about 10 MB); more are counted by a join.
 BROADCAST_TERMS = 200_000
+#: Hashes of texts with such terms up to this number (1.6 MB) are broadcast to
+#: find the texts; more are joined.
+BROADCAST_TEXTS = 100_000
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -160,15 +163,17 @@ def disclosures(found: DataFrame, texts: DataFrame, min_texts: int = MIN_TEXTS,
     held = found.filter(F.size("near") > 0).select("hash", "near").dropDuplicates(["hash"]).select(
         "hash", F.explode("near").alias("near")).select("hash", "near.*")
     n_e = held.groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= min_texts)
-    n_te = (
-        held.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term")
-        .agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= min_texts)
-    )
-    pairs = n_te.join(n_e, "entity").checkpoint()
-    terms = pairs.select("term").distinct()
-    n_t = count_terms(texts, terms, broadcast_terms)
+    near = held.select("hash", "entity", F.explode("terms").alias("term"))
+    n_te = near.groupBy("entity", "term").agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= min_texts)
+    # a term is in no fewer texts than hold it near some entity, which bounds
+    # its disclosure from above: only pairs that can reach the threshold are counted
+    least_n_t = near.select("hash", "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
     information = F.log(F.lit(float(max(n_texts, 1))) / F.col("n_e"))
     share = F.when(information > 0, 1 + F.log(F.col("n_te") / F.col("n_t")) / information).otherwise(0.0)
+    pairs = (
+        n_te.join(n_e, "entity").join(least_n_t, "term").filter(share >= at_least).drop("n_t").checkpoint()
+    )
+    n_t = count_terms(texts, pairs.select("term").distinct(), broadcast_terms)
     return pairs.join(n_t, "term").select("entity", "term", share.alias("disclosure")).filter(F.col("disclosure") >= at_least)
 
 
@@ -186,14 +191,16 @@ def count_terms(texts: DataFrame, terms: DataFrame, broadcast_terms: int = BROAD
                 found = set(_TERM.findall((text or "").lower()))
                 if wanted is not None:
                     found &= wanted.value
-                hashes += [h] * len(found)
-                own += found
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(own, pa.string())], ["hash", "term"])
+                if found:
+                    hashes.append(h)
+                    own.append(sorted(found))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(own, pa.list_(pa.string()))], ["hash", "terms"])
 
-    held = texts.mapInArrow(task, "hash long, term string")
+    held = texts.mapInArrow(task, "hash long, terms array<string>").dropDuplicates(["hash"])
+    held = held.select(F.explode("terms").alias("term"))
     if not few:
         held = held.join(terms, "term", "left_semi")
-    return held.distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+    return held.groupBy("term").agg(F.count("*").alias("n_t"))
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_texts: int = MIN_TEXTS,
@@ -226,7 +233,11 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                          joined([(TERM, a, b) for w, a, b in hits if d[w] >= remove_at])))
         return pd.DataFrame(rows, columns=["terms", "removed"])
 
-    extra = texts.join(of_text, "hash").dropDuplicates(["hash"]).select(
+    of_text = of_text.checkpoint()
+    few = of_text.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS
+    keys = of_text.select("hash")
+    hit = texts.join(F.broadcast(keys) if few else keys, "hash", "left_semi")
+    extra = hit.dropDuplicates(["hash"]).join(of_text, "hash").select(
         "hash", term_spans("text", "base", "terms").alias("t")).select("hash", "t.*")
     spans = F.concat_ws(",", F.nullif(F.col("base"), F.lit("")), F.nullif(F.col("terms"), F.lit("")))
     return found.drop("near").join(extra, "hash", "left").select(
