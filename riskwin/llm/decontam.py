@@ -34,7 +34,7 @@ EDIT_RATE = 0.08
 #: Characters of benchmark items that one pass over the texts looks for; more
 #: items take more passes. The index of a pass is broadcast.
 PASS_CHARS = 4_000_000
-CHUNK = 500_000
+CHUNK = 250_000
 _FAR = 1 << 29
 
 

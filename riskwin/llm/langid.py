@@ -40,7 +40,7 @@ MIN_COUNT = 3
 MIN_SHARE = 0.1
 UNDETERMINED = "und"
 #: Characters that a task handles at once.
-CHUNK = 1_000_000
+CHUNK = 250_000
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
