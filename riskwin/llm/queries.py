@@ -28,5 +28,6 @@ def llm_queries() -> dict[str, Callable]:
 def llm_sql() -> dict[str, str]:
     from riskwin.llm.mixing import mixing_sql
     from riskwin.llm.vafile import TOPK_SQL
+    from riskwin.llm.warc import WARC_SQL
 
-    return {"op4_mixing": mixing_sql(), "op5_topk": TOPK_SQL}
+    return {"op4_mixing": mixing_sql(), "op5_topk": TOPK_SQL, "op7_warc": WARC_SQL}

@@ -258,3 +258,15 @@ def op7_warc(spark, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     archives = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
     return read_archives(archives, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+WARC_SQL = """WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS first FROM p GROUP BY d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  -- five hex digits are four base-32 digits
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((CAST('0x' || substr(d, (i // 4) * 5 + 1, 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN f USING (d)"""

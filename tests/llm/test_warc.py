@@ -6,6 +6,7 @@ import random
 from io import BytesIO
 
 import pytest
+from compare import compare, duck
 from conftest import SF_MID
 from llm.fixtures import clashing, table
 
@@ -40,6 +41,11 @@ def test_pages_round_trip(spark):
     assert got == expected(table(SF_MID, "pages", "page_id, html"))
 
 
+def test_sql(spark):
+    r = compare(W.op7_warc(spark, SF_MID), duck(SF_MID), W.WARC_SQL)
+    assert r["cols"] and r["rows"][0] == r["rows"][1] and r["hash"]
+
+
 @pytest.mark.parametrize("split", [1, 7, 100, 333, 5000, 1 << 20])
 def test_every_record_belongs_to_one_split(split, monkeypatch):
     monkeypatch.setattr(W, "READ", 64)
