@@ -33,8 +33,11 @@ class RiskParams:
     the halo blocks: ``"blocks"`` reduces each block with numpy inside
     ``applyInPandas`` (vectorised, the default); ``"native"`` uses array
     expressions over ``collect_list`` frames (no Python workers).
-    ``approx_accuracy``: accuracy of the sketch that brackets the exact ranks;
-    it changes the number of candidates, never a result.
+    ``ranks``: full-history quantiles are ``"exact"``, or ``"approx"`` as the
+    sketch gives them, in one pass, with a rank error of at most 1 /
+    ``approx_accuracy`` of the values.
+    ``approx_accuracy``: accuracy of the sketch; with exact ranks it changes the
+    number of candidates, never a result.
     """
 
     window: int = WINDOW_SIZE
@@ -45,6 +48,7 @@ class RiskParams:
     block_rows: int = 200_000
     engine: str = "blocks"
     approx_accuracy: int = 20_000
+    ranks: str = "exact"
 
     def __post_init__(self) -> None:
         if self.window < 1:
@@ -55,6 +59,8 @@ class RiskParams:
             raise ValueError("median must be 'reference' or 'true'")
         if self.quantile_index not in ("reference", "disc"):
             raise ValueError("quantile_index must be 'reference' or 'disc'")
+        if self.ranks not in ("exact", "approx"):
+            raise ValueError("ranks must be 'exact' or 'approx'")
         if self.engine not in ("blocks", "native"):
             raise ValueError("engine must be 'blocks' or 'native'")
         if self.safety_divisor not in ("history", "window"):

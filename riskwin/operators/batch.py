@@ -39,6 +39,8 @@ def target_stats(values: DataFrame, params: RiskParams = RiskParams(), stats: Se
     values = valid_values(values)
     if list(stats) == ["mean"]:
         return values.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"))
+    if params.ranks == "approx":
+        return _approximate(values, params, stats)
     cells = history_cells(values, (TAIL_SHARE, 0.5), params.approx_accuracy)
     n, tail = F.col("n").cast("double"), F.floor(F.lit(TAIL_SHARE) * F.col("n"))
     ranks = {
@@ -65,6 +67,24 @@ def target_stats(values: DataFrame, params: RiskParams = RiskParams(), stats: Se
     return found.select("target", "n", *[columns[s].alias(s) for s in stats])
 
 
+def _approximate(values: DataFrame, params: RiskParams, stats: Sequence[str]) -> DataFrame:
+    """Statistics from the sketch's quantiles; the tail mean is that of the values
+    up to the tenth quantile. NULL where ``int(0.1 * N)`` is 0, as with exact
+    ranks."""
+    heads = values.groupBy("target").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"),
+        F.percentile_approx("x", [TAIL_SHARE, 0.5], params.approx_accuracy).alias("q"))
+    heads = heads.select(F.col("target").alias("of"), "n", "mean", F.get("q", 0).alias("tenth"),
+                         round_exact(F.get("q", 1), BATCH_MEDIAN_DIGITS).alias("median"))
+    around = values.join(heads, F.col("target").eqNullSafe(F.col("of"))).groupBy("target", "n", "mean", "tenth", "median").agg(
+        F.avg(F.when(F.col("x") <= F.col("tenth"), F.col("x"))).alias("low"),
+        F.avg(F.abs(F.col("x") - F.col("mean"))).alias("dev"))
+    columns = {"mean": F.col("mean"), "median": F.col("median"), "tenth": F.col("tenth"),
+               "tail_mean": F.when(F.floor(F.lit(TAIL_SHARE) * F.col("n")) > 0, F.col("low")),
+               "safety": F.col("mean") - F.col("dev") / 2}
+    return around.select("target", "n", *[columns[s].alias(s) for s in stats])
+
+
 def history_frame(wide: DataFrame, assets: Sequence[str], params: RiskParams = RiskParams(),
                   stats: Sequence[str] = STATS) -> DataFrame:
     """``target_stats`` of every asset column and the pooled portfolio; records

@@ -63,6 +63,19 @@ def test_ranks_are_exact_at_any_accuracy(spark, accuracy):
             assert got[t][s] == pytest.approx(exp[s], rel=1e-12, abs=1e-12), (t, s)
 
 
+def test_approximate_ranks(spark):
+    rng = np.random.default_rng(2)
+    xs = rng.normal(size=20_000)
+    df = spark.createDataFrame([("a", float(x)) for x in xs] + [(None, 1.0)] * 5, "target string, x double")
+    got = {r["target"]: r for r in target_stats(df, RiskParams(ranks="approx", approx_accuracy=1000)).collect()}
+    exp, s = brute.batch(xs), np.sort(xs)
+    assert abs(np.searchsorted(s, got["a"]["tenth"]) - 2000) <= 20
+    assert abs(np.searchsorted(s, got["a"]["median"]) - 10_000) <= 21
+    assert got["a"]["mean"] == pytest.approx(exp["mean"]) and got["a"]["safety"] == pytest.approx(exp["safety"])
+    assert got["a"]["tail_mean"] == pytest.approx(exp["tail_mean"], abs=0.02)
+    assert got[None]["tail_mean"] is None and got[None]["median"] == 1.0
+
+
 def test_infinite_values(spark):
     xs = [float("-inf")] * 5 + [0.5 * i for i in range(90)] + [float("inf")] * 5
     r = target_stats(spark.createDataFrame([("a", x) for x in xs], "target string, x double")).first()
