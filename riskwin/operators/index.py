@@ -22,8 +22,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Records of a bucket on average, and the accuracy of the cuts.
+#: Records of a bucket at most, on average.
 BUCKET_ROWS = 1_000_000
+#: Records that are worth a bucket, and so a task, of their own.
+LEAST_ROWS = 10_000
+#: Accuracy of the cuts.
 CUT_ACCURACY = 20_000
 
 
@@ -76,7 +79,8 @@ def dense_index(df: DataFrame, order_col: str = "ID", keys: Sequence[str] = (),
     if contiguous and not keys:
         return Indexed(df.withColumn(idx_col, (order - F.lit(lo)).cast("long")), int(n), lo, hi)
     parallel = df.sparkSession.sparkContext.defaultParallelism
-    cuts = ascending_cuts(df, order, max(parallel, math.ceil(n / bucket_rows)) - 1)
+    n_buckets = max(min(parallel, n // LEAST_ROWS), math.ceil(n / bucket_rows))
+    cuts = ascending_cuts(df, order, n_buckets - 1)
     placed = df.withColumn("_bucket", bucket_of(order, cuts))
     counts = placed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(order, *_tie_order(df, [*keys, order_col]))
@@ -91,7 +95,8 @@ def dense_index(df: DataFrame, order_col: str = "ID", keys: Sequence[str] = (),
         numbered = placed.withColumn("_place", F.row_number().over(in_bucket)).join(offsets, same)
         index = F.col("_before") + F.col("_place") - 1
     else:
-        per = {r["_bucket"]: r["_n"] for r in counts.collect()}  # one row a bucket
+        # one row a bucket; a single bucket has all rows
+        per = {r["_bucket"]: r["_n"] for r in counts.collect()} if cuts else {0: n}
         before, total = [], 0
         for b in range(len(cuts) + 1):
             before.append(total)

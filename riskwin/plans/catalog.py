@@ -223,7 +223,7 @@ def overrun_by_series(spark, sf):
 
 # ---- valuation (Y4) ----------------------------------------------------------
 def portfolio_value_q(spark, sf):
-    prices = fx.segment_prices(spark, sf)
+    prices = fx.segment_prices(spark, sf).persist()  # a row per segment and month, read three times
     holdings = segment_holdings(fx.table(spark, sf, "customer"))
     return round_doubles(portfolio_value(prices, holdings))
 

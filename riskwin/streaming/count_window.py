@@ -90,8 +90,9 @@ class CountWindowMonitor:
         rejected += bad.count()
         new = valid.persist()
         in_time = new if last_id is None else new.where(F.col("ID") > F.lit(last_id))
-        n_new, n_in_time, top = new.count(), in_time.count(), in_time.agg(F.max("ID")).first()[0]
-        late += n_new - n_in_time
+        in_time_only = F.lit(True) if last_id is None else F.col("ID") > F.lit(last_id)
+        n_late, top = new.agg(F.count_if(~in_time_only), F.max(F.when(in_time_only, F.col("ID")))).first()
+        late += n_late
         max_id = max((x for x in (max_id, top) if x is not None), default=None)
         waiting = held.unionByName(in_time)
         mark = None if max_id is None else max_id if flush else max_id - self.max_delay

@@ -31,9 +31,10 @@ class ValuationMonitor:
     Months are reported once all ``holdings`` have a price."""
 
     def __init__(self, spark: SparkSession, holdings: DataFrame, sink: str, state: str):
-        self.spark, self.sink, self.holdings = spark, sink, holdings
+        self.spark, self.sink = spark, sink
         self.state, self.last_batch = BatchState(spark, state), -1
-        self.n_assets = holdings.count()
+        self.holdings = holdings.select("asset", "share").persist()  # a row per asset, used in every batch
+        self.n_assets = self.holdings.count()
 
     def late_records(self) -> int:
         return int(self.state.read_row(self.last_batch)["late"]) if self.last_batch >= 0 else 0
@@ -70,9 +71,10 @@ class ValuationMonitor:
 def stream_value_from_table(spark: SparkSession, prices: DataFrame, holdings: DataFrame,
                             files: int = 4) -> DataFrame:
     """Replay a price table as a file stream; return the streamed valuation."""
-    prices = prices.select("asset", "month", "price")
+    prices = prices.select("asset", "month", "price").persist()
     src, sink, state, ck = (scratch_path(spark, f"value-{n}") for n in ("src", "sink", "state", "ck"))
     write_in_order(prices, src, "month", files)
     handler = ValuationMonitor(spark, priced_holdings(prices, holdings), sink, state)
     run_stream(spark, src, prices.schema, handler, ck)
+    prices.unpersist()
     return spark.read.parquet(sink).drop("batch_id")

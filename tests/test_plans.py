@@ -5,6 +5,7 @@ import __spark_entry__ as se
 from conftest import SF_SMALL
 from riskwin.config import RiskParams
 from riskwin.operators.batch import keyed_stats_frame
+from riskwin.operators import index
 from riskwin.operators.index import dense_index
 from riskwin.operators.rolling import rolling_stats
 from riskwin.sources import fixtures as fx
@@ -24,14 +25,20 @@ def test_window_plan_has_one_hash_exchange_and_no_single_partition(spark, engine
     assert p.count("Exchange") == 1
 
 
-def test_flagship_scan_is_pruned(spark):
+@pytest.fixture
+def many_buckets(monkeypatch):
+    """The small test tables dealt like large ones."""
+    monkeypatch.setattr(index, "LEAST_ROWS", 1)
+
+
+def test_flagship_scan_is_pruned(spark, many_buckets):
     p = plan(se.entry(spark))
     scans = [line for line in p.splitlines() if "FileScan parquet" in line]
     assert scans and all("[vec_id" in s and "label" not in s for s in scans)
     assert "SinglePartition" not in p
 
 
-def test_gapped_index_has_one_exchange_and_no_checkpoint(spark):
+def test_gapped_index_has_one_exchange_and_no_checkpoint(spark, many_buckets):
     y2 = fx.wide_from_lineitem(spark, SF_SMALL)
     p = plan(dense_index(y2, "ID").df)
     assert "ExistingRDD" not in p and "Join" not in p
