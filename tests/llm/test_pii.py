@@ -6,7 +6,7 @@ import random
 import re
 import time
 
-from conftest import SF_MID
+from conftest import SF_MID, SF_SMALL
 from llm.fixtures import awkward, clashing, docs_of, table
 
 from riskwin.llm import pii as P
@@ -109,3 +109,30 @@ def test_awkward_rows(spark):
     assert clean.columns == [*docs.columns, "sanitised"] and clean.count() == docs.count()
     empty = docs_of(spark, [(1, "x")]).limit(0)
     assert P.personal_data(empty).count() == 0
+
+
+def test_query_generalises_terms_of_entities_in_one_text(spark):
+    texts = [t for _, t in table(SF_SMALL, "documents", "doc_id, text")]
+    words, near, held = {}, {}, {}
+    for t in set(t or "" for t in texts):
+        for w in {w for w, _, _ in P.terms_in(t)}:
+            words[w] = words.get(w, 0) + 1
+        spans = brute(t)
+        for x in P.near_terms(t, spans) if spans else []:
+            held[x["entity"]] = held.get(x["entity"], 0) + 1
+            for w in x["terms"]:
+                near[x["entity"], w] = near.get((x["entity"], w), 0) + 1
+    n = len(set(texts))
+    shown = {k for k, n_te in near.items() if n > held[k[0]]
+             and 1 + math.log(n_te / words[k[1]]) / math.log(n / held[k[0]]) >= P.GENERALISE_AT - 1e-12}
+    want = {}
+    for t in set(texts):
+        spans = brute(t or "")
+        own = {w for e in {P.entity(k, t[a:b]) for k, a, b in spans} for x, w in shown if x == e}
+        want[hashlib.sha256((t or "").encode()).hexdigest()] = [
+            (P.TERM, a, b) for w, a, b in P.terms_in(t or "") if w in own and not any(x <= a < y or x < b <= y for _, x, y in spans)]
+    got, by_id = P.op6_pii(spark, SF_SMALL).collect(), dict(table(SF_SMALL, "documents", "doc_id, text"))
+    assert sum(map(len, want.values())) > 0
+    for r in got:
+        t = by_id[r["doc_id"]] or ""
+        assert [s for s in P.parsed(r["spans"]) if s[0] == P.TERM] == want[hashlib.sha256(t.encode()).hexdigest()]
