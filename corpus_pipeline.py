@@ -23,14 +23,16 @@ SHARDS = 40
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter and texts in no known language go. The filters are
-    learned from the rows that ``langid.held_out`` leaves; with none, no
-    language is known and nothing can be judged, so all stay."""
+    """Texts without a letter and texts in no known language go; a text of a
+    single letter has no n-gram to judge and stays. The filters are learned from
+    the rows that ``langid.held_out`` leaves; with none, no language is known and
+    nothing can be judged, so all stay."""
     model = langid.fit(docs.filter(~langid.held_out()).select("text", "lang"))
     if not model.languages:
         return docs
-    seen = langid.identify(docs.select(F.struct(*columns(docs)).alias("row"), "text"), model)
-    kept = seen.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("lang_share") >= MIN_LANGUAGE_SHARE))
+    seen = langid.identify(docs.select(F.struct(*columns(docs)).alias("row"), "text"), model, grams_too=True)
+    known = (F.col("lang_share") >= MIN_LANGUAGE_SHARE) | (F.col("lang_grams") == 0)
+    kept = seen.filter((F.col("lang_pred") != langid.UNDETERMINED) & known)
     return kept.select("row.*")
 
 

@@ -113,17 +113,21 @@ class LanguageFilters:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
         """(language, score, share of n-grams it holds) of each text. The score
         is the best count over the sum of the best two."""
+        return [x[:3] for x in self.judge(texts)]
+
+    def judge(self, texts: list[str | None]) -> list[tuple[str, float, float, int]]:
+        """``predict``'s values and the number of n-grams of each text."""
         plain = [normal(t) if isinstance(t, str) else "" for t in texts]
         if not self.languages:
-            return [(UNDETERMINED, 0.0, 0.0)] * len(texts)
+            return [(UNDETERMINED, 0.0, 0.0, max(0, len(p) - GRAM + 1)) for p in plain]
         total, held = self.counts(*grams(plain), len(plain))
         best = np.argmax(held, axis=1)
         top = np.sort(held, axis=1)[:, ::-1]
         second = top[:, 1] if top.shape[1] > 1 else np.zeros(len(plain))
         score = np.divide(top[:, 0], top[:, 0] + second, out=np.zeros(len(plain)), where=top[:, 0] > 0)
         share = np.divide(top[:, 0], total, out=np.zeros(len(plain)), where=total > 0)
-        return [(self.languages[b], float(s), float(h)) if p else (UNDETERMINED, 0.0, 0.0)
-                for p, b, s, h in zip(plain, best, score, share)]
+        return [(self.languages[b], float(s), float(h), int(n)) if p else (UNDETERMINED, 0.0, 0.0, 0)
+                for p, b, s, h, n in zip(plain, best, score, share, total)]
 
 
 def _slots(codes: np.ndarray, slot_bits: int) -> list[np.ndarray]:
@@ -190,22 +194,25 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, capacity: int = CAPACITY,
         languages, [kept.loc[kept["lang"] == x, "code"].to_numpy().astype(np.int64).view(np.uint64) for x in languages])
 
 
-def identify(df: DataFrame, model: LanguageFilters, text_col: str = "text") -> DataFrame:
+def identify(df: DataFrame, model: LanguageFilters, text_col: str = "text", grams_too: bool = False) -> DataFrame:
     """``df`` with ``lang_pred``, ``lang_score`` and ``lang_share`` (columns that
-    have these names already are replaced).
+    have these names already are replaced); ``grams_too`` adds ``lang_grams``,
+    the n-grams of the text.
 
     A text that is null or has no letter gets ``und`` and zeros; so does every
     text if the model knows no language. One whose n-grams no language holds
-    gets the first language with score 0."""
+    gets the first language with score 0; one of a single letter has no n-gram
+    and gets the same, though nothing speaks against it."""
+    names = ("lang_pred", "lang_score", "lang_share", *(("lang_grams",) if grams_too else ()))
     shared = df.sparkSession.sparkContext.broadcast((model.languages, model.table, model.false_positive))
 
-    @F.pandas_udf("lang_pred string, lang_score double, lang_share double")
+    @F.pandas_udf("lang_pred string, lang_score double, lang_share double" + (", lang_grams long" if grams_too else ""))
     def predict(texts: pd.Series) -> pd.DataFrame:
         own, filters = list(texts), LanguageFilters(*shared.value)
-        found = [x for i, j in chunks(own) for x in filters.predict(own[i:j])]
-        return pd.DataFrame(found, columns=["lang_pred", "lang_score", "lang_share"])
+        found = [x[:len(names)] for i, j in chunks(own) for x in filters.judge(own[i:j])]
+        return pd.DataFrame(found, columns=list(names))
 
-    kept, name = columns(df, ("lang_pred", "lang_score", "lang_share")), fresh(df, "language")
+    kept, name = columns(df, names), fresh(df, "language")
     return df.select(*kept, predict(F.col(f"`{text_col}`")).alias(name)).select(*kept, f"{name}.*")
 
 

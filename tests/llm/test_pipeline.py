@@ -46,6 +46,13 @@ def test_language_stage_drops_texts_without_language(spark):
     assert {r["doc_id"] for r in left} == set(range(30))
 
 
+def test_language_stage_keeps_texts_of_one_letter(spark):
+    good = [(i, "the cat sat on the mat and looked at the other cat over there", "en", "a", 0) for i in range(30)]
+    docs = docs_of(spark, [*good, (100, "A.", "en", "a", 0), (101, "1 é 2", "fr", "a", 0), (102, "1.", "en", "a", 0)])
+    left = STAGES["language_id"](spark, docs, SF_MID).collect()
+    assert {r["doc_id"] for r in left} == {*range(30), 100, 101}
+
+
 @pytest.mark.parametrize("name", [n for n, _ in C.STAGES])
 def test_awkward_and_empty_tables(spark, name):
     docs = clashing(awkward(spark), ["row", "key", "id", "hash", "lang_pred", "times", "fp"])
