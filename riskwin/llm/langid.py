@@ -27,7 +27,8 @@ GRAM = 4
 HASHES = 3
 #: Odd multipliers of the slot hashes (fixed values).
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
-#: Labelled rows that a model is fitted on, at most about (a hash sample).
+#: Different texts of a language that a model is fitted on, at most about (a
+#: hash sample within the language; all, if fewer).
 FIT_ROWS = 20_000
 #: n-grams that a language's filter holds at most, the most frequent first.
 CAPACITY = 65_536
@@ -35,6 +36,9 @@ CAPACITY = 65_536
 SLOT_BITS = 20
 #: n-grams seen less often in the fitted rows of a language are left out.
 MIN_COUNT = 3
+#: A language with few n-grams in all keeps rarer ones: once seen below this
+#: number, twice below its double, and so on up to ``MIN_COUNT``.
+FEW_GRAMS = 500
 #: A language holds an n-gram if its rate there is at least this part of the
 #: rate in the language where it is most frequent.
 MIN_SHARE = 0.1
@@ -145,6 +149,15 @@ def hash_sample(df: DataFrame, bound: int, *cols: str) -> DataFrame:
     return df.filter(share < F.lit(bound / n))
 
 
+def sample_by_language(known: DataFrame, bound: int) -> DataFrame:
+    """The rows of about ``bound`` different texts of each language (all, if
+    fewer), chosen by a hash of the text: no language is crowded out by larger
+    ones, nor by copies of its own texts."""
+    sizes = known.groupBy("lang").agg(F.count_distinct(F.xxhash64("text")).alias("texts"))
+    share = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return known.join(F.broadcast(sizes), "lang").filter(share < F.lit(float(bound)) / F.col("texts")).select("text", "lang")
+
+
 def chunks(texts: list, size: int = CHUNK) -> Iterator[tuple[int, int]]:
     """(from, to) of runs of texts with about ``size`` characters."""
     start = total = 0
@@ -161,6 +174,7 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, capacity: int = CAPACITY,
         min_count: int = MIN_COUNT, min_share: float = MIN_SHARE) -> LanguageFilters:
     """Filters learned from ``text`` and ``lang`` (both non-null) of ``rows``.
 
+    Every language is learned, from about ``fit_rows`` different texts of its own.
     n-grams are counted in tasks and summed by Spark; the driver gets at most
     ``capacity`` codes a language. No row gives a model without languages."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,12 +191,13 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, capacity: int = CAPACITY,
 
     small_batches(rows.sparkSession)
     known = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
-    sample = hash_sample(known, fit_rows, "text")
+    sample = sample_by_language(known, fit_rows)
     counted = sample.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
     rates = counted.join(totals, "lang").withColumn("rate", F.col("n") / F.col("total"))
     most = rates.groupBy("code").agg(F.max("rate").alias("most"))
-    held = rates.join(most, "code").filter((F.col("n") >= min_count) & (F.col("rate") >= min_share * F.col("most")))
+    enough = F.least(F.lit(min_count), 1 + F.floor(F.col("total") / FEW_GRAMS))
+    held = rates.join(most, "code").filter((F.col("n") >= enough) & (F.col("rate") >= min_share * F.col("most")))
     ranked = (
         held.groupBy("lang", "n").agg(F.count("*").alias("k")).withColumn(
             "above", F.expr("sum(k) over (partition by lang order by n desc)"))

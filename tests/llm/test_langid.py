@@ -74,3 +74,27 @@ def test_sample_is_bounded(spark):
     df = spark.range(20_000)
     assert 800 < L.hash_sample(df, 1000, "id").count() < 1200
     assert L.hash_sample(df, 30_000, "id").count() == 20_000
+
+
+def test_small_languages_are_learned_beside_large_ones(spark):
+    rng = np.random.default_rng(2)
+
+    def text(letters):
+        words = ["".join(rng.choice(list(letters), rng.integers(3, 7))) for _ in range(12)]
+        return " ".join(words)
+
+    rows = [(i, text("abcdefgh"), "xx") for i in range(3000)]
+    rows += [(3000 + i, "рстуф рсту", "rr") for i in range(400)]  # one text, over the bound of 200
+    rows += [(4000 + i, "ικλμνο πιστ κλμν", "gr") for i in range(2)]
+    rows += [(5000, "שלוםעו לםשל", "he")]
+    docs = docs_of(spark, rows)
+    model = L.fit(docs.select("text", "lang"), fit_rows=200)
+    assert model.languages == ["gr", "he", "rr", "xx"]
+    got = {r["doc_id"]: r for r in L.identify(docs, model).collect()}
+    assert all(got[i]["lang_pred"] == lang and got[i]["lang_share"] > 0.9 for i, _, lang in rows if lang != "xx")
+
+
+def test_sample_is_bounded_within_each_language(spark):
+    df = spark.range(6000).selectExpr("cast(id as string) as text", "if(id < 5500, 'a', 'b') as lang")
+    n = {r["lang"]: r["count"] for r in L.sample_by_language(df, 1000).groupBy("lang").count().collect()}
+    assert 800 < n["a"] < 1200 and n["b"] == 500
