@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -115,15 +116,30 @@ def terms_in(text: str) -> list[tuple[str, int, int]]:
 
 
 def near_terms(text: str, spans: list[tuple[str, int, int]], words: int = NEAR_WORDS) -> list[dict]:
-    """Terms near each entity, outside all spans."""
+    """Terms near each entity, outside all spans: so many whole words on each
+    side, however far they are."""
     out: dict[str, set[str]] = {}
+    outside = _outside(text, spans)
+    starts, ends = [s for _, s, _ in outside], [e for _, _, e in outside]
     for kind, a, b in spans:
-        before = [t for t, s, e in terms_in(text[max(0, a - 40 * words):a]) if not _inside(s + max(0, a - 40 * words), spans)]
-        after = [t for t, s, e in terms_in(text[b:b + 40 * words]) if not _inside(s + b, spans)]
-        out.setdefault(entity(kind, text[a:b]), set()).update(before[-words:] + after[:words])
+        before, after = bisect_right(ends, a), bisect_left(starts, b)
+        near = outside[max(0, before - words):before] + outside[after:after + words]
+        out.setdefault(entity(kind, text[a:b]), set()).update(t for t, _, _ in near)
     return [{"entity": e, "terms": sorted(t)} for e, t in sorted(out.items())]
 
 
+def _outside(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """``terms_in`` without the terms that begin inside a span."""
+    out, reach, k, order = [], 0, 0, sorted((a, b) for _, a, b in spans)
+    for term in terms_in(text):
+        while k < len(order) and order[k][0] <= term[1]:
+            reach = max(reach, order[k][1])
+            k += 1
+        if term[1] >= reach:
+            out.append(term)
+    return out
+
+
 def _inside(place: int, spans: list[tuple[str, int, int]]) -> bool:
     return any(a <= place < b for _, a, b in spans)
 

@@ -111,6 +111,14 @@ def test_awkward_rows(spark):
     assert P.personal_data(empty).count() == 0
 
 
+def test_near_words_are_counted_by_place():
+    text = "far " + "1" * 900 + " abcdefgh" + "9" * 792 + " at jo@x.org" + " " * 900 + "behind " + "www " * 19 + "last"
+    assert P.near_terms(text, P.base_spans(text)) == [{"entity": "email:jo@x.org", "terms": ["abcdefgh", "behind", "far", "www"]}]
+    text = " ".join(f"{chr(97 + i)}aa" for i in range(25)) + " jo@x.org jo@x.org " + "zzz jo@x.org zzzz"
+    got = P.near_terms(text, P.base_spans(text))
+    assert got == [{"entity": "email:jo@x.org", "terms": sorted([f"{chr(97 + i)}aa" for i in range(5, 25)] + ["zzz", "zzzz"])}]
+
+
 def test_query_generalises_terms_of_entities_in_one_text(spark):
     texts = [t for _, t in table(SF_SMALL, "documents", "doc_id, text")]
     words, near, held = {}, {}, {}
