@@ -17,6 +17,7 @@ NAMES = {
     "op8_decontam": "decontam",
     "op9_token_store": "token_store",
     "op10_sharding": "sharding",
+    "op11_prefix_trie": "prefix_trie",
     "op13_clusters": "zonemap",
 }
 
@@ -28,9 +29,10 @@ def llm_queries() -> dict[str, Callable]:
 
 def llm_sql() -> dict[str, str]:
     from riskwin.llm.mixing import mixing_sql
+    from riskwin.llm.prefix_trie import TRIE_SQL
     from riskwin.llm.vafile import TOPK_SQL
     from riskwin.llm.warc import WARC_SQL
     from riskwin.llm.zonemap import clusters_sql
 
     return {"op4_mixing": mixing_sql(), "op5_topk": TOPK_SQL, "op7_warc": WARC_SQL,
-            "op13_clusters": clusters_sql()}
+            "op11_prefix_trie": TRIE_SQL, "op13_clusters": clusters_sql()}
