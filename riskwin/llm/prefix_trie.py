@@ -98,7 +98,8 @@ def paths(turns: DataFrame, convs: DataFrame) -> DataFrame:
 
 
 def nodes_of(path: DataFrame) -> DataFrame:
-    """A row for each node: members, smallest member, children and weight."""
+    """A row for each node: members, smallest member, children and weight; all in
+    one component, the root's."""
     nodes = path.groupBy("key", "d", "parent").agg(
         F.min("conv").alias("m"), F.count(F.lit(1)).alias("n_convs"), F.sum(F.col("len") - F.col("d") + 1).alias("w"),
         F.max("bytes").alias("bytes"))
@@ -107,7 +108,8 @@ def nodes_of(path: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("long")
     return counted.select(
         "key", "d", "parent", "m", "n_convs", "n_children", "w", (F.col("n_children") == 0).cast("long").alias("own_leaf"),
-        ((F.col("n_convs") - 1) * F.col("bytes")).alias("own_saved"), zero.alias("acc_leaf"), zero.alias("acc_saved")).checkpoint()
+        ((F.col("n_convs") - 1) * F.col("bytes")).alias("own_saved"), zero.alias("acc_leaf"), zero.alias("acc_saved"),
+        F.unhex(F.lit("")).alias("comp")).checkpoint()
 
 
 def decompose(parent: np.ndarray, weight: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -189,7 +191,7 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def rollup(nodes: DataFrame, path: DataFrame, limit: int = LIMIT) -> DataFrame:
     """``nodes`` with ``leaves`` and ``saved``, the sums of ``own_leaf`` and
     ``own_saved`` over each node's subtree."""
-    live = nodes.withColumn("comp", F.unhex(F.lit("")))
+    live = nodes
     closed, small = [], []
     while True:
         sizes = live.groupBy("comp").agg(F.max("w").alias("total"), F.count(F.lit(1)).alias("size")).filter(

@@ -18,6 +18,7 @@ NAMES = {
     "op9_token_store": "token_store",
     "op10_sharding": "sharding",
     "op11_prefix_trie": "prefix_trie",
+    "op12_jaccard": "token_groups",
     "op13_clusters": "zonemap",
 }
 
@@ -30,9 +31,10 @@ def llm_queries() -> dict[str, Callable]:
 def llm_sql() -> dict[str, str]:
     from riskwin.llm.mixing import mixing_sql
     from riskwin.llm.prefix_trie import TRIE_SQL
+    from riskwin.llm.token_groups import JACCARD_SQL
     from riskwin.llm.vafile import TOPK_SQL
     from riskwin.llm.warc import WARC_SQL
     from riskwin.llm.zonemap import clusters_sql
 
     return {"op4_mixing": mixing_sql(), "op5_topk": TOPK_SQL, "op7_warc": WARC_SQL,
-            "op11_prefix_trie": TRIE_SQL, "op13_clusters": clusters_sql()}
+            "op11_prefix_trie": TRIE_SQL, "op12_jaccard": JACCARD_SQL, "op13_clusters": clusters_sql()}
