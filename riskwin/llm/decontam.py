@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskwin.llm.batches import small_batches
-from riskwin.llm.columns import fresh
+from riskwin.llm.columns import fresh, row_key
 from riskwin.llm.langid import chunks
 
 #: Characters of a q-gram.
@@ -265,6 +265,17 @@ def without_matches(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -
     return docs.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col(name)), "left_anti")
 
 
+def without_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
+    """Rows of ``docs`` whose text holds no benchmark item. Rows are told apart by
+    id and text: a clean one stays whatever its id, null and repeated ids too.
+    ``more``: parameters of ``matches``."""
+    name = fresh(docs, "own")
+    marked = docs.withColumn(name, row_key(docs, id_col, text_col))
+    of = fresh(marked, "bad")
+    bad = matches(marked, benchmark, name, text_col, **more).select(F.col("doc_id").alias(of)).distinct()
+    return marked.join(bad, F.col(name) == F.col(of), "left_anti").drop(name)
+
+
 def op8_decontam(spark, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, and where."""
     return matches(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

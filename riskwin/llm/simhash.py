@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskwin.llm.batches import small_batches
-from riskwin.llm.columns import fresh
+from riskwin.llm.columns import fresh, row_key
 from riskwin.llm.components import connected_components
 from riskwin.session import checkpoint_root
 
@@ -246,6 +246,22 @@ def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> Data
     return once.unionByName(again).unionByName(docs.filter(F.col(f"`{id_col}`").isNull()))
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                max_bits: int = 4) -> DataFrame:
+    """One row of each near-duplicate group of ``docs``: that of the smallest id,
+    then of the smallest hash of its text. Rows are told apart by id and text, so
+    rows that share an id but are no near duplicates all stay, and so does one row
+    of a group without an id; rows alike in both are one."""
+    name = fresh(docs, "keep")
+    marked = docs.withColumn(name, row_key(docs, id_col, text_col))
+    groups = simhash_groups(marked, name, text_col, shingle, max_bits)
+    first = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("times"))
+    of = fresh(marked, "keep_of")
+    once, again = (marked.join(first.filter(f"times {op} 1").select(F.col("doc_id").alias(of)), F.col(name) == F.col(of), "left_semi")
+                   for op in "=>")
+    return once.unionByName(again.dropDuplicates([name])).drop(name)
+
+
 def op3_simhash(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     groups = simhash_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=4, max_bits=4)

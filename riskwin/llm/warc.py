@@ -17,6 +17,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -132,9 +133,7 @@ class _Window:
                     known = True
         except zlib.error:
             return None
-        end = at - len(packed.unused_data)
-        follows = self.at(end, len(MAGIC))
-        return (b"".join(parts), end) if known and follows in (b"", MAGIC) else None
+        return (b"".join(parts), at - len(packed.unused_data)) if known else None
 
     def next_magic(self, place: int, stop: int) -> int | None:
         """Place of the first magic from here on that starts before ``stop``."""
@@ -150,20 +149,40 @@ class _Window:
 
 
 def read_split(file, size: int, start: int, stop: int) -> Iterator[tuple]:
-    """Rows of the records that start in start..stop - 1."""
+    """Rows of the records that start in start..stop - 1. Where no record starts
+    at the file's beginning or at the end of one of these, the bytes up to the
+    next record are damaged: a ``Damage`` (from, to) in the place of a row. So
+    every damaged range is found by one split, whichever it lies in."""
     window = _Window(file, size, start)
+    due = 0 if start == 0 and size else None
     place: int | None = start
     while place is not None and place < stop:
         place = window.next_magic(place, stop)
         if place is None:
-            return
+            break
         window.forget(place)
         record = window.member(place)
         if record is None:
             place += 1
-        else:
-            yield decode_record(record[0])
-            place = record[1]
+            continue
+        if due is not None and due != place:
+            yield Damage(due, place)
+        yield decode_record(record[0])
+        due = place = record[1]
+    if due is not None and due < size:
+        # the next record lies in another split; it starts here or bytes are lost
+        place = due
+        while (place := window.next_magic(place, size)) is not None and window.member(place) is None:
+            place += 1
+        if place != due:
+            yield Damage(due, size if place is None else place)
+
+
+class Damage(NamedTuple):
+    """Bytes of an archive, from a place to another, that hold no record."""
+
+    begin: int
+    end: int
 
 
 def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -223,11 +242,36 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     return rows.mapInArrow(_writer(folder, archive_bytes), "file string, bytes long, records long").checkpoint()
 
 
-def read_archives(archives: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+def _splits(archives: DataFrame, split_bytes: int) -> DataFrame:
+    splits = archives.filter("bytes > 0").select(
+        "file", "bytes", F.explode(F.expr(f"sequence(0L, bytes - 1, {split_bytes}L)")).alias("start"))
+    return splits.repartition(max(1, min(splits.count(), 10_000)), "file", "start")
+
+
+def _found(folder: str, split_bytes: int) -> Callable:
+    """Reader of the splits of a batch: (file, record or damage)."""
+    def found(b: pa.RecordBatch) -> Iterator[tuple[str, tuple]]:
+        store, base = open_store(folder)
+        for name, size, start in zip(*(b.column(i).to_pylist() for i in range(3))):
+            with store.open_input_file(f"{base}/{name}") as file:
+                there = file.size()
+                if there < size and start == 0:
+                    yield name, Damage(there, size)
+                for row in read_split(file, there, start, min(there, start + split_bytes)):
+                    yield name, row
+
+    return found
+
+
+def read_archives(archives: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES, damaged: str = "raise") -> DataFrame:
     """All records of the listed archives (``RECORDS``), each read once, by the
-    task whose range it starts in."""
+    task whose range it starts in. Bytes that hold no record are an error, or with
+    ``damaged="skip"`` left out; ``damaged_ranges`` lists them."""
+    if damaged not in ("raise", "skip"):
+        raise ValueError("damaged must be 'raise' or 'skip'")
+    found = _found(folder, split_bytes)
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = open_store(folder)
         names = [x.split()[0] for x in RECORDS.split(", ")]
         kinds = [{"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[x.split()[1]] for x in RECORDS.split(", ")]
 
@@ -235,22 +279,35 @@ def read_archives(archives: DataFrame, folder: str, split_bytes: int = SPLIT_BYT
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
         for b in batches:
-            for name, size, start in zip(*(b.column(i).to_pylist() for i in range(3))):
-                with store.open_input_file(f"{base}/{name}") as file:
+            rows, held = [], 0
+            for name, row in found(b):
+                if isinstance(row, Damage):
+                    if damaged == "raise":
+                        raise ValueError(f"{name}: no record in bytes {row.begin} to {row.end}")
+                    continue
+                rows.append(row)
+                held += row[4]
+                if held >= 4 * READ:
+                    yield batch(rows)
                     rows, held = [], 0
-                    for row in read_split(file, size, start, min(size, start + split_bytes)):
-                        rows.append(row)
-                        held += row[4]
-                        if held >= 4 * READ:
-                            yield batch(rows)
-                            rows, held = [], 0
-                    if rows:
-                        yield batch(rows)
+            if rows:
+                yield batch(rows)
 
-    splits = archives.filter("bytes > 0").select(
-        "file", "bytes", F.explode(F.expr(f"sequence(0L, bytes - 1, {split_bytes}L)")).alias("start"))
-    n = splits.count()
-    return splits.repartition(max(1, min(n, 10_000)), "file", "start").mapInArrow(task, RECORDS)
+    return _splits(archives, split_bytes).mapInArrow(task, RECORDS)
+
+
+def damaged_ranges(archives: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """(file, begin, end) of the bytes of the archives that hold no record: cut
+    off, or damaged by a changed byte. Everything else can be read."""
+    found = _found(folder, split_bytes)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            gaps = [(name, *row) for name, row in found(b) if isinstance(row, Damage)]
+            if gaps:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*gaps)], ["file", "begin", "end"])
+
+    return _splits(archives, split_bytes).mapInArrow(task, "file string, begin long, end long")
 
 
 def op7_warc(spark, sf_dir: str) -> DataFrame:

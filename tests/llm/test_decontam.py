@@ -116,6 +116,16 @@ def test_awkward_rows(spark):
     assert [r["doc_id"] for r in with_null.collect()] == [None]
 
 
+def test_clean_rows_stay_whatever_their_id(spark):
+    docs = clashing(docs_of(spark, [(1, "so the cat sat on the mat again"), (1, "a clean text"), (None, "the cat sat on the mat"), (None, "clean too"),
+                                    (None, None), (2, ""), (3, "another clean text")]), ["own", "bad", "doc"])
+    items = spark.createDataFrame([("x", "The cat sat on the mat!")], "item_id string, text string")
+    left = D.without_items(docs, items)
+    assert left.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(
+        [(1, "a clean text"), (None, "clean too"), (None, None), (2, ""), (3, "another clean text")], key=str)
+
+
 def test_empty_tables(spark):
     docs, items = docs_of(spark, [(1, "a b")]), spark.createDataFrame([], "item_id long, text string")
     assert D.matches(docs, items).count() == 0

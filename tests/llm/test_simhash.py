@@ -99,6 +99,28 @@ def test_awkward_rows(spark):
     assert kept.filter("doc_id is null").count() == 2
 
 
+def test_one_of_each_loses_no_other_text(spark):
+    apart = ["the cat sat on the mat and looked at birds", "quite another matter is dealt with here in full", "a third text that has nothing to do with them"]
+    near = apart[2]
+    rows = [(1, apart[0]), (1, apart[1]), (2, near), (3, near), (3, near), (None, apart[0]), (None, "no other row has this text at all"),
+            (None, "no other row has this text at all"), (5, apart[1])]
+    docs = clashing(docs_of(spark, rows), ["keep", "keep_of", "fp"])
+    kept = S.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(1, apart[0]), (1, apart[1]), (2, near), (None, "no other row has this text at all")], key=str)
+    assert S.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_one_of_each_awkward_rows(spark):
+    docs = clashing(awkward(spark), ["fp", "keep", "component_id", "times"])
+    rows = [(r["doc_id"], plain_fingerprint(r["text"])) for r in docs.collect()]
+    kept = [plain_fingerprint(r["text"]) for r in S.one_of_each(docs).collect()]
+    # one row for each component of fingerprints
+    of = brute_components([(i, f) for i, (_, f) in enumerate(rows)])
+    assert len(kept) == len(set(of.values())) and set(kept) <= {f for _, f in rows}
+
+
 def test_empty_table(spark):
     empty = docs_of(spark, [(1, "x")]).limit(0)
     groups = S.simhash_groups(empty)

@@ -1,6 +1,7 @@
 """WARC archives: exact round trip, splits, revisits."""
 import base64
 import gzip
+import re
 import hashlib
 import random
 from io import BytesIO
@@ -95,3 +96,43 @@ def test_empty_table(spark):
     folder = scratch_path(spark, "warc-test")
     archives = W.write_archives(pages, folder)
     assert archives.count() == 0 and W.read_archives(archives, folder).count() == 0
+
+
+def test_damage_is_found_and_costs_one_record(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"u{i}", f"page {i} " * (5 + i)) for i in range(40)], "page_id long, url string, html string")
+    folder = scratch_path(spark, "warc-test")
+    archives = W.write_archives(pages.coalesce(1), folder)
+    row = archives.collect()
+    assert len(row) == 1
+    name, size = row[0]["file"], row[0]["bytes"]
+    whole = open(f"{folder.removeprefix('file:')}/{name}", "rb").read()
+    starts = [i for i in range(size) if whole.startswith(W.MAGIC, i)]
+    starts = [a for a in starts if W._Window(Bytes(whole), size, a).member(a)]
+    assert len(starts) == 40
+    ends = [*starts[1:], size]
+
+    def broken(data):
+        (tmp_path / name).write_bytes(data)
+        where = str(tmp_path)
+        gaps = [tuple(r)[1:] for r in W.damaged_ranges(archives, where, split_bytes=300).collect()]
+        kept = {r["page_id"] for r in W.read_archives(archives, where, 300, damaged="skip").collect()}
+        return sorted(gaps), kept, lambda: W.read_archives(archives, where, 300).collect()
+
+    ids = [int(re.search(rb"page (\d+) ", gzip.decompress(whole[a:b])).group(1)) for a, b in zip(starts, ends)]
+    for at, lost in ((starts[7], 7), (starts[20] + 40, 20), (starts[0], 0), (ends[39] - 3, 39)):
+        data = bytearray(whole)
+        data[at] ^= 0x55
+        gaps, kept, read = broken(bytes(data))
+        assert gaps == [(starts[lost], ends[lost])]
+        assert kept == set(ids) - {ids[lost]}
+        with pytest.raises(Exception, match="no record in bytes"):
+            read()
+    # cut off inside the last but one record, and between two
+    gaps, kept, read = broken(whole[:starts[39] - 2])
+    assert gaps == [(starts[38], starts[39] - 2), (starts[39] - 2, size)] and kept == set(ids[:38])
+    gaps, kept, read = broken(whole[:starts[39]])
+    assert gaps == [(starts[39], size)] and kept == set(ids[:39])
+    with pytest.raises(Exception, match="no record in bytes"):
+        read()
+    gaps, kept, read = broken(whole)
+    assert gaps == [] and len(read()) == 40
