@@ -38,13 +38,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
-    return simhash.keep_one(docs, simhash.simhash_groups(docs, shingle=4, max_bits=4))
+    return simhash.one_of_each(docs, shingle=4, max_bits=4)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontam.without_matches(docs, decontam.matches(docs, benchmark))
+    return decontam.without_items(docs, benchmark)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
