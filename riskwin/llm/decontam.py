@@ -257,14 +257,6 @@ def _one_pass(rows: DataFrame, items: list[tuple], q: int, rate: float) -> DataF
     return rows.mapInArrow(task, f"doc_id {kind}, item_id string, edits long, shared long, start long, end long")
 
 
-def without_matches(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Documents whose id has no match. Rows with a null id stay unless ``found``
-    holds a null id."""
-    name = fresh(docs, "bad_id")
-    bad = found.select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col(name)), "left_anti")
-
-
 def without_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
     """Rows of ``docs`` whose text holds no benchmark item. Rows are told apart by
     id and text: a clean one stays whatever its id, null and repeated ids too.

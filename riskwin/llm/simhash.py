@@ -234,18 +234,6 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` that stand for their group: those whose id is their
-    ``component_id``, once each. Rows with a null id can't be told apart and
-    all stay."""
-    ids = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("times"))
-    name = fresh(docs, "keep_id")
-    match = F.col(f"`{id_col}`") == F.col(name)
-    once, again = (docs.join(ids.filter(f"times {op} 1").select(F.col("doc_id").alias(name)), match, "left_semi") for op in "=>")
-    again = again.dropDuplicates([id_col])
-    return once.unionByName(again).unionByName(docs.filter(F.col(f"`{id_col}`").isNull()))
-
-
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                 max_bits: int = 4) -> DataFrame:
     """One row of each near-duplicate group of ``docs``: that of the smallest id,

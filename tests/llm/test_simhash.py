@@ -93,10 +93,6 @@ def test_awkward_rows(spark):
     want = sorted(((d, f, brute_components(rows)[d, f]) for d, f in rows), key=str)
     groups = S.simhash_groups(docs)
     assert result(groups) == want
-    kept = S.keep_one(docs, groups)
-    assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] for r in kept.filter("doc_id is not null").collect()) == sorted({c for d, _, c in want if d is not None and d == c})
-    assert kept.filter("doc_id is null").count() == 2
 
 
 def test_one_of_each_loses_no_other_text(spark):
@@ -124,7 +120,7 @@ def test_one_of_each_awkward_rows(spark):
 def test_empty_table(spark):
     empty = docs_of(spark, [(1, "x")]).limit(0)
     groups = S.simhash_groups(empty)
-    assert groups.count() == 0 and S.keep_one(empty, groups).count() == 0
+    assert groups.count() == 0
 
 
 def test_components(spark):
