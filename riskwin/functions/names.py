@@ -93,8 +93,3 @@ def flag_name(target: str, stat: str) -> str:
         "tail_mean": f"{p}_mean_of_min_ten_percent_ovr",
         "safety": f"{p}_safety_measure_on_avgdev_ovr",
     }[stat]
-
-
-def targets(assets) -> list[str]:
-    """Assets in input order, then the pooled portfolio."""
-    return [*assets, PORTFOLIO]

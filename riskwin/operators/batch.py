@@ -11,7 +11,7 @@ together), or, for keyed series, one target per key. Statistics:
 * ``tail_mean``: mean of the ``k = int(0.1*N)`` smallest values;
 * ``safety``: ``mean - sum(|x - mean|) / (2*N)``.
 
-``target_stats`` is one lazy plan for any number of targets and values. Ranks
+``target_stats`` reads the values twice, whatever the number of targets. Ranks
 are products in binary floating point on purpose: an exact quantile summary
 computes ``ceil(p * n)`` that way, which can exceed the decimal result
 (``((29//2+1)/29)*29`` is slightly above 15, so the upper median rank for 29
@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 from riskwin.config import BATCH_MEDIAN_DIGITS, PORTFOLIO, STATS, TAIL_SHARE, RiskParams
 from riskwin.functions.names import batch_name
 from riskwin.functions.rounding import round_exact
+from riskwin.operators.lookup import attach
 from riskwin.operators.order_stats import history_cells, value_at
 from riskwin.operators.reshape import stack_targets
+from riskwin.session import checkpoint_root
 from riskwin.sources.clean import valid_records, valid_values
 
 
@@ -39,6 +41,9 @@ def target_stats(values: DataFrame, params: RiskParams = RiskParams(), stats: Se
     values = valid_values(values)
     if list(stats) == ["mean"]:
         return values.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"))
+    checkpoint_root(values.sparkSession)
+    if set(stats) <= {"mean", "safety"}:
+        return _sums(values, stats)
     if params.ranks == "approx":
         return _approximate(values, params, stats)
     cells = history_cells(values, (TAIL_SHARE, 0.5), params.approx_accuracy)
@@ -67,6 +72,15 @@ def target_stats(values: DataFrame, params: RiskParams = RiskParams(), stats: Se
     return found.select("target", "n", *[columns[s].alias(s) for s in stats])
 
 
+def _sums(values: DataFrame, stats: Sequence[str]) -> DataFrame:
+    """Mean and safety, which need sums but no ranks."""
+    heads = values.groupBy(F.col("target").alias("of")).agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean")).checkpoint()
+    found = attach(values, heads, "target", "of", "n").groupBy("target", "n", "mean").agg(
+        F.sum(F.abs(F.col("x") - F.col("mean"))).alias("absdev"))
+    columns = {"mean": F.col("mean"), "safety": F.col("mean") - F.col("absdev") / (F.lit(2.0) * F.col("n").cast("double"))}
+    return found.select("target", "n", *[columns[s].alias(s) for s in stats])
+
+
 def _approximate(values: DataFrame, params: RiskParams, stats: Sequence[str]) -> DataFrame:
     """Statistics from the sketch's quantiles; the tail mean is that of the values
     up to the tenth quantile. NULL where ``int(0.1 * N)`` is 0, as with exact
@@ -75,8 +89,8 @@ def _approximate(values: DataFrame, params: RiskParams, stats: Sequence[str]) ->
         F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"),
         F.percentile_approx("x", [TAIL_SHARE, 0.5], params.approx_accuracy).alias("q"))
     heads = heads.select(F.col("target").alias("of"), "n", "mean", F.get("q", 0).alias("tenth"),
-                         round_exact(F.get("q", 1), BATCH_MEDIAN_DIGITS).alias("median"))
-    around = values.join(heads, F.col("target").eqNullSafe(F.col("of"))).groupBy("target", "n", "mean", "tenth", "median").agg(
+                         round_exact(F.get("q", 1), BATCH_MEDIAN_DIGITS).alias("median")).checkpoint()
+    around = attach(values, heads, "target", "of", "n").groupBy("target", "n", "mean", "tenth", "median").agg(
         F.avg(F.when(F.col("x") <= F.col("tenth"), F.col("x"))).alias("low"),
         F.avg(F.abs(F.col("x") - F.col("mean"))).alias("dev"))
     columns = {"mean": F.col("mean"), "median": F.col("median"), "tenth": F.col("tenth"),

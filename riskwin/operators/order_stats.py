@@ -1,15 +1,16 @@
 """Exact order statistics over (target, x) without sorting everything.
 
-One plan for any number of targets and values:
+Two passes over the values, for any number of targets and values:
 
 1. a grouped sketch (``percentile_approx``) brackets the wanted ranks of every
    target by values a little below and above them;
-2. the brackets are joined to the values, and one aggregation counts the values
-   between brackets and, inside them, every distinct value;
+2. the brackets are looked up where the values are (``lookup.attach``: values are
+   not dealt by target), and one aggregation counts, in the tasks first, the
+   values between brackets and, inside them, every distinct value;
 3. running counts over these cells place every rank.
 
-Brackets and cells are tables; nothing about a target is in the plan or on the
-driver. The running counts go bucket by bucket through each bracket, so a task
+Brackets and cells, both small, are checkpointed; nothing about a target is in the
+plan. The running counts go bucket by bucket through each bracket, so a task
 holds a small part of the candidates of a target only.
 """
 
@@ -18,6 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskwin.operators.lookup import attach
+from riskwin.session import checkpoint_root
+
 #: Buckets that a bracket's values are cut into for the running counts.
 BUCKETS = 64
 
@@ -31,6 +35,7 @@ def history_cells(values: DataFrame, shares: tuple[float, ...], accuracy: int =
     them, ``sd`` sums their distances from the mean, ``upto`` counts the values
     up to and with the cell; ``n`` and ``mean`` are the target's. A target may be NULL.
     """
+    checkpoint_root(values.sparkSession)
     margin = 4.0 / accuracy
     at = [p for s in sorted(shares) for p in (max(0.0, s - margin), min(1.0, s + margin))]
     heads = values.groupBy("target").agg(
@@ -39,7 +44,7 @@ def history_cells(values: DataFrame, shares: tuple[float, ...], accuracy: int =
     few = F.col("n") * margin < 4
     ends = [F.when(few, F.lit(float("-inf") if i % 2 == 0 else float("inf"))).otherwise(F.get("q", i)).alias(f"q{i}")
             for i in range(len(at))]
-    heads = heads.select(F.col("target").alias("of"), "n", "mean", *ends)
+    heads = heads.select(F.col("target").alias("of"), "n", "mean", *ends).checkpoint()
     x = F.col("x")
     zone, bucket = F.lit(len(at)), F.lit(0)
     for i in reversed(range(0, len(at), 2)):
@@ -48,11 +53,11 @@ def history_cells(values: DataFrame, shares: tuple[float, ...], accuracy: int =
             F.floor(F.try_divide(x - lo, hi - lo) * BUCKETS), F.lit(BUCKETS - 1))).otherwise(F.lit(0))
         zone = F.when(x < lo, i).when(x <= hi, i + 1).otherwise(zone)
         bucket = F.when(x < lo, 0).when(x <= hi, F.coalesce(inside, F.lit(0))).otherwise(bucket)
-    placed = values.join(heads, F.col("target").eqNullSafe(F.col("of"))).select(
+    placed = attach(values, heads, "target", "of", "n").select(
         "target", "n", "mean", "x", zone.alias("zone"), bucket.cast("int").alias("bucket"))
     cells = placed.groupBy("target", "n", "mean", "zone", "bucket", F.when(F.col("zone") % 2 == 1, x).alias("v")).agg(
         F.count(F.lit(1)).alias("c"), F.sum("x").alias("sx"), F.sum(F.abs(x - F.col("mean"))).alias("sd"))
-    return _running(cells)
+    return _running(cells.checkpoint())
 
 
 def _running(cells: DataFrame) -> DataFrame:

@@ -141,9 +141,3 @@ def _rolling_means(indexed: DataFrame, assets: list[str], n_rows: int, params: R
         F.col(idx_col).alias("window_index"),
         *[m.alias(window_name(t, "mean") if names == "reference" else "mean" if len(means) == 1 else f"{t}_mean")
           for t, m in shown.items()])
-
-
-def ordered_columns(assets: Sequence[str], stats: Sequence[str] = STATS, portfolio: bool = True) -> list[str]:
-    """Original layout: for each stat, the assets then the portfolio."""
-    ts = [*assets, PORTFOLIO] if portfolio else list(assets)
-    return [window_name(t, s) for s in stats for t in ts]

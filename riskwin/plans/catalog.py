@@ -26,6 +26,7 @@ from riskwin.operators.rolling import rolling_stats
 from riskwin.operators.series import flags_by_series, rolling_by_series
 from riskwin.operators.valuation import portfolio_value, segment_holdings
 from riskwin.plans.monitor import prepare, run_monitor
+from riskwin.session import checkpoint_root
 from riskwin.sinks.metrics import metrics_block, overrun_lines
 from riskwin.sources import fixtures as fx
 from riskwin.sources.clean import split_invalid
@@ -223,7 +224,8 @@ def overrun_by_series(spark, sf):
 
 # ---- valuation (Y4) ----------------------------------------------------------
 def portfolio_value_q(spark, sf):
-    prices = fx.segment_prices(spark, sf).persist()  # a row per segment and month, read three times
+    checkpoint_root(spark)
+    prices = fx.segment_prices(spark, sf).checkpoint()  # a row per segment and month, read three times
     holdings = segment_holdings(fx.table(spark, sf, "customer"))
     return round_doubles(portfolio_value(prices, holdings))
 

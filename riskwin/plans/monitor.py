@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from riskwin.config import RiskParams
@@ -14,6 +13,7 @@ from riskwin.operators.index import Indexed, dense_index
 from riskwin.operators.overrun import overrun_flags
 from riskwin.operators.reshape import asset_columns
 from riskwin.operators.rolling import rolling_stats
+from riskwin.session import checkpoint_root
 from riskwin.sources.clean import split_invalid
 
 
@@ -24,12 +24,6 @@ class Prepared:
     assets: list[str]
     indexed: Indexed
     rejects: DataFrame
-    kept: DataFrame | None = None
-
-    def release(self) -> None:
-        """Give back what ``persist`` holds."""
-        if self.kept is not None:
-            self.kept.unpersist()
 
 
 @dataclass
@@ -53,14 +47,16 @@ def prepare(wide: DataFrame, assets: Sequence[str] | None = None, id_col: str =
     """Select, validate and index the wide table.
 
     Index, baseline and windows each read the input. A file scan is cheap to
-    repeat (pruned columns, pushed filters); for an input that takes work (an
-    aggregation, a join) ``persist`` keeps it in memory, spilling to disk, until
-    ``release``. A lost executor's part is computed anew."""
+    repeat (pruned columns, pushed filters); one that takes work (an aggregation, a
+    join) is computed once with ``persist``, in a checkpoint that outlives lost
+    executors and holds no memory."""
     assets = list(assets) if assets else asset_columns(wide, id_col)
     base = wide.select(wide[id_col].alias("ID"), *assets)
-    kept = base.persist(StorageLevel.MEMORY_AND_DISK) if persist else None
+    if persist:
+        checkpoint_root(base.sparkSession)
+        base = base.checkpoint()
     valid, rejects = split_invalid(base, assets)
-    return Prepared(assets, dense_index(valid, "ID", contiguous=contiguous), rejects, kept)
+    return Prepared(assets, dense_index(valid, "ID", contiguous=contiguous), rejects)
 
 
 def run_monitor(wide: DataFrame, assets: Sequence[str] | None = None, id_col: str = "ID",

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskwin.operators.valuation import first_value, priced_holdings, valid_prices, value_steps, with_returns
-from riskwin.session import scratch_path
+from riskwin.session import checkpoint_root, scratch_path
 from riskwin.streaming.replay import BatchState, run_stream, write_in_order
 
 COUNTERS = "value double, priced long, init double, last_month date, late long"
@@ -31,9 +31,10 @@ class ValuationMonitor:
     Months are reported once all ``holdings`` have a price."""
 
     def __init__(self, spark: SparkSession, holdings: DataFrame, sink: str, state: str):
+        checkpoint_root(spark)
         self.spark, self.sink = spark, sink
         self.state, self.last_batch = BatchState(spark, state), -1
-        self.holdings = holdings.select("asset", "share").persist()  # a row per asset, used in every batch
+        self.holdings = holdings.select("asset", "share").checkpoint()  # a row per asset, used in every batch
         self.n_assets = self.holdings.count()
 
     def late_records(self) -> int:

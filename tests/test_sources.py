@@ -69,7 +69,6 @@ def test_split_invalid_and_monitor_ignores_bad_records(spark):
     for engine in ("blocks", "native"):
         m = run_monitor(df, ["asset_1", "asset_2"], params=RiskParams(engine=engine), persist=True)
         assert m.windows.count() == 31
-        m.prepared.release()
 
 
 def test_a_cluster_needs_a_shared_folder():
