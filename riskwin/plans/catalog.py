@@ -85,6 +85,11 @@ def batch_stats_per_stat(spark, sf):
     return round_doubles(stats_per_stat(history_frame(_y1(spark, sf), SIX, PARAMS), TARGETS))
 
 
+def batch_stats_approx(spark, sf):
+    """Quantiles as the sketch gives them, exact up to as many values as it holds."""
+    return round_doubles(stats_long(history_frame(_y1(spark, sf), SIX, replace(PARAMS, ranks="approx"))))
+
+
 def batch_hot_ties(spark, sf):
     """Statistics of two columns with a handful of distinct values."""
     li = fx.table(spark, sf, "lineitem")
@@ -242,6 +247,13 @@ def stream_rolling_by_series(spark, sf):
     return round_doubles(run(spark, fx.long_from_events(spark, sf), PARAMS, files=4))
 
 
+def stream_overruns_by_series(spark, sf):
+    """Each series' windows against its own history, from records that arrive up to
+    40 IDs out of order."""
+    from riskwin.streaming.keyed_windows import stream_flags_by_series
+    return stream_flags_by_series(spark, fx.long_from_events(spark, sf), PARAMS, files=4, max_delay=40)
+
+
 def stream_overruns(spark, sf):
     from riskwin.streaming.count_window import stream_flags_from_table
     return stream_flags_from_table(spark, _y1(spark, sf), SIX, PARAMS, files=5)
@@ -288,6 +300,8 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_portfolio_value": stream_portfolio_value,
         "stream_rolling_by_series": stream_rolling_by_series,
         "stream_overruns_text": stream_overruns_text,
+        "stream_overruns_by_series": stream_overruns_by_series,
+        "batch_stats_approx": batch_stats_approx,
         "batch_hot_ties": batch_hot_ties,
         "batch_all_coordinates": batch_all_coordinates,
         "dense_index_repeated": dense_index_repeated,

@@ -73,6 +73,21 @@ def batch_long_sql(y: str) -> str:
     return _batch_ctes(y) + "\n" + " UNION ALL ".join(parts)
 
 
+def batch_approx_sql(y: str) -> str:
+    """What a sketch gives that holds all values: the median is one element, the
+    tail mean that of the values up to the tenth quantile."""
+    ctes = _batch_ctes(y).split("st AS (")[0]
+    parts = [f"SELECT target, '{s}' AS stat, {_r(s)} AS value FROM ap" for s in STATS]
+    return ctes + f"""q AS (SELECT rk.target, any_value(rk.m) AS m, any_value(rk.n) AS n, any_value(k) AS k,
+    max(CASE WHEN rn = r_lo THEN x END) AS med, max(CASE WHEN rn = r_tenth THEN x END) AS tenth
+  FROM o JOIN rk ON o.target = rk.target GROUP BY rk.target),
+ap AS (SELECT q.target, any_value(m) AS mean, {round_exact_sql("any_value(med)", 4)} AS median, any_value(tenth) AS tenth,
+    CASE WHEN any_value(k) > 0 THEN avg(CASE WHEN x <= tenth THEN x END) END AS tail_mean,
+    any_value(m) - sum(abs(x - m)) / (2 * any_value(n)) AS safety
+  FROM v JOIN q ON v.target = q.target GROUP BY q.target)
+""" + " UNION ALL ".join(parts)
+
+
 def batch_per_target_sql(y: str) -> str:
     return _batch_ctes(y) + "\nSELECT target, " + ", ".join(f"{_r(s)} AS {s}" for s in STATS) + " FROM st"
 
@@ -363,5 +378,7 @@ def catalog_sql() -> dict[str, str]:
         "metrics_per_asset": metrics_sql("target"),
         "stream_portfolio_value": portfolio_value_sql(),
         "stream_rolling_by_series": series_rolling_sql(),
+        "stream_overruns_by_series": series_flags_sql(),
+        "batch_stats_approx": batch_approx_sql(Y1),
     })
     return out

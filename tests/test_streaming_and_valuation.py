@@ -170,6 +170,32 @@ def test_keyed_stream_counts_late_records_and_meets_new_series(spark):
     assert len(new) == 1 and new[0]["safety"] is None and new[0]["mean"] == pytest.approx(0.2)
 
 
+def test_keyed_stream_out_of_order_equals_batch(spark):
+    """Records up to 25 IDs out of order, a series without a name, gaps in the IDs,
+    unusable rows: all windows as in the batch job, and the rows left out counted."""
+    from pyspark.sql import functions as F
+    from riskwin.operators.series import flags_by_series, rolling_by_series
+    from riskwin.streaming.keyed_windows import stream_flags_by_series, stream_windows
+
+    rows = [((None, "a", "b")[i % 3], 2 * i, float((i * 7919) % 101) / 50 - 1) for i in range(360)]
+    rows += [("a", None, 1.0), ("b", 11, None), ("b", 13, float("nan")), ("only bad", None, None), ("short", 5, 0.5)]
+    long = spark.createDataFrame(rows, "series string, ID long, yield double")
+    streamed = stream_windows(spark, long, files=6, max_delay=25).persist()
+    want = sorted(map(str, rolling_by_series(long).collect()))
+    assert sorted(map(str, streamed.where("window_index is not null").drop("late", "rejected").collect())) == want and want
+    counted = {r["series"]: (r["l"], r["r"]) for r in streamed.groupBy("series").agg(F.sum("late").alias("l"), F.sum("rejected").alias("r")).collect()}
+    assert counted == {None: (0, 0), "a": (0, 1), "b": (0, 2), "only bad": (0, 1)}
+    streamed.unpersist()
+    # the same arrival without a buffer loses records, and says so
+    from riskwin.streaming import keyed_windows as K
+    src = K._replay(long, "series", "ID", "yield", 6, 25)
+    counts = long.groupBy("series").agg(F.count("yield").alias("n"))
+    late = K._run(K.keyed_window_stream(K._source(spark, src), counts), spark).agg(F.sum("late")).first()[0]
+    assert late > 0
+    flags = stream_flags_by_series(spark, long, files=3, max_delay=10)
+    assert sorted(map(str, flags.collect())) == sorted(map(str, flags_by_series(long).collect()))
+
+
 def test_holding_without_price_is_reported(spark):
     from riskwin.operators.valuation import unpriced_holdings
 
