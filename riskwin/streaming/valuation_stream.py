@@ -7,8 +7,8 @@ value, number of priced assets, initial value and last month (one row). A batch
 continues the running value from that state (``valuation.value_steps``), appends
 its fully priced months with returns to ``<sink>/batch_id=<id>`` (overwrite: a
 replayed batch rewrites itself) and writes the next state. Observations not
-after the last month are late: counted and dropped. The union of batches equals
-the batch valuation.
+after the last month are late, those without a month or a price unusable: both
+are counted and dropped. The union of batches equals the batch valuation.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from riskwin.operators.valuation import first_value, priced_holdings, valid_pric
 from riskwin.session import checkpoint_root, scratch_path
 from riskwin.streaming.replay import BatchState, run_stream, write_in_order
 
-COUNTERS = "value double, priced long, init double, last_month date, late long"
+COUNTERS = "value double, priced long, init double, last_month date, late long, rejected long"
 PRICES = T.StructType([T.StructField("asset", T.StringType()), T.StructField("price", T.DoubleType())])
 
 
@@ -40,15 +40,22 @@ class ValuationMonitor:
     def late_records(self) -> int:
         return int(self.state.read_row(self.last_batch)["late"]) if self.last_batch >= 0 else 0
 
+    def rejected_records(self) -> int:
+        return int(self.state.read_row(self.last_batch)["rejected"]) if self.last_batch >= 0 else 0
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if batch_id == 0:
-            prices, value, priced, init, last_month, late = None, 0.0, 0, None, None, 0
+            prices, value, priced, init, last_month, late, rejected = None, 0.0, 0, None, None, 0, 0
         else:
-            _, value, priced, init, last_month, late = self.state.read_row(batch_id - 1)
+            _, value, priced, init, last_month, late, rejected = self.state.read_row(batch_id - 1)
             prices = self.state.read("prices", batch_id - 1, PRICES)
-        rows = valid_prices(batch.select("asset", "month", F.col("price").cast("double").alias("price"))).persist()
+        batch = batch.select("asset", "month", F.col("price").cast("double").alias("price")).persist()
+        rows = valid_prices(batch)
         obs = rows if last_month is None else rows.where(F.col("month") > F.lit(last_month))
-        late += rows.count() - obs.count()
+        ok = F.col("month").isNotNull() & F.col("price").isNotNull() & ~F.isnan("price")
+        after = F.lit(True) if last_month is None else F.col("month") > F.lit(last_month)
+        n_bad, n_late = batch.agg(F.count_if(~ok), F.count_if(ok & ~after)).first()
+        late, rejected = late + n_late, rejected + n_bad
         steps = value_steps(obs, self.holdings, prices, value, priced).persist()
         end = steps.agg(F.max("month").alias("m"), F.max_by("portfolio_value", "month").alias("v"),
                         F.max_by("assets_priced", "month").alias("p")).first()
@@ -63,10 +70,10 @@ class ValuationMonitor:
         first_date = F.to_date(F.lit("0001-01-01"))
         latest = seen.groupBy("asset").agg(F.max_by("price", F.struct(F.coalesce("month", first_date), "price")).alias("price"))
         self.state.write("prices", batch_id, latest)
-        self.state.write_row(batch_id, (float(value), priced, init, last_month, late), COUNTERS)
+        self.state.write_row(batch_id, (float(value), priced, init, last_month, late, rejected), COUNTERS)
         self.last_batch = batch_id
         steps.unpersist()
-        rows.unpersist()
+        batch.unpersist()
 
 
 def stream_value_from_table(spark: SparkSession, prices: DataFrame, holdings: DataFrame,

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from riskwin.config import RiskParams
@@ -79,7 +80,8 @@ def test_stream_valuation_equals_batch(spark):
     write_in_order(prices, src, "month", 4)
     # a late observation in a final file: an early month again
     early = prices.orderBy("month").limit(1)
-    early.coalesce(1).write.mode("append").parquet(src)
+    unusable = early.withColumn("price", F.lit(None).cast("double")).unionByName(early.withColumn("month", F.lit(None).cast("date")))
+    early.unionByName(unusable).coalesce(1).write.mode("append").parquet(src)
     sink, state = scratch_path(spark, "val-sink"), scratch_path(spark, "val-state")
     handler = ValuationMonitor(spark, holdings, sink, state)
     run_stream(spark, src, prices.schema, handler, scratch_path(spark, "val-ck"))
@@ -91,7 +93,7 @@ def test_stream_valuation_equals_batch(spark):
         assert s["assets_priced"] == b["assets_priced"]
         assert s["portfolio_value"] == pytest.approx(b["portfolio_value"], abs=0.011)
         assert s["cumulative_return"] == pytest.approx(b["cumulative_return"], abs=1e-9)
-    assert handler.late_records() == 1
+    assert handler.late_records() == 1 and handler.rejected_records() == 2
 
 
 def test_keyed_stream_windows_equal_batch(spark):
