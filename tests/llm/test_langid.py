@@ -98,3 +98,41 @@ def test_sample_is_bounded_within_each_language(spark):
     df = spark.range(6000).selectExpr("cast(id as string) as text", "if(id < 5500, 'a', 'b') as lang")
     n = {r["lang"]: r["count"] for r in L.sample_by_language(df, 1000).groupBy("lang").count().collect()}
     assert 800 < n["a"] < 1200 and n["b"] == 500
+
+
+def test_query_against_plain_sets(spark):
+    """The whole query by exact sets of n-grams in plain Python: the same languages,
+    scores within what the filters' false positives leave."""
+    from collections import Counter
+
+    docs = table(SF_MID, "documents", "doc_id, text, lang")
+    counted = {}
+    for d, text, lang in docs:
+        if zlib.crc32(str(d).encode()) % 3 != 1 and text is not None and lang is not None:
+            plain = L.normal(text)
+            counted.setdefault(lang, Counter()).update(plain[i:i + L.GRAM] for i in range(len(plain) - L.GRAM + 1))
+    total = {x: sum(c.values()) for x, c in counted.items()}
+    most = Counter()
+    for lang, c in counted.items():
+        for g, n in c.items():
+            most[g] = max(most[g], n / total[lang])
+    held = {lang: {g for g, n in c.items() if n >= min(L.MIN_COUNT, 1 + total[lang] // L.FEW_GRAMS) and n / total[lang] >= L.MIN_SHARE * most[g]}
+            for lang, c in counted.items()}
+    assert all(len(s) <= L.CAPACITY for s in held.values())
+    want = {}
+    for d, text, _ in docs:
+        plain = L.normal(text or "")
+        if not plain:
+            want[d] = (L.UNDETERMINED, 0.0)
+            continue
+        own = [plain[i:i + L.GRAM] for i in range(len(plain) - L.GRAM + 1)]
+        n = {lang: sum(g in s for g in own) for lang, s in sorted(held.items())}
+        best = max(n, key=lambda x: n[x])
+        top = sorted(n.values(), reverse=True)[:2]
+        want[d] = (best, top[0] / sum(top) if top[0] else 0.0)
+    rows = L.op2_langid(spark, SF_MID).collect()
+    assert len(rows) == len(want)
+    wrong = [r for r in rows if r["lang_pred"] != want[r["doc_id"]][0] and want[r["doc_id"]][1] > 0.55]
+    assert not wrong
+    long = {d for d, t, _ in docs if t and len(t) > 200}
+    assert all(abs(r["score"] - want[r["doc_id"]][1]) < 0.05 for r in rows if r["doc_id"] in long)

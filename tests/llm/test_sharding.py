@@ -77,3 +77,21 @@ def test_written_shards_are_read_back(spark):
     path = scratch_path(spark, "shards-test")
     H.write_shards(H.shuffle_to_shards(docs_of(spark, [(i, "x") for i in range(50)]), 4), path)
     check_places(spark.read.parquet(path).collect(), 50, 4)
+
+
+def test_query_against_the_table(spark):
+    """Every column of the query by plain Python from the documents."""
+    texts = dict(table(SF_MID, "documents", "doc_id, text"))
+    rows = H.op10_sharding(spark, SF_MID).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        data = (texts[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(data) + 16, zlib.crc32(data), "rows", None)
+    per = Counter(r["shard"] for r in rows)
+    assert set(per) == set(range(40)) and max(per.values()) - min(per.values()) <= 1
+    for shard, n in per.items():
+        assert sorted(r["slot"] for r in rows if r["shard"] == shard) == list(range(n))
+    # the order has nothing to do with that of the ids
+    order = [r["doc_id"] for r in sorted(rows, key=lambda r: (r["shard"], r["slot"]))]
+    rises = sum(a < b for a, b in zip(order, order[1:]))
+    assert 0.4 * len(order) < rises < 0.6 * len(order)
