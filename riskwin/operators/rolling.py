@@ -71,7 +71,7 @@ def rolling_stats(indexed: DataFrame, assets: Sequence[str], n_full: int,
     assets = list(assets)
     W, n = params.window, len(assets)
     if list(stats) == ["mean"] and not keys and isinstance(n_full, int):
-        return _rolling_means(indexed, assets, n_full, params, portfolio and n > 1, idx_col, names, targets)
+        return _rolling_means(indexed, assets, n_full, params, portfolio, idx_col, names, targets)
     if params.engine == "blocks":
         from riskwin.operators.rolling_blocks import rolling_stats_blocks
 
@@ -88,7 +88,7 @@ def rolling_stats(indexed: DataFrame, assets: Sequence[str], n_full: int,
     for a in assets:
         l = F.col(f"l_{a}")
         parts[a] = (l, F.sort_array(l), W, 1)
-    if portfolio and n > 1:
+    if portfolio:
         pooled = F.flatten(F.array(*[F.col(f"l_{a}") for a in assets]))
         parts[PORTFOLIO] = (F.col(f"l_{PORTFOLIO}"), F.sort_array(F.col(f"l_{PORTFOLIO}")), W * n, n)
         frames = frames.withColumn(f"l_{PORTFOLIO}", pooled)

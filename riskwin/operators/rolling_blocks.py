@@ -65,7 +65,7 @@ def rolling_stats_blocks(indexed: DataFrame, assets: Sequence[str], n_full,
     with ``n_full_col`` naming a per-series count column in ``indexed``."""
     assets, keys = list(assets), list(keys)
     W, n = params.window, len(assets)
-    pooled = portfolio and n > 1
+    pooled = portfolio
     spark = indexed.sparkSession
     if n_rows is None:
         n_rows = n_full if isinstance(n_full, int) else indexed.count()

@@ -118,3 +118,20 @@ def test_flatten_records_order_on_gapped_ids(spark):
     assert [(r["ID"], r["asset"]) for r in flat] == [(3, "asset_1"), (3, "asset_2"), (7, "asset_1"), (7, "asset_2"),
                                                      (11, "asset_1"), (11, "asset_2"), (20, "asset_1"), (20, "asset_2")]
     assert [r["full_portfolio"] for r in flat] == [2.0, 3.0, 0.0, 1.0, 6.0, 7.0, 4.0, 5.0]
+
+
+@pytest.mark.parametrize("engine", ["blocks", "native"])
+def test_portfolio_of_one_asset(spark, engine):
+    """The portfolio's statistics and flags are the asset's."""
+    from riskwin.config import PORTFOLIO, STATS, RiskParams
+    from riskwin.functions.names import flag_name, window_name
+    from riskwin.plans.monitor import run_monitor
+
+    rows = [(i, float((i * 37) % 53) / 100 - 0.2) for i in range(90)]
+    m = run_monitor(spark.createDataFrame(rows, "ID long, asset_1 double"), params=RiskParams(engine=engine))
+    windows, flags = m.windows.collect(), m.flags.collect()
+    assert len(windows) == len(flags) == 61
+    for s in STATS:
+        assert m.baseline.get("asset_1", s) == pytest.approx(m.baseline.get(PORTFOLIO, s))
+        assert all(r[window_name("asset_1", s)] == pytest.approx(r[window_name(PORTFOLIO, s)]) for r in windows)
+        assert all(r[flag_name("asset_1", s)] == r[flag_name(PORTFOLIO, s)] for r in flags)
