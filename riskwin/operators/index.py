@@ -1,11 +1,11 @@
 """Dense record index and halo blocks: ordered windows without one task.
 
 ``dense_index`` numbers records 0..N-1 in key order (per series when keys
-are given), repeated keys included. Key values cut from a sketch split the
-records into buckets of similar size; the cuts enter the plan as literals, so
-the buckets are the same in every pass and need no checkpoint. A count per
-bucket gives its offset; a row's index is the offset plus its place in the
-bucket.
+are given), repeated keys included. One exchange deals the records into ranges of
+(series, key, other columns), so records of one key are split like any others. The
+sorted ranges are written with each record's range and place, and a table of counts
+per range gives the offsets; neither cuts nor offsets pass through the plan or the
+driver. Records alike in all columns that fill a range are dealt again by place.
 
 ``halo_blocks`` cuts the index into blocks of ``B`` records and copies the
 first ``W-1`` records of every block into the block before it, so a
@@ -22,10 +22,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskwin.operators.lookup import LOOKUP_ROWS
+from riskwin.session import scratch_path
+
 #: Records of a bucket at most, on average.
 BUCKET_ROWS = 1_000_000
 #: Records that are worth a bucket, and so a task, of their own.
 LEAST_ROWS = 10_000
+#: A range of this many times the mean is full of records that are all alike.
+UNEVEN = 4
+#: ``monotonically_increasing_id`` has the range above these bits, the place below.
+PLACE_BITS = 33
 #: Accuracy of the cuts.
 CUT_ACCURACY = 20_000
 
@@ -68,6 +75,22 @@ def _tie_order(df: DataFrame, used: Sequence[str]) -> list[Column]:
     return [F.col(c) for c, kind in df.dtypes if c not in used and "map<" not in kind]
 
 
+def _dealt(df: DataFrame, by: list[Column], n: int) -> DataFrame:
+    """``df`` in ``n`` sorted ranges, written once, with ``_at``: range and place."""
+    path = scratch_path(df.sparkSession, "index")
+    dealt = df.repartitionByRange(n, *by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    dealt.write.parquet(path)
+    return df.sparkSession.read.schema(dealt.schema).parquet(path)
+
+
+def _counted(dealt: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, _bucket, _n, _first): records of each series in each range, and the
+    place of the first."""
+    placed = dealt.select(*keys, F.shiftright("_at", PLACE_BITS).alias("_bucket"),
+                          F.col("_at").bitwiseAND((1 << PLACE_BITS) - 1).alias("_place"))
+    return placed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first")).checkpoint()
+
+
 def dense_index(df: DataFrame, order_col: str = "ID", keys: Sequence[str] = (), idx_col: str = "idx",
                 contiguous: bool = False, bucket_rows: int = BUCKET_ROWS, n_rows: int | None = None) -> Indexed:
     """Records numbered in the order of ``order_col``, then their other columns.
@@ -79,33 +102,33 @@ def dense_index(df: DataFrame, order_col: str = "ID", keys: Sequence[str] = (),
     if contiguous and not keys:
         return Indexed(df.withColumn(idx_col, (order - F.lit(lo)).cast("long")), int(n), lo, hi)
     parallel = df.sparkSession.sparkContext.defaultParallelism
-    n_buckets = max(min(parallel, n // LEAST_ROWS), math.ceil(n / bucket_rows))
-    cuts = ascending_cuts(df, order, n_buckets - 1)
-    placed = df.withColumn("_bucket", bucket_of(order, cuts))
-    counts = placed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(order, *_tie_order(df, [*keys, order_col]))
-    if keys:
-        earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = counts.select(
-            *[F.col(k).alias(f"_{k}") for k in keys], F.col("_bucket").alias("_of"),
-            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-        same = F.col("_bucket") == F.col("_of")
-        for k in keys:
-            same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-        numbered = placed.withColumn("_place", F.row_number().over(in_bucket)).join(offsets, same)
-        index = F.col("_before") + F.col("_place") - 1
-    else:
-        # one row a bucket; a single bucket has all rows
-        per = {r["_bucket"]: r["_n"] for r in counts.collect()} if cuts else {0: n}
-        before, total = [], 0
-        for b in range(len(cuts) + 1):
-            before.append(total)
-            total += per.get(b, 0)
-        numbered = placed.withColumn("_place", F.row_number().over(in_bucket))
-        index = F.get(F.array(*[F.lit(x) for x in before]), F.col("_bucket")) + F.col("_place") - 1
+    n_buckets = max(min(parallel, n // LEAST_ROWS), math.ceil(n / bucket_rows), 1)
+    by = [*[F.col(k) for k in keys], order, *_tie_order(df, [*keys, order_col])]
+    dealt = _dealt(df, by, n_buckets)
+    counts = _counted(dealt, keys)
+    groups, largest = _sizes(counts)
+    if n_buckets > 1 and largest > UNEVEN * math.ceil(n / n_buckets):
+        dealt = _dealt(dealt, [*by, F.col("_at")], n_buckets)
+        counts = _counted(dealt, keys)
+        groups, _ = _sizes(counts)
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_bucket").alias("_of"),
+                            (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_offset"))
+    same = F.shiftright("_at", PLACE_BITS) == F.col("_of")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    numbered = dealt.join(F.broadcast(offsets) if groups <= LOOKUP_ROWS else offsets, same)
+    index = F.col("_at").bitwiseAND((1 << PLACE_BITS) - 1) + F.col("_offset")
     return Indexed(numbered.select(*df.columns, index.cast("long").alias(idx_col)), int(n), lo, hi)
 
 
+def _sizes(counts: DataFrame) -> tuple[int, int]:
+    """Rows of the counts, and the records of the largest range."""
+    per_range = counts.groupBy("_bucket").agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_groups"))
+    groups, largest = per_range.agg(F.sum("_groups"), F.max("_n")).first()
+    return groups or 0, largest or 0
+
+
 def block_size(n_rows: int, window: int, block_rows: int, parallelism: int) -> int:
     """Records per halo block: at most ``block_rows``, small enough that every
     core gets several blocks, and at least ``16*W`` so the halo stays a few
