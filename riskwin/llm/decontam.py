@@ -7,7 +7,11 @@ diagonals (place in the text minus place in the item) at most ``k`` apart. So:
 * the q-grams of a text are looked up in an index of the items' q-grams;
 * hits are counted by document, item and diagonal band; bands are twice as wide
   as their distance, which is over ``k``, so an alignment is whole in one band;
-* bands that reach the lemma's count are verified by a banded alignment.
+* bands that reach the lemma's count are verified by banded alignments, many
+  bands at a time; a band is dropped once its best is over the budget.
+
+Where many items share an opening, a passage with it reaches the count of each, so
+hits are counted for a group of items at a time, and memory stays bounded.
 
 Texts and items are compared in lower case, with one space for every run of
 characters that are neither letters nor digits.
@@ -35,7 +39,13 @@ EDIT_RATE = 0.08
 #: items take more passes. The index of a pass is broadcast.
 PASS_CHARS = 4_000_000
 CHUNK = 250_000
-_FAR = 1 << 29
+#: Hits of q-grams that are counted at once, and cells of alignments held at once.
+HITS = 1_000_000
+CELLS = 1 << 20
+#: Rows of an alignment between two looks at which bands are still within budget.
+LOOK = 8
+#: A character that no text or item has.
+_NONE = -1
 
 
 def word_chars() -> np.ndarray:
@@ -123,25 +133,67 @@ class ItemIndex:
         return self.codes[self.starts[item]:self.starts[item] + self.lengths[item]]
 
 
+def banded_distances(index: "ItemIndex", codes: np.ndarray, item: np.ndarray, begin: np.ndarray, end: np.ndarray,
+                     low: np.ndarray, width: int, budgets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each item and stretch ``codes[begin:end]``: the least edits between the
+    item and any part of the stretch, on alignments whose diagonals (place in the
+    stretch minus place in the item) are ``width`` from ``low`` on; and where the
+    part ends. Those over the budget may come back as any number over it.
+
+    Diagonals run down a column of a table, bands side by side; a row of the
+    alignment is a step for all bands."""
+    n, lengths = len(item), index.lengths[item]
+    rows = int(lengths.max(initial=0))
+    kind = np.int16 if rows + width < 1 << 13 else np.int32
+    far = np.iinfo(kind).max // 2
+    best, stop = np.full(n, far, np.int64), np.zeros(n, np.int64)
+    size = end - begin
+    # text[r + x] is the character that ends at place low + r + x + 1
+    place = low + np.arange(rows + width)[:, None]
+    text = np.where((place >= 0) & (place < size), codes[np.clip(begin + place, 0, len(codes) - 1)].astype(np.int64), _NONE)
+    at = np.arange(rows)[:, None]
+    items = np.where(at < lengths, index.codes[np.minimum(index.starts[item] + at, len(index.codes) - 1)].astype(np.int64), _NONE)
+    text, items = text.astype(np.int32), items.astype(np.int32)
+    steps = np.arange(width, dtype=kind)[:, None]
+    inner = bool(((low >= 0) & (low + rows + width - 1 <= size)).all())
+    live, j = np.arange(n), low + np.arange(width)[:, None]
+    row = np.where((j >= 0) & (j <= size), 0, far).astype(kind)
+    for i in range(1, rows + 1):
+        new = row + (text[i - 1:i - 1 + width] != items[i - 1])
+        np.minimum(new[:-1], row[1:] + 1, out=new[:-1])
+        if not inner:
+            j = j + 1
+            out = (j < 0) | (j > size[live])
+            new[out] = far
+            np.copyto(new, np.minimum(new, kind(i)), where=j == 0)
+        new -= steps
+        np.minimum.accumulate(new, axis=0, out=new)
+        new += steps
+        if not inner:
+            new[out] = far
+        row = new
+        done = lengths[live] == i
+        if done.any():
+            ended, low_of = live[done], row[:, done]
+            where = low_of.argmin(axis=0)
+            best[ended] = low_of[where, np.arange(len(ended))]
+            stop[ended] = low[ended] + i + where
+        if done.any() or i % LOOK == 0:
+            kept = ~done & (row.min(axis=0) <= budgets[live])
+            if not kept.any():
+                break
+            if kept.sum() < 0.8 * len(kept):
+                live, row, text, items = live[kept], row[:, kept], text[:, kept], items[:, kept]
+                j = j[:, kept]
+    return best, stop
+
+
 def banded_distance(item: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int]:
-    """Least edits between the item and any stretch of the text, on alignments
-    whose diagonals (text minus item place) stay in low..high; and where the
-    stretch ends."""
-    width = high - low + 1
-    j = low + np.arange(width)
-    row = np.where((j >= 0) & (j <= len(text)), 0, _FAR)
-    shift = np.arange(width)
-    padded = np.r_[text, np.uint64(1 << 40)]
-    for i in range(1, len(item) + 1):
-        j = j + 1
-        differs = padded[np.clip(j - 1, 0, len(text))] != item[i - 1]
-        new = np.minimum(row + differs, np.r_[row[1:] + 1, _FAR])
-        new[(j < 0) | (j > len(text))] = _FAR
-        new[j == 0] = np.minimum(new[j == 0], i)
-        row = np.minimum.accumulate(new - shift) + shift
-        row[(j < 0) | (j > len(text))] = _FAR
-    best = int(np.argmin(row))
-    return int(row[best]), int(j[best])
+    """``banded_distances`` of one item and text, without a budget."""
+    index = ItemIndex([0], np.asarray(item), np.array([0]), np.array([len(item)]), *[np.array([])] * 4, np.array([0]), Q)
+    one = [np.array([x]) for x in (0, 0, len(text), low)]
+    best, stop = banded_distances(index, np.r_[np.asarray(text), 0], *one, high - low + 1, np.array([len(item) + 1]))
+    return int(best[0]), int(stop[0])
 
 
 def search(texts: list[str], index: ItemIndex, is_word: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
@@ -162,51 +214,102 @@ def search(texts: list[str], index: ItemIndex, is_word: np.ndarray) -> list[tupl
             e = h + len(pattern)
             if (codes[h:e] == pattern).all() and (h == 0 or codes[h - 1] in (0, 32)) and codes[e] in (0, 32):
                 take(int(owner[h]), item, 0, 1, int(h), int(e))
-    for doc, item, shared, low, high in _bands(codes, owner, index):
-        begin, end = int(starts[doc]), int(starts[doc + 1]) - 1
-        item_start = int(index.starts[item])
-        k, m = int(index.budgets[item]), int(index.lengths[item])
-        # the band's diagonals, relative to the item, in the stretch it can reach
-        a = max(begin, low + item_start - k)
-        b = min(end, high + item_start + m + k)
-        edits, stop = banded_distance(index.item_codes(item), codes[a:b], low + item_start - k - a, high + item_start + k - a)
-        if edits <= k:
-            take(doc, item, edits, shared, max(a, a + stop - m), a + stop)
+    for bands in _bands(codes, owner, index):
+        for doc, item, edits, shared, begin, end in _verified(codes, starts, index, *bands):
+            take(doc, item, edits, shared, begin, end)
     return [(doc, item, *v) for (doc, item), v in sorted(found.items())]
 
 
-def _bands(codes: np.ndarray, owner: np.ndarray, index: ItemIndex) -> Iterator[tuple[int, int, int, int, int]]:
-    """(text, item, shared q-grams, lowest and highest diagonal) of the bands
-    that reach the lemma's count. Diagonals are places in ``codes`` minus places
-    in the joined items."""
+def _verified(codes: np.ndarray, starts: np.ndarray, index: ItemIndex, doc: np.ndarray, item: np.ndarray, shared: np.ndarray,
+              low: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """(text, item, edits, shared q-grams, first and last place) of the bands with an
+    alignment within the budget, in the order given."""
+    k, m = index.budgets[item], index.lengths[item]
+    begin, end = starts[doc], starts[doc + 1] - 1
+    # the band's diagonals, relative to the item, in the stretch it can reach
+    first = low + index.starts[item] - k
+    width = 2 * (k + 1) + 2 * k
+    a, b = np.maximum(begin, first), np.minimum(end, first + width - 1 + m)
+    edits, stop = np.zeros(len(doc), np.int64), np.zeros(len(doc), np.int64)
+    clipped = (a > first) | (b < first + width - 1 + m)
+    order = np.lexsort((clipped, m, k))
+    at = 0
+    while at < len(order):
+        # bands of one width; those that reach over an end of the text apart
+        alike = (k[order[at:]] == k[order[at]]) & (clipped[order[at:]] == clipped[order[at]]) & (m[order[at:]] == m[order[at]])
+        some = len(alike) if alike.all() else int(alike.argmin())
+        some = min(some, max(1, CELLS // int(m[order[at]] + width[order[at]])))
+        own = order[at:at + some]
+        edits[own], stop[own] = banded_distances(index, codes, item[own], a[own], b[own], (first - a)[own], int(width[own[0]]), k[own])
+        at += some
+    for i in np.flatnonzero(edits <= k):
+        yield (int(doc[i]), int(item[i]), int(edits[i]), int(shared[i]), int(max(a[i], a[i] + stop[i] - m[i])), int(a[i] + stop[i]))
+
+
+def _bands(codes: np.ndarray, owner: np.ndarray, index: ItemIndex) -> Iterator[tuple[np.ndarray, ...]]:
+    """(texts, items, shared q-grams, lowest diagonals) of the bands that reach the
+    lemma's count, a group of items at a time. Diagonals are places in ``codes``
+    minus places in the joined items."""
     if len(codes) < index.q or not len(index.grams):
         return
     hashes = window_hash(codes, index.q)
     maybe = np.flatnonzero(index.seen[hashes >> np.uint64(42)])
     i = np.minimum(np.searchsorted(index.grams, hashes[maybe]), len(index.grams) - 1)
     hit = index.grams[i] == hashes[maybe]
-    maybe, i = maybe[hit], i[hit]
-    times = index.first[i + 1] - index.first[i]
-    at = np.repeat(maybe, times)
-    offset = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
-    place = index.at[np.repeat(index.first[i], times) + offset]
+    by_gram = np.argsort(i[hit], kind="stable")
+    at, gram = maybe[hit][by_gram], i[hit][by_gram]
+    if not len(at):
+        return
+    # the places in items of each q-gram that the texts have, in the order of items
+    grams, begin, seen = np.unique(gram, return_index=True, return_counts=True)
+    places, which = _ranges(index.first[grams], index.first[grams + 1] - index.first[grams])
+    place = index.at[places]
     item = np.searchsorted(index.starts, place, side="right") - 1
-    doc, diagonal = owner[at], at - place
-    step = index.budgets[item] + 1
-    least = index.lengths[item] - index.q + 1 - index.budgets[item] * index.q
-    band = diagonal // step
-    doc, item, step, least = (np.r_[x, x] for x in (doc, item, step, least))
-    band = np.r_[band, band - 1]
+    order = np.argsort(item, kind="stable")
+    place, item, which = place[order], item[order], which[order]
+    ends = np.cumsum(seen[which])
+    item_end = np.flatnonzero(np.r_[item[1:] != item[:-1], True]) + 1
+    start = 0
+    while start < len(item):
+        before = ends[start - 1] if start else 0
+        fits = item_end[(item_end > start) & (ends[item_end - 1] - before <= HITS)]
+        stop = int(fits[-1]) if len(fits) else int(item_end[item_end > start][0])
+        yield _counted(owner, index, at, begin, seen, which, place, item, ends, start, stop)
+        start = stop
+
+
+def _ranges(begin: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of some ranges, one range after the other, and each one's range."""
+    which = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + begin[which], which
+
+
+def _counted(owner, index, at, begin, seen, which, place, item, ends, start, stop) -> tuple[np.ndarray, ...]:
+    """The bands of the places ``start:stop`` that reach the count. An item with more
+    hits than ``HITS`` is counted in parts, whose counts are added."""
+    parts = []
+    while start < stop:
+        before = ends[start - 1] if start else 0
+        upto = min(stop, max(start + 1, int(np.searchsorted(ends, before + HITS, "right"))))
+        hits, own = _ranges(begin[which[start:upto]], seen[which[start:upto]])
+        own += start
+        doc, of, diagonal = owner[at[hits]], item[own], at[hits] - place[own]
+        band = diagonal // (index.budgets[of] + 1)
+        parts.append(_summed(np.r_[doc, doc], np.r_[of, of], np.r_[band, band - 1], None))
+        start = upto
+    doc, of, band, count = parts[0] if len(parts) == 1 else _summed(*(np.concatenate(x) for x in zip(*parts)))
+    k = index.budgets[of]
+    enough = count >= index.lengths[of] - index.q + 1 - k * index.q
+    return doc[enough], of[enough], count[enough], band[enough] * (k[enough] + 1)
+
+
+def _summed(doc: np.ndarray, item: np.ndarray, band: np.ndarray, count: np.ndarray | None) -> tuple[np.ndarray, ...]:
+    """Counts by text, item and band, in their order."""
     order = np.lexsort((band, item, doc))
-    doc, item, step, least, band = (x[order] for x in (doc, item, step, least, band))
-    if not len(doc):
-        return
-    new = np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])]
-    first = np.flatnonzero(new)
-    count = np.diff(np.r_[first, len(doc)])
-    for f, n in zip(first[count >= least[first]], count[count >= least[first]]):
-        low = int(band[f] * step[f])
-        yield int(doc[f]), int(item[f]), int(n), low, low + 2 * int(step[f]) - 1
+    doc, item, band = doc[order], item[order], band[order]
+    first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])])
+    total = np.diff(np.r_[first, len(doc)]) if count is None else np.add.reduceat(count[order], first)
+    return doc[first], item[first], band[first], total
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -1,5 +1,6 @@
 """Decontamination against exact containment and full edit distances."""
 import random
+import time
 
 import numpy as np
 import pytest
@@ -130,3 +131,52 @@ def test_empty_tables(spark):
     docs, items = docs_of(spark, [(1, "a b")]), spark.createDataFrame([], "item_id long, text string")
     assert D.matches(docs, items).count() == 0
     assert D.matches(docs.limit(0), spark.createDataFrame([(1, "a")], "item_id long, text string")).count() == 0
+
+
+OPENING = "choose the one correct answer to the following question"
+
+
+def exam(seed, items, passages):
+    rng = random.Random(seed)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9))) for _ in range(n))
+
+    asked = [(i, f"{OPENING} {words(12)}") for i in range(items)]
+    return asked, [f"{OPENING} {words(6)}" for _ in range(passages)]
+
+
+def test_items_with_one_opening():
+    """500 items and 400 passages begin alike: 200 000 bands reach the count."""
+    items, passages = exam(1, 500, 400)
+    held = {40: 7, 200: 311, 399: 499}
+    rng = random.Random(2)
+    for at, i in held.items():
+        passages[at] = edit(rng, items[i][1], D.edit_budget(len(items[i][1])) // 2)
+    began = time.process_time()
+    got = D.search([" ".join(passages), "zzz"], D.ItemIndex.build(items), WORD)
+    assert time.process_time() - began < 60
+    assert sorted(item for _, item, *_ in got) == sorted(held.values())
+
+
+def test_one_opening_against_brute_force(monkeypatch):
+    items, passages = exam(3, 6, 5)
+    passages[2] = items[4][1][:70] + "x" + items[4][1][72:]
+    index = D.ItemIndex.build(items)
+    got = D.search(passages, index, WORD)
+    want = [(t, i, d) for t, p in enumerate(passages) for i, item in items
+            if (d := brute_distance(item, p)) <= D.edit_budget(len(item))]
+    assert [g[:3] for g in got] == want and want
+    for hits, cells in ((1, 1), (60, 3000)):
+        monkeypatch.setattr(D, "HITS", hits)
+        monkeypatch.setattr(D, "CELLS", cells)
+        assert D.search(passages, index, WORD) == got
+
+
+def test_one_item_with_very_many_hits(monkeypatch):
+    monkeypatch.setattr(D, "HITS", 500)
+    items = [(0, "a" * 60), (1, "b" * 30 + "a" * 30)]
+    texts = ["a" * 300, "b" * 30 + "a" * 28, "b" * 12]
+    got = [g[:3] for g in D.search(texts, D.ItemIndex.build(items), WORD)]
+    assert got == [(t, i, d) for t, p in enumerate(texts) for i, item in items
+                   if (d := brute_distance(item, p)) <= D.edit_budget(len(item))]
