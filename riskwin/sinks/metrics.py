@@ -8,6 +8,9 @@ driver:
 * metrics block: a rule of 80 dashes, ``Time of execution: <ts>``, the
   header, one line per record, a closing rule;
 * overrun line: ``<window_index> [f1, f2, ..., f35]``.
+
+Appends that name their run go through ``sinks/runs.py``: a run that is repeated
+replaces its own rows. Without a name every call adds rows.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 from riskwin.config import STATS
 from riskwin.functions.names import batch_name
 from riskwin.operators.overrun import flag_columns
+from riskwin.sinks.runs import write_run
 
 RULE = "-" * 80
 
@@ -38,9 +42,16 @@ def with_run_columns(long_stats: DataFrame, header: str) -> DataFrame:
     return long_stats.select(F.current_timestamp().alias("run_ts"), F.lit(header).alias("header"), "*")
 
 
-def append_stats(long_stats: DataFrame, path: str, header: str) -> None:
+def append_stats(long_stats: DataFrame, path: str, header: str, run_id: str | None = None) -> None:
     """SNK1 as data: append one run's statistics to a Parquet table."""
-    with_run_columns(long_stats, header).write.mode("append").parquet(path)
+    _append(with_run_columns(long_stats, header), path, "parquet", run_id)
+
+
+def _append(rows: DataFrame, path: str, kind: str, run_id: str | None) -> None:
+    if run_id is None:
+        rows.write.mode("append").format(kind).save(path)
+    else:
+        write_run(rows, path, run_id, kind)
 
 
 def metrics_block(long_stats: DataFrame, header: str, targets: Sequence[str],
@@ -80,18 +91,19 @@ def time_line(spark: SparkSession) -> DataFrame:
         F.concat(F.lit("Time of execution: "), F.current_timestamp().cast("string")).alias("line"))
 
 
-def append_scalar(spark: SparkSession, path: str, header: str, name: str, value: float | None) -> None:
+def append_scalar(spark: SparkSession, path: str, header: str, name: str, value: float | None,
+                  run_id: str | None = None) -> None:
     """SNK1 as text: one framed statistic added to a folder of text files."""
     rows = [(0, RULE), (2, header), (3, f"{name}: {value}"), (4, RULE)]
-    append_lines(spark.createDataFrame(rows, "seq long, line string").unionByName(time_line(spark)), path, "seq")
+    append_lines(spark.createDataFrame(rows, "seq long, line string").unionByName(time_line(spark)), path, "seq", run_id)
 
 
-def append_flags(flags: DataFrame, path: str) -> None:
+def append_flags(flags: DataFrame, path: str, run_id: str | None = None) -> None:
     """SNK4 as data: add a run's flags to a Parquet table."""
-    flags.write.mode("append").parquet(path)
+    _append(flags, path, "parquet", run_id)
 
 
-def append_lines(lines: DataFrame, path: str, order_col: str) -> None:
+def append_lines(lines: DataFrame, path: str, order_col: str, run_id: str | None = None) -> None:
     """Add lines to a folder of text files, in order: one file per range
     partition, names in order within a run."""
-    lines.orderBy(order_col).select("line").write.mode("append").text(path)
+    _append(lines.orderBy(order_col).select("line"), path, "text", run_id)
