@@ -35,34 +35,6 @@ def test_a_hot_id(spark):
     assert [(r["ID"], r["x"]) for r in sorted(got, key=lambda r: r["idx"])] == sorted(rows)
 
 
-def test_one_id_is_split(spark):
-    """A key with a third of the records, and records alike in all columns."""
-    for rows in ([(7, float(i)) for i in range(2000)], [(7, 1.0)] * 2000):
-        rows += [(i, float(-i)) for i in range(4000)]
-        df = spark.createDataFrame(rows, "ID long, x double").repartition(5)
-        got = dense_index(df, "ID", bucket_rows=250).df
-        assert [(r["ID"], r["x"]) for r in sorted(got.collect(), key=lambda r: r["idx"])] == sorted(rows)
-        assert sorted(r["idx"] for r in got.collect()) == list(range(6000))
-        tasks = got.where("ID = 7").groupBy(F.input_file_name()).count().collect()
-        assert len(tasks) > 4 and max(r["count"] for r in tasks) < 1000
-
-
-def test_one_id_of_a_series_is_split(spark):
-    rows = [("a", 7, 1.0)] * 900 + [(None, 7, float(i)) for i in range(900)] + [("b", i, 0.0) for i in range(900)]
-    got = dense_index(spark.createDataFrame(rows, "series string, ID long, x double"), "ID", ["series"], bucket_rows=100).df.collect()
-    for key in ("a", "b", None):
-        mine = sorted((r["idx"], r["ID"], r["x"]) for r in got if r["series"] == key)
-        assert [i for i, *_ in mine] == list(range(900))
-        assert [m[1:] for m in mine] == sorted(r[1:] for r in rows if r[0] == key)
-
-
-def test_offsets_are_a_table(spark):
-    """The plan doesn't grow with the number of ranges."""
-    df = spark.range(5000).select(F.col("id").alias("ID"))
-    sizes = [len(dense_index(df, "ID", bucket_rows=n).df._jdf.queryExecution().optimizedPlan().toString()) for n in (2500, 50)]
-    assert abs(sizes[0] - sizes[1]) < 200
-
-
 def test_contiguous_ids_need_no_shuffle(spark):
     df = spark.range(10, 60).withColumnRenamed("id", "ID")
     got = dense_index(df, "ID", contiguous=True).df
