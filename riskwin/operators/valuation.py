@@ -76,8 +76,9 @@ def value_steps(prices: DataFrame, holdings: DataFrame, prior_prices: DataFrame
 
 
 def first_value(steps: DataFrame, n_assets: int) -> DataFrame:
-    """One row: the value in the first fully priced month."""
-    return steps.where(F.col("assets_priced") == F.lit(n_assets)).agg(F.min_by("portfolio_value", "month").alias("init"))
+    """One row: the value in the first fully priced month, and that month."""
+    return steps.where(F.col("assets_priced") == F.lit(n_assets)).agg(
+        F.min_by("portfolio_value", "month").alias("init"), F.min("month").alias("init_month"))
 
 
 def with_returns(steps: DataFrame, n_assets: int, init: float | None) -> DataFrame:

@@ -138,9 +138,9 @@ def stream_flags_from_table(spark: SparkSession, wide: DataFrame, assets: Sequen
     baseline = full_history_stats(wide, assets, params)
     src = scratch_path(spark, "stream-src")
     if as_text:
-        write_in_order(render_lines(wide, assets, keep_id=True), src, "ID", files, as_text=True)
+        together = write_in_order(render_lines(wide, assets, keep_id=True), src, "ID", files, as_text=True)
     else:
-        write_in_order(wide, src, "ID", files)
+        together = write_in_order(wide, src, "ID", files)
     flags, _ = stream_flags(spark, src, assets, baseline, baseline.counts[assets[0]],
-                            None if as_text else wide.schema, params)
+                            None if as_text else wide.schema, params, max_files=together)
     return flags

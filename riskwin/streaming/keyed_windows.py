@@ -128,17 +128,18 @@ def keyed_flag_stream(windows: DataFrame, baseline: DataFrame, params: RiskParam
         overrun(F.col(s), F.col(f"b_{s}"), params.threshold).alias(f"{s}_ovr") for s in STATS])
 
 
-def _replay(long: DataFrame, key: str, order: str, value: str, files: int, max_delay: int) -> str:
+def _replay(long: DataFrame, key: str, order: str, value: str, files: int, max_delay: int) -> tuple[str, int]:
     """A table as files in the order of ``order``, each record moved by up to
-    ``max_delay`` IDs; rows without an ID come first, an end row a series last."""
+    ``max_delay`` IDs; rows without an ID come first, an end row a series last.
+    The folder, and the files of a micro-batch."""
     src, last = scratch_path(long.sparkSession, "keyed-src"), F.lit((1 << 62))
     rows = long.select(key, order, value, F.lit(False).alias(END))
     moved = F.coalesce(F.col(order) + F.pmod(F.xxhash64(order), F.lit(max_delay + 1)), F.lit(-(1 << 62)))
-    write_in_order(rows.withColumn("_at", moved), src, "_at", files)
+    together = write_in_order(rows.withColumn("_at", moved), src, "_at", files)
     ends = rows.select(key, F.lit(None).cast(dict(rows.dtypes)[order]).alias(order), F.lit(None).cast(dict(rows.dtypes)[value]).alias(value),
                        F.lit(True).alias(END), last.alias("_at")).dropDuplicates([key])
     ends.coalesce(1).write.mode("append").parquet(src)
-    return src
+    return src, together
 
 
 def _run(out: DataFrame, spark: SparkSession) -> DataFrame:
@@ -148,9 +149,9 @@ def _run(out: DataFrame, spark: SparkSession) -> DataFrame:
     return spark.read.schema(out.schema).parquet(sink)
 
 
-def _source(spark: SparkSession, src: str) -> DataFrame:
+def _source(spark: SparkSession, src: str, max_files: int = 1) -> DataFrame:
     schema = spark.read.parquet(src).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(src)
 
 
 def stream_windows(spark: SparkSession, long: DataFrame, params: RiskParams = RiskParams(), files: int = 4, key: str = "series",
@@ -158,8 +159,8 @@ def stream_windows(spark: SparkSession, long: DataFrame, params: RiskParams = Ri
     """Replay a long table as a file stream, out of order by up to ``max_delay``
     IDs; return all that is streamed, counts of late and unusable records too."""
     counts = split_invalid(long.select(key, order, value), [value], order)[0].groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    src = _replay(long, key, order, value, files, max_delay)
-    return _run(keyed_window_stream(_source(spark, src), counts, params, key, order, value, max_delay=max_delay), spark)
+    src, together = _replay(long, key, order, value, files, max_delay)
+    return _run(keyed_window_stream(_source(spark, src, together), counts, params, key, order, value, max_delay=max_delay), spark)
 
 
 def stream_rolling_by_series(spark: SparkSession, long: DataFrame, params: RiskParams = RiskParams(),
@@ -178,6 +179,6 @@ def stream_flags_by_series(spark: SparkSession, long: DataFrame, params: RiskPar
     checkpoint_root(spark)
     baseline = baseline_by_series(valid, params, key, value)
     counts = baseline.select(F.col("_key").alias(key), F.col("_n").alias("n"))
-    src = _replay(long, key, order, value, files, max_delay)
-    windows = keyed_window_stream(_source(spark, src), counts, params, key, order, value, max_delay=max_delay)
+    src, together = _replay(long, key, order, value, files, max_delay)
+    windows = keyed_window_stream(_source(spark, src, together), counts, params, key, order, value, max_delay=max_delay)
     return _run(keyed_flag_stream(windows, baseline, params, key), spark)

@@ -12,29 +12,38 @@ from pyspark.sql import types as T
 from riskwin.operators.index import ascending_cuts, bucket_of
 from riskwin.session import scratch_path
 
-#: Rows of a file, and so of a micro-batch and a writing task, at most about.
+#: Rows of a file, and so of a writing task, at most about.
 ROWS_PER_FILE = 1_000_000
 
 
-def write_in_order(df: DataFrame, path: str, order_col: str, files: int = 1, as_text: bool = False) -> None:
-    """Write a table as about ``files`` files (more, so that none is over
-    ``ROWS_PER_FILE`` rows) that arrive in the order of ``order_col``.
+def write_in_order(df: DataFrame, path: str, order_col: str, chunks: int = 1, as_text: bool = False,
+                   rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Write a table as about ``chunks`` chunks that arrive in the order of
+    ``order_col``; returns the files of a chunk (the last may have fewer).
 
-    One pass deals the rows into chunks; each chunk is then moved to the stream's
-    folder in turn. ``as_text``: the other column is a line of text."""
+    A chunk is one file, or one a core where that would be over ``rows_per_file``
+    rows (then there are as many chunks as it takes). One pass deals the rows into
+    files' ranges; the ranges of a chunk are then moved to the stream's folder in
+    parallel, chunk after chunk, so that files of different chunks never arrive in
+    the wrong order. ``as_text``: the other column is a line of text."""
     spark = df.sparkSession
-    n = max(files, math.ceil(df.count() / ROWS_PER_FILE), 1)
-    cuts = ascending_cuts(df, F.col(order_col), n - 1)
+    n, least = df.agg(F.count(F.lit(1)), F.min(order_col)).first()
+    wanted = max(math.ceil(n / rows_per_file), 1)
+    together = min(math.ceil(wanted / chunks), spark.sparkContext.defaultParallelism)
+    # each cut is a value of the table above the least, so no range is empty
+    cuts = [c for c in ascending_cuts(df, F.col(order_col), max(chunks * together, wanted) - 1) if c != least]
     staged = scratch_path(spark, "replay")
-    chunked = df.withColumn("_chunk", bucket_of(F.col(order_col), cuts))
-    chunked.repartition(len(cuts) + 1, "_chunk").write.partitionBy("_chunk").parquet(staged)
-    chunks = spark.read.parquet(staged)
-    for i in range(len(cuts) + 1):
-        chunk = chunks.where(F.col("_chunk") == i).select(*df.columns).coalesce(1)
+    ranged = df.withColumn("_range", bucket_of(F.col(order_col), cuts).cast("int"))
+    ranged.repartitionById(len(cuts) + 1, "_range").write.partitionBy("_range").parquet(staged)
+    ranges = spark.read.parquet(staged)
+    for first in range(0, len(cuts) + 1, together):
+        last = min(first + together, len(cuts) + 1)
+        chunk = ranges.where(F.col("_range").between(first, last - 1)).repartitionById(last - first, F.col("_range") - first)
         if as_text:
-            chunk.drop(order_col).write.mode("append").text(path)
+            chunk.drop("_range", order_col).write.mode("append").text(path)
         else:
-            chunk.write.mode("append").parquet(path)
+            chunk.select(*df.columns).write.mode("append").parquet(path)
+    return together
 
 
 def run_stream(spark: SparkSession, source: str, schema: T.StructType | None, handler: Callable, checkpoint: str,

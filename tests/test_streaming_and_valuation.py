@@ -72,7 +72,7 @@ def test_stream_valuation_equals_batch(spark):
     from riskwin.session import scratch_path
     from riskwin.streaming.replay import run_stream
     from riskwin.streaming.replay import write_in_order
-    from riskwin.streaming.valuation_stream import ValuationMonitor
+    from riskwin.streaming.valuation_stream import ValuationMonitor, read_values
 
     prices = fx.segment_prices(spark, SF_SMALL).select("asset", "month", "price")
     holdings = segment_holdings(fx.table(spark, SF_SMALL, "customer"))
@@ -85,7 +85,7 @@ def test_stream_valuation_equals_batch(spark):
     sink, state = scratch_path(spark, "val-sink"), scratch_path(spark, "val-state")
     handler = ValuationMonitor(spark, holdings, sink, state)
     run_stream(spark, src, prices.schema, handler, scratch_path(spark, "val-ck"))
-    streamed = {r["month"]: r for r in spark.read.parquet(sink).collect()}
+    streamed = {r["month"]: r for r in read_values(spark, sink).collect()}
     batch = {r["month"]: r for r in portfolio_value(prices, holdings).collect()}
     assert streamed.keys() == batch.keys() and len(batch) > 50
     for m, b in batch.items():
@@ -96,6 +96,57 @@ def test_stream_valuation_equals_batch(spark):
     assert handler.late_records() == 1 and handler.rejected_records() == 2
 
 
+def test_stream_valuation_of_shuffled_observations(spark):
+    from riskwin.operators.valuation import segment_holdings
+    from riskwin.session import scratch_path
+    from riskwin.streaming.replay import run_stream
+    from riskwin.streaming.valuation_stream import ValuationMonitor, read_values
+
+    prices = fx.segment_prices(spark, SF_SMALL).select("asset", "month", "price")
+    some = prices.limit(3).withColumn("asset", F.lit("not held")).withColumn("month", F.to_date(F.lit("1900-01-01")))
+    prices = prices.unionByName(some).unionByName(prices.limit(1).withColumn("price", F.lit(float("nan")))).checkpoint()
+    holdings = segment_holdings(fx.table(spark, SF_SMALL, "customer"))
+    want = {r["month"]: r for r in portfolio_value(prices, holdings).collect()}
+    # moderately out of order; wholly shuffled (the month that returns refer to moves)
+    place = F.pmod(F.xxhash64("asset", "month"), F.lit(3))
+    for name, file in [("near", (F.months_between("month", F.lit("1990-01-01")) / 48 + place / 8).cast("int")), ("all", place)]:
+        src, sink, state, ck = (scratch_path(spark, f"shuffled-{name}-{n}") for n in ("src", "sink", "state", "ck"))
+        for i in range(4):
+            part = prices.where(F.coalesce(file, F.lit(0)) == i)
+            if part.count():
+                part.coalesce(1).write.mode("append").parquet(src)
+        handler = ValuationMonitor(spark, holdings, sink, state)
+        run_stream(spark, src, prices.schema, handler, ck)
+        got = {r["month"]: r for r in read_values(spark, sink).collect()}
+        assert got.keys() == want.keys() and len(got) > 50
+        for m, w in want.items():
+            assert got[m]["assets_priced"] == w["assets_priced"]
+            assert got[m]["portfolio_value"] == pytest.approx(w["portfolio_value"], abs=0.011)
+            assert got[m]["cumulative_return"] == pytest.approx(w["cumulative_return"], abs=1e-9)
+        assert handler.rejected_records() == 1 and handler.late_records() > 0
+
+
+def test_replay_writes_chunks_of_several_files_in_order(spark):
+    import glob
+    import os
+
+    from riskwin.session import scratch_path
+    from riskwin.streaming.replay import write_in_order
+
+    rows = spark.range(0, 5000).select((F.col("id") % 1700).alias("ID"), F.col("id").alias("x"))
+    src = scratch_path(spark, "wide-replay").removeprefix("file:")
+    together = write_in_order(rows, src, "ID", 2, rows_per_file=300)
+    files = sorted(glob.glob(f"{src}/*.parquet"), key=os.path.getmtime)
+    assert together == min(9, spark.sparkContext.defaultParallelism) and len(files) >= 17
+    reach, seen = -1, 0
+    for a in range(0, len(files), together):
+        chunk = spark.read.parquet(*files[a:a + together])
+        lo, hi, n = chunk.agg(F.min("ID"), F.max("ID"), F.count(F.lit(1))).first()
+        assert lo > reach and spark.read.parquet(files[a]).count() <= 600
+        reach, seen = hi, seen + n
+    assert seen == 5000
+
+
 def test_keyed_stream_windows_equal_batch(spark):
     from riskwin.operators.series import rolling_by_series
     from riskwin.streaming.keyed_windows import stream_rolling_by_series
@@ -190,7 +241,7 @@ def test_keyed_stream_out_of_order_equals_batch(spark):
     streamed.unpersist()
     # the same arrival without a buffer loses records, and says so
     from riskwin.streaming import keyed_windows as K
-    src = K._replay(long, "series", "ID", "yield", 6, 25)
+    src, _ = K._replay(long, "series", "ID", "yield", 6, 25)
     counts = long.groupBy("series").agg(F.count("yield").alias("n"))
     late = K._run(K.keyed_window_stream(K._source(spark, src), counts), spark).agg(F.sum("late")).first()[0]
     assert late > 0
