@@ -16,23 +16,49 @@ def brute(queries, query_ids, vectors, ids, k):
     return out
 
 
+@pytest.mark.parametrize("dim", [1, 2, 3, 4, 5, 64])
+def test_packed_cells_round_trip(dim):
+    codes = np.random.default_rng(dim).integers(0, 64, (50, dim))
+    packed = V.pack(codes)
+    assert packed.shape == (50, -(-dim // 4) * 3) and (V.unpack(packed, dim) == codes).all()
+
+
 @pytest.mark.parametrize("scale, dim", [(40, 16), (1, 4), (5000, 8), (1 << 40, 3), (1 << 62, 2), (0, 3)])
-def test_block_against_brute_force(scale, dim):
+def test_bounds_hold_the_scores(scale, dim):
     rng = np.random.default_rng(dim)
     vectors = rng.integers(-scale, scale + 1, (300, dim))
+    vectors[:20] = vectors[:20] // 7  # rows of another reach
     ids = rng.permutation(300).astype(np.int64)
-    queries, q_ids = vectors[:20], ids[:20]
-    q, v, score, read = V.block_topk(queries, q_ids, vectors, ids, 7)
-    got = [[(int(q_ids[a]), int(ids[b]), int(s)) for a, b, s in zip(q, v, score) if a == i] for i in range(20)]
-    want = [[(i, j, max(-(1 << 63), min((1 << 63) - 1, s))) for i, j, s in row] for row in brute(queries, q_ids, vectors, ids, 7)]
-    assert got == want
+    shift, packed = V.approximate(vectors)
+    q, v, lower, upper = V.block_bounds(vectors[:20], ids[:20], shift, packed, ids, 7)
+    score = V.exact_scores(vectors[q], vectors[v])
+    clip = [max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(vectors[i].tolist(), vectors[j].tolist())))) for i, j in zip(q, v)]
+    assert score.tolist() == clip
+    assert (lower <= score.astype(float)).all() and (score.astype(float) <= upper).all()
+    for i, row in enumerate(brute(vectors[:20], ids[:20], vectors, ids, 7)):
+        assert {j for _, j, _ in row} <= set(ids[v[q == i]].tolist())
+
 
+def test_few_vectors_are_read_exactly(spark):
+    """Survivors of the bounds on a given table are a small part of all pairs."""
+    raw = spark.read.parquet(f"{SF_MID}/embeddings.parquet").filter(V.usable(F.col("embedding")))
+    rows = raw.select(F.size("embedding").alias("dim"), F.col("vec_id").cast("long").alias("id"), F.col("vec_id").cast("long").alias("row"),
+                      F.transform("embedding", lambda x: F.floor(64.0 * x.cast("double"))).alias("v")).checkpoint()
+    queries = rows.filter("id % 20 = 0")
+    cells = V.approximation_file(rows)
+    assert cells.agg(F.max(F.length("cells"))).first()[0] == 48  # of 512 bytes
+    left = V.survivors(queries, cells, 20, V.QUERY_BLOCK, V.VECTOR_BLOCK)
+    assert 20 * queries.count() <= left.count() < 0.15 * queries.count() * rows.count()
 
-def test_few_vectors_are_read_exactly():
-    rng = np.random.default_rng(0)
-    vectors = (rng.normal(size=(4000, 64)) * 8).astype(np.int64)
-    *_, read = V.block_topk(vectors[:50], np.arange(50), vectors, np.arange(4000), 20)
-    assert read < 50 * 4000 * 0.1
+
+def test_copies_of_a_vector_are_compared_once(spark):
+    rows = [(i, [3, 4, 5]) for i in range(400)] + [(1000 + i, [i % 5, 1, 2]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    got = sorted(map(tuple, V.exact_topk(df, F.col("vec_id") % 100 == 0, 6).collect()))
+    ids, vs = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    asked = ids % 100 == 0
+    want = sorted((i, n + 1, j, s) for row in brute(vs[asked], ids[asked], vs, ids, 6) for n, (i, j, s) in enumerate(row))
+    assert got == want
 
 
 def test_sql(spark):
