@@ -1,8 +1,9 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton.
 
-Texts are folded first: lower case, look-alike letters of other scripts and
-full-width forms to Latin ones, digits and signs that stand for letters to
-these, invisible characters away. The lexicon holds word beginnings with
+Texts are folded first: compatibility forms decomposed (mathematical and
+full-width letters), accents away, lower case, look-alike letters of other scripts
+to Latin ones, digits and signs that stand for letters to these (not in words
+without a letter, as numbers), invisible characters away. The lexicon holds word beginnings with
 weights; exception phrases (a term with the word before or after it that is
 harmless) take the weight of the term inside them back. The sum of the weights
 is normalised by the text's length and a logistic curve gives the score.
@@ -13,6 +14,8 @@ Lexicon, exceptions and curve are learned from labelled rows.
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -22,7 +25,7 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskwin.llm.batches import small_batches
@@ -37,12 +40,13 @@ MAX_EXCEPTIONS = 500
 #: Word beginnings that may become terms have this many characters, or are a
 #: whole word.
 PREFIXES = range(4, 11)
-#: A term occurs in so many different contexts in toxic rows (copies of a text
-#: have the same contexts and count once), or this share of the toxic rows, at
-#: least.
-MIN_ROWS, MIN_ROWS_SHARE = 5, 0.01
-#: Least log odds of a term.
-MIN_WEIGHT = 2.0
+#: A term is in this share of the toxic rows, at least (in different contexts:
+#: copies of a text have the same contexts and count once).
+MIN_TOXIC_SHARE = 0.01
+#: A term weighs the lower confidence bound of its log odds, so many standard
+#: errors below the estimate, and this at least. Rare terms have wide bounds, so
+#: there is no least count, and small tables learn too.
+ERRORS, MIN_WEIGHT = 1.5, 1.5
 #: Words at which a text counts as of usual length.
 USUAL_WORDS = 200
 
@@ -58,21 +62,24 @@ INVISIBLE = "­​‌‍⁠﻿"
 BREAKS = ".,;:?\"'()[]{}<>/\\*%&#=~^_-`\t\n\r\x0b\x0c…–—“”‘’«»¡¿·"
 
 
-def fold_table() -> dict[int, str | None]:
-    """Characters to their folded form, for ``str.translate``."""
-    table: dict[int, str | None] = {ord(c): to for to, cs in HOMOGLYPHS.items() for c in cs}
-    table |= {0xFF41 + i: chr(ord("a") + i) for i in range(26)}
-    table |= {ord(c): " " for c in BREAKS}
-    table |= {ord(c): None for c in INVISIBLE}
-    return table
-
-
-FOLD = fold_table()
+BREAK_TABLE = {ord(c): " " for c in BREAKS} | {ord(c): None for c in INVISIBLE}
+FOLD_TABLE = {ord(c): to for to, cs in HOMOGLYPHS.items() for c in cs}
+_MARKS = re.compile("[\u0300-\u036f]")
+#: Words of digits and signs only.
+_NUMBERS = re.compile(r"(?<!\S)[0-9@$!|+]+(?!\S)")
 
 
 def fold(text: str | None) -> str:
     """Folded words of a text, one space around each; " " for none."""
-    words = (text or "").lower().translate(FOLD).split()
+    text = text or ""
+    if not text.isascii():
+        text = _MARKS.sub("", unicodedata.normalize("NFKD", text))
+    text = text.lower().translate(BREAK_TABLE)
+    parts, at = [], 0
+    for number in _NUMBERS.finditer(text):
+        parts += [text[at:number.start()].translate(FOLD_TABLE), number[0]]
+        at = number.end()
+    words = "".join([*parts, text[at:].translate(FOLD_TABLE)]).split()
     return f" {' '.join(words)} " if words else " "
 
 
@@ -131,12 +138,13 @@ def normalised(folded: str, automaton) -> float:
     return sum(w for _, _, w in found) / (1 + math.log1p(words / USUAL_WORDS))
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope (not below 0.05) and offset of a ridge-penalised logistic fit."""
+def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    """Slope (not below 0.05) and offset of a ridge-penalised logistic fit to
+    points that count ``n`` times."""
     a, b = 1.0, -2.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        w, g = p * (1 - p) + 1e-9, p - y
+        w, g = n * (p * (1 - p) + 1e-9), n * (p - y)
         grad = np.array([(g * x).sum() + 0.1 * a, g.sum() + 0.01 * b])
         hess = np.array([[(w * x * x).sum() + 0.1, (w * x).sum()], [(w * x).sum(), w.sum() + 0.01]])
         step = np.linalg.solve(hess, grad)
@@ -173,7 +181,15 @@ def _terms(word: str) -> list[str]:
 
 
 def log_odds(toxic: float, clean: float, n_toxic: int, n_clean: int) -> float:
-    return math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
+    """Lower confidence bound of the log odds."""
+    odds = math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
+    return odds - ERRORS * math.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
+
+
+def _bound(n_toxic: int, n_clean: int, side: float) -> Column:
+    """``side`` * the log odds of columns ``toxic`` and ``clean``, less the errors."""
+    t, c = F.col("toxic") + 0.5, F.col("clean") + 0.5
+    return F.lit(side) * (F.log(t / (n_toxic + 1)) - F.log(c / (n_clean + 1))) - F.lit(ERRORS) * F.sqrt(1 / t + 1 / c)
 
 
 def choose_terms(counted: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> dict[str, float]:
@@ -188,26 +204,27 @@ def choose_terms(counted: list[tuple[str, int, int]], n_toxic: int, n_clean: int
     return weights
 
 
-def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, exceptions: list[str] = ()) -> ToxicityModel:
+def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, exceptions: list[str] = (), id_col: str | None = None) -> ToxicityModel:
     """Model learned from ``text`` and ``toxic`` (0 or 1; other rows and null
     texts are left out) of about ``fit_rows`` rows. Without toxic rows no term
-    is learned and all scores are low. ``exceptions`` are added to those found."""
+    is learned and all scores are low. ``exceptions`` are added to those found.
+    With ``id_col`` rows are sampled by id and text, so that copies of a text aren't
+    all in or all out; nothing is learned from the ids."""
     small_batches(rows.sparkSession)
     known = rows.filter(F.col("toxic").isin(0, 1) & F.col("text").isNotNull()).select(
-        "text", F.col("toxic").cast("int").alias("toxic"))
-    sample = hash_sample(known, fit_rows, "text")
+        "text", F.col("toxic").cast("int").alias("toxic"), *([F.col(f"`{id_col}`").alias("_id")] if id_col else []))
+    sample = hash_sample(known, fit_rows, "text", *(["_id"] if id_col else [])).select("text", "toxic")
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_clean, n_toxic = n.get(0, 0), n.get(1, 0)
     if not n_toxic:
         return ToxicityModel({}, [fold(e).strip() for e in exceptions])
-    least = max(MIN_ROWS, MIN_ROWS_SHARE * n_toxic)
     counted = (
         sample.mapInArrow(_term_counts, "term string, context long, clean long, toxic long")
         .groupBy("term", "context").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .groupBy("term").agg(F.sum("clean").alias("clean"),
                              F.least(F.sum("toxic"), F.count_if(F.col("context") >= 0)).alias("toxic"))
-        .filter(F.col("toxic") >= least)
-        .withColumn("odds", F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1)))
+        .filter(F.col("toxic") >= MIN_TOXIC_SHARE * n_toxic)
+        .withColumn("odds", _bound(n_toxic, n_clean, 1.0))
         .filter(F.col("odds") >= MIN_WEIGHT)
         .orderBy(F.desc(F.col("odds") * F.col("toxic")), "term").limit(MAX_TERMS)
     )
@@ -231,7 +248,7 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, exceptions: list[str] = ()) -
     harmless = (
         sample.mapInArrow(phrases, "phrase string, toxic int").groupBy("phrase")
         .agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
-        .filter((F.col("clean") >= MIN_ROWS) & (F.col("toxic") * n_clean < F.col("clean") * n_toxic))
+        .filter(_bound(n_toxic, n_clean, -1.0) > 0)
         .orderBy(F.desc("clean"), "phrase").limit(MAX_EXCEPTIONS)
     )
     model.exceptions += [r["phrase"] for r in harmless.collect()]
@@ -243,8 +260,7 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, exceptions: list[str] = ()) -
     # the curve has two numbers; it is fitted on the rows' rounded sums, counted
     sums = sample.select(F.round(F.pandas_udf(features, "double")("text"), 3).alias("x"), "toxic")
     points = sums.groupBy("x", "toxic").agg(F.count("*").alias("n")).toPandas()
-    repeat = np.repeat(np.arange(len(points)), points["n"].to_numpy())
-    model.slope, model.offset = logistic(points["x"].to_numpy()[repeat], points["toxic"].to_numpy()[repeat].astype(float))
+    model.slope, model.offset = logistic(*(points[c].to_numpy().astype(float) for c in ("x", "toxic", "n")))
     return model
 
 
@@ -280,7 +296,7 @@ def op1_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").filter("toxic is not null")
-    model = fit(docs.filter(~out).join(labels, "doc_id"))
+    model = fit(docs.filter(~out).join(labels, "doc_id"), id_col="doc_id")
     scored = score(docs.select("doc_id", out.alias("held_out"), "text"), model)
     return scored.select("doc_id", "held_out", F.col("toxicity").alias("score"),
                          F.when(F.col("toxicity") >= 0.5, 1).otherwise(0).alias("predicted"), "toxic_terms")

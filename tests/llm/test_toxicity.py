@@ -1,6 +1,7 @@
 """Toxicity lexicon: folding, matching, exceptions, held-out accuracy."""
 import zlib
 
+import numpy as np
 import pytest
 from conftest import SF_MID
 from llm.fixtures import awkward, clashing, docs_of, table
@@ -11,6 +12,7 @@ from riskwin.llm import toxicity as X
 @pytest.mark.parametrize("raw, folded", [
     ("1D10T", " idiot "), ("іdіоt", " idiot "), ("ｍｏｒｏｎ!", " moroni "), ("st​upid", " stupid "),
     ("you, $cum.", " you scum "), ("", " "), (None, " "), (" \n", " "),
+    ("ídiot", " idiot "), ("i\u0301diot", " idiot "), ("𝐈𝒅iot", " idiot "), ("In 2024 l0ser 7", " in 2024 loser 7 "),
 ])
 def test_fold(raw, folded):
     assert X.fold(raw) == folded
@@ -68,6 +70,29 @@ def test_held_out_accuracy(spark):
     assert sum(r["predicted"] == toxic[r["doc_id"]] for r in held) >= 0.95 * len(held)
 
 
+def test_recall_on_held_out_rows(spark):
+    toxic = dict(table("/root/testdata/sf0.1", "labels", "doc_id, toxic"))
+    held = [r for r in X.op1_toxicity(spark, "/root/testdata/sf0.1").collect() if r["held_out"] and r["doc_id"] in toxic]
+    hits = [r["predicted"] for r in held if toxic[r["doc_id"]] == 1]
+    alarms = [r["predicted"] for r in held if toxic[r["doc_id"]] == 0]
+    assert len(hits) > 50 and sum(hits) >= 0.9 * len(hits) and sum(alarms) <= 0.01 * len(alarms)
+
+
+def test_small_tables_learn_terms(spark):
+    """There is no least count: rarer terms need wider bounds."""
+    toxic = dict(table("/root/testdata/sf0.001", "labels", "doc_id, toxic"))
+    rows = [r for r in X.op1_toxicity(spark, "/root/testdata/sf0.001").collect() if r["doc_id"] in toxic]
+    assert sum(r["predicted"] for r in rows if toxic[r["doc_id"]] == 1) >= 5
+    assert not any(r["predicted"] for r in rows if toxic[r["doc_id"]] == 0)
+
+
+def test_weighted_curve_is_that_of_repeated_rows():
+    x, y, n = (np.array(v, float) for v in ([0, 1, 2, 0, 3], [0, 0, 1, 1, 1], [50, 3, 7, 1, 9]))
+    times = n.astype(int)
+    once = X.logistic(np.repeat(x, times), np.repeat(y, times), np.ones(times.sum()))
+    assert X.logistic(x, y, n) == pytest.approx(once)
+
+
 def test_awkward_rows_and_empty_tables(spark):
     docs = clashing(awkward(spark), ["toxicity", "scored", "term"])
     model = X.ToxicityModel({"thing": 3.0}, [])
