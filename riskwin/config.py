@@ -30,8 +30,8 @@ class RiskParams:
     the window length.
     ``block_rows``: records per window block (halo blocks); must be >= W-1.
     ``engine``: how window statistics are computed once Spark has formed
-    the halo blocks: ``"blocks"`` reduces each block with numpy inside
-    ``applyInPandas`` (vectorised, the default); ``"native"`` uses array
+    the halo blocks: ``"blocks"`` reduces a block's batches with numpy inside
+    ``applyInArrow`` (vectorised, the default); ``"native"`` uses array
     expressions over ``collect_list`` frames (no Python workers).
     ``ranks``: full-history quantiles are ``"exact"``, or ``"approx"`` as the
     sketch gives them, in one pass, with a rank error of at most 1 /

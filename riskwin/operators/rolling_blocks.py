@@ -1,20 +1,21 @@
 """Rolling statistics per halo block with numpy (the ``blocks`` engine).
 
 Spark does the distribution exactly as in ``rolling.py``: halo blocks keyed
-by (keys..., blk), one hash shuffle on that key. Each block (at most
-``B + W - 1`` records, so bounded memory per task) is handed to
-``applyInPandas`` once; inside, the frames are a zero-copy sliding view of
-the block's columns, sorted and reduced in vectorised numpy, a few
-thousand frames at a time. Same statistics and options as ``rolling.py``
-(the tests hold both engines to one brute-force model).
+by (keys..., blk), one hash shuffle on that key. Each block goes through
+``applyInArrow`` in record order, batch by batch; a task holds one batch, the
+last ``W - 1`` records before it and the statistics of ``CHUNK`` frames,
+whatever the size of a block. The frames are a zero-copy sliding view of
+these records' columns, sorted and reduced in vectorised numpy. Same
+statistics and options as ``rolling.py`` (the tests hold both engines to one
+brute-force model).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -23,7 +24,7 @@ from riskwin.functions.names import window_name
 from riskwin.functions.window_arrays import tail_share
 from riskwin.operators.index import block_size, halo_blocks
 
-CHUNK = 4096  # frames reduced per numpy step (bounds temporary memory)
+CHUNK = 4096  # records read and frames reduced per numpy step (bounds memory)
 SORTED = ("median", "tenth", "tail_mean")  # statistics read off the sorted frame
 
 
@@ -86,46 +87,45 @@ def rolling_stats_blocks(indexed: DataFrame, assets: Sequence[str], n_full,
     safety_window = params.safety_divisor == "window"
     fixed_n = n_full if isinstance(n_full, int) else None
 
-    def empty() -> pd.DataFrame:
-        cols = {k: pd.Series([], dtype=object) for k in keys}
-        cols["window_index"] = pd.Series([], dtype="int64")
-        cols.update({nm: pd.Series([], dtype="float64") for _, _, nm in out_names})
-        return pd.DataFrame(cols)[schema.fieldNames()]
-
-    def per_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(idx_col)
-        m = len(pdf)
-        if m < W:
-            return empty()
-        own = pdf["own"].to_numpy()
-        starts = np.flatnonzero(own[: m - W + 1])
-        if len(starts) == 0:
-            return empty()
-        x = pdf[assets].to_numpy(dtype=np.float64)  # (m, n)
+    def reduced(x: np.ndarray, nf: float) -> dict[str, np.ndarray]:
+        """Statistics by name of all frames over the records ``x`` (m, n)."""
         view = np.lib.stride_tricks.sliding_window_view(x, W, axis=0)  # (m-W+1, n, W)
-        nf = float(fixed_n if fixed_n is not None else pdf[n_full_col].iloc[0])
-        cols: dict[str, list[np.ndarray]] = {nm: [] for _, _, nm in out_names}
-        for c0 in range(0, len(starts), CHUNK):
-            sel = starts[c0:c0 + CHUNK]
-            frames = view[sel]  # (f, n, W) copy of just this chunk
-            means = frames.mean(axis=2)
-            res = {}
-            for j, a in enumerate(assets):
-                if a in targets:
-                    div = np.full(len(sel), float(W) if safety_window else nf)
-                    res[a] = _stats(frames[:, j, :], means[:, j], W, 1, div, params, stats)
-            if pooled:
-                div = np.full(len(sel), float(W * n) if safety_window else nf * n)
-                res[PORTFOLIO] = _stats(frames.reshape(len(sel), n * W), means.mean(axis=1),
-                                        W * n, n, div, params, stats)
-            for t, st, nm in out_names:
-                cols[nm].append(res[t][st])
-        # key values repeated as object columns (numpy unicode arrays do not
-        # convert to a single Arrow array)
-        out = {k: pd.Series([pdf[k].iloc[0]] * len(starts), dtype=pdf[k].dtype) for k in keys}
-        out["window_index"] = pd.Series(pdf[idx_col].to_numpy()[starts].astype(np.int64))
-        for _, _, nm in out_names:
-            out[nm] = pd.Series(np.concatenate(cols[nm]))
-        return pd.DataFrame(out)[schema.fieldNames()]
+        f = len(view)
+        frames = view[np.arange(f)]  # a copy
+        means = frames.mean(axis=2)
+        res = {}
+        for j, a in enumerate(assets):
+            if a in targets:
+                div = np.full(f, float(W) if safety_window else nf)
+                res[a] = _stats(frames[:, j, :], means[:, j], W, 1, div, params, stats)
+        if pooled:
+            div = np.full(f, float(W * n) if safety_window else nf * n)
+            res[PORTFOLIO] = _stats(frames.reshape(f, n * W), means.mean(axis=1), W * n, n, div, params, stats)
+        return {nm: res[t][st] for t, st, nm in out_names}
+
+    def per_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the records that later frames start with
+        at, own, x = np.empty(0, np.int64), np.empty(0, bool), np.empty((0, n))
+        for whole in batches:
+            for i in range(0, whole.num_rows, CHUNK):
+                b = whole.slice(i, CHUNK)
+                cols = [b.column(a).to_numpy(zero_copy_only=False) for a in assets]
+                at = np.concatenate([at, b.column(idx_col).to_numpy()])
+                own = np.concatenate([own, b.column("own").to_numpy(zero_copy_only=False)])
+                x = np.concatenate([x, np.stack(cols, axis=1).astype(np.float64)])
+                if (np.diff(at) != 1).any():
+                    raise ValueError("a block's records must come in the order of their index, without gaps")
+                # the copies of the next block's records come last and start no frame here
+                f = int(own[:max(len(at) - W + 1, 0)].sum())
+                if f:
+                    nf = float(fixed_n if fixed_n is not None else b.column(n_full_col)[0].as_py())
+                    out = reduced(x[:f + W - 1], nf)
+                    keep = [pa.repeat(b.column(k.name)[0], f) for k in key_fields]
+                    yield pa.RecordBatch.from_arrays(
+                        [*keep, pa.array(at[:f]), *[pa.array(out[nm], from_pandas=True) for _, _, nm in out_names]],
+                        schema.fieldNames())
+                at, own, x = at[f:], own[f:], x[f:]
 
-    return blocks.groupBy(*keys, "blk").applyInPandas(per_block, schema)
+    by = [*keys, "blk"]
+    ordered = blocks.repartition(*by).sortWithinPartitions(*by, idx_col)
+    return ordered.groupBy(*by).applyInArrow(per_block, schema)

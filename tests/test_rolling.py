@@ -1,3 +1,6 @@
+import glob
+import os
+
 import numpy as np
 import pytest
 
@@ -135,3 +138,51 @@ def test_portfolio_of_one_asset(spark, engine):
         assert m.baseline.get("asset_1", s) == pytest.approx(m.baseline.get(PORTFOLIO, s))
         assert all(r[window_name("asset_1", s)] == pytest.approx(r[window_name(PORTFOLIO, s)]) for r in windows)
         assert all(r[flag_name("asset_1", s)] == r[flag_name(PORTFOLIO, s)] for r in flags)
+
+
+def test_blocks_engine_streams_a_block(spark):
+    # a worker's memory may not grow with the block: 200 000 records in one, 35 columns out
+    def peak():
+        """Largest peak, in MB, of the Python processes that this one's session started."""
+        kids, most = {}, {}
+        for status in glob.glob("/proc/[0-9]*/status"):
+            try:
+                with open(status) as f:
+                    now = dict(line.split(":", 1) for line in f)
+            except OSError:
+                continue
+            kids.setdefault(int(now["PPid"]), []).append(int(now["Pid"]))
+            if now["Name"].strip().startswith("python"):
+                most[int(now["Pid"])] = int(now["VmHWM"].split()[0]) / 1024 if "VmHWM" in now else 0
+        todo, found = list(kids.get(os.getpid(), [])), [0]
+        while todo:
+            pid = todo.pop()
+            todo += kids.get(pid, [])
+            found.append(most.get(pid, 0))
+        return max(found)
+
+    assets = [f"asset_{i}" for i in range(1, 7)]
+    df = spark.range(200_000).selectExpr("id as idx", *[f"sin(id * {i + 1}) as {a}" for i, a in enumerate(assets)])
+    small = rolling_stats(df.where("idx < 2000"), assets, 2000, RiskParams(), n_rows=10**9)
+    assert small.count() == 2000 - 29
+    before = peak()
+    out = rolling_stats(df, assets, 200_000, RiskParams(), n_rows=10**9)
+    out.write.format("noop").mode("overwrite").save()
+    assert peak() - before < 100
+    rows = out.selectExpr("count(*)", "min(window_index)", "max(window_index)", "count(distinct window_index)").first()
+    assert tuple(rows) == (200_000 - 29, 0, 200_000 - 30, 200_000 - 29)
+
+
+def test_blocks_engine_keys_of_any_order(spark):
+    # null keys, two key columns given in another order than the table's
+    rows = [(k, s, i, float(i * i % 17)) for k in (None, 1) for s in ("x", None) for i in range(70)]
+    df = spark.createDataFrame(rows, "k long, s string, idx long, y double")
+    params = RiskParams(window=7, block_rows=20)
+    blocks, native = (
+        sorted((tuple(r) for r in rolling_stats(df, ["y"], 70, RiskParams(window=7, block_rows=20, engine=e), keys=["s", "k"],
+                                                portfolio=False, names="plain", n_rows=280)
+                .select("s", "k", "window_index", "mean", "median", "tenth", "tail_mean", "safety").collect()), key=str)
+        for e in ENGINES)
+    assert len(blocks) == len(native) == 4 * (70 - params.window + 1)
+    for b, e in zip(blocks, native):
+        assert b[:3] == e[:3] and b[3:] == pytest.approx(e[3:], abs=1e-12)
