@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from riskwin.session import checkpoint_root
 
 
-def _follow(pointers: DataFrame) -> DataFrame:
+def _follow(pointers: DataFrame, small=lambda df: df) -> DataFrame:
     """Pointers (node, to) with every ``to`` replaced by the end of its path."""
     while True:
         ahead = pointers.select(F.col("node").alias("to"), F.col("to").alias("next"))
         stepped = (
-            pointers.join(ahead, "to")
+            pointers.join(small(ahead), "to")
             .select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved"))
             .checkpoint()
         )
@@ -29,11 +29,13 @@ def _follow(pointers: DataFrame) -> DataFrame:
             return pointers
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, broadcast_rows: int = 0) -> DataFrame:
     """Smallest node of its component for every node that has an edge.
 
     ``edges``: columns ``a`` and ``b`` (long, no nulls, any order, repeats and
     loops allowed). Returns ``node``, ``root``; an empty table gives no rows.
+    Rounds with at most ``broadcast_rows`` edges broadcast their pointers (at most
+    two an edge) instead of dealing both sides of a join out.
     """
     checkpoint_root(edges.sparkSession)
     edges = (
@@ -42,24 +44,26 @@ def connected_components(edges: DataFrame) -> DataFrame:
     )
     labels = None
     while not edges.isEmpty():
+        small = F.broadcast if broadcast_rows and edges.count() <= broadcast_rows else lambda df: df
         ends = edges.select(F.inline(F.array(
             F.struct(F.col("a").alias("node"), F.col("b").alias("near")),
             F.struct(F.col("b").alias("node"), F.col("a").alias("near")))))
         pointers = _follow(
             ends.groupBy("node").agg(F.min("near").alias("near"))
-            .select("node", F.least("node", "near").alias("to")).checkpoint()
+            .select("node", F.least("node", "near").alias("to")).checkpoint(),
+            small,
         )
         if labels is None:
             labels = pointers.withColumnRenamed("to", "root")
         else:
             moved = pointers.select(F.col("node").alias("root"), "to")
             labels = (
-                labels.join(moved, "root", "left")
+                labels.join(small(moved), "root", "left")
                 .select("node", F.coalesce("to", "root").alias("root")).checkpoint()
             )
         for end in ("a", "b"):
             edges = (
-                edges.join(pointers.withColumnRenamed("node", end), end)
+                edges.join(small(pointers.withColumnRenamed("node", end)), end)
                 .drop(end).withColumnRenamed("to", end)
             )
         edges = (

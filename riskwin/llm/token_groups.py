@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from riskwin.llm.batches import small_batches
 from riskwin.llm.components import connected_components
-from riskwin.session import checkpoint_root
+from riskwin.session import checkpoint_root, scratch_path
 
 SEED = 42
 #: Sets of a chunk of a group, and queries that a chunk's copy is opened for.
@@ -42,6 +42,8 @@ CHUNK = 256
 SLOT_BITS = 24
 #: Shingles for each slot, where there are slots enough.
 LOAD = 16
+#: How frequent tokens are, in doublings above the usual count.
+LEVELS = np.arange(16, dtype=np.uint64)
 #: Slots of a piece of the table, and words remembered by a task.
 PIECE = 1 << 16
 WORDS = 1 << 18
@@ -127,14 +129,15 @@ def slot_levels(docs: DataFrame, bits: int, shingle: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, levels, bits: int, shingle: int, per_cent: int) -> DataFrame:
-    """(doc_id, th, n, h, prefix): the set's size, hash and first tokens, rare
-    ones first. The last four bits of a token say how frequent it is."""
+    """(doc_id, th, n, h, prefix, starts): the set's size, hash and first tokens,
+    rare ones first. The last four bits of a token say how frequent it is, its
+    level; ``starts`` has for each level how many tokens of lower ones there are."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, table = _WordHashes(), levels.value
         for b in batches:
-            sizes, hashes, prefixes = [], [], []
+            sizes, hashes, prefixes, starts = [], [], [], []
             for text in b.column(2):
                 s = shingle_set(text.as_py(), words, shingle)
                 sizes.append(len(s))
@@ -143,14 +146,17 @@ def signatures(docs: DataFrame, levels, bits: int, shingle: int, per_cent: int)
                 token = s & ~np.uint64(15) | level
                 first = np.lexsort((token, level))[:len(s) - least_shared(len(s), per_cent) + 1] if len(s) else []
                 prefixes.append(token[first].view(np.int64) if len(s) else np.array([], np.int64))
+                starts.append(np.searchsorted(level[first], LEVELS) if len(s) else np.zeros(len(LEVELS), np.int64))
             ends = np.cumsum([0, *map(len, prefixes)])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(sizes, pa.int32()), pa.array(hashes, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.array([], np.int64), *prefixes])))],
-                ["doc_id", "th", "n", "h", "prefix"])
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.array([], np.int64), *prefixes]))),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(starts) + 1) * len(LEVELS), pa.int32()),
+                                          pa.array(np.concatenate([np.array([], np.int64), *starts]), pa.int32()))],
+                ["doc_id", "th", "n", "h", "prefix", "starts"])
 
     return docs.select("doc_id", "th", "text").mapInArrow(
-        task, f"doc_id {kind}, th long, n int, h binary, prefix array<long>").checkpoint()
+        task, f"doc_id {kind}, th long, n int, h binary, prefix array<long>, starts array<int>").checkpoint()
 
 
 def _bounded(df: DataFrame, rows: int) -> DataFrame:
@@ -222,25 +228,43 @@ def opened(asked: DataFrame, members: DataFrame, texts: tuple[DataFrame, DataFra
         _open(per_cent), "a long, b long").checkpoint()
 
 
-def _like_sized(a: str, b: str, per_cent: int):
-    return (F.col(a) * 100 >= F.col(b) * per_cent) & (F.col(b) * 100 >= F.col(a) * per_cent)
-
-
 def first_pairs(reps: DataFrame, per_cent: int) -> tuple[DataFrame, DataFrame]:
-    """(shared, pairs): rows (token, sid, n) of tokens that several sets have, and
-    the pairs (grp, sid) of a first set and others with one of its tokens."""
+    """(shared, pairs): rows (token, sid, n, far, front) of tokens that several sets
+    have, and the pairs (grp, sid) of a first set and others with one of its tokens.
+
+    ``far`` is the largest set that one may be linked with whose first token in
+    common is this one: the tokens before it are not shared, and at most the others
+    are. ``front`` is how many rarer tokens the set has; the first set of a token
+    has the fewest, so that of many texts around one passage it is the plainest."""
     # a token ``level`` doublings above the usual count is dealt into 2 ** level shares
     salt = F.expr("pmod(sid, cast(1 as bigint) << cast(token & 15 as int))").alias("salt")
-    tokens = reps.select("sid", "n", F.explode("prefix").alias("token")).select("token", salt, "sid", "n")
+    far = F.expr(f"cast((100L * n - {100 + per_cent}L * pos) div {per_cent} as int)").alias("far")
+    front = F.expr("starts[cast(token & 15 as int)]").alias("front")
+    tokens = reps.select("sid", "n", "starts", F.posexplode("prefix").alias("pos", "token")).select("token", salt, "sid", "n", far, front)
     share = "over (partition by token, salt)"
-    rows = tokens.select("token", "sid", "n", F.expr(f"min(struct(sid, n)) {share}").alias("hub"), F.expr(f"count(*) {share}").alias("k"))
+    rows = tokens.select("token", "sid", "n", "far", "front", F.expr(f"min({FIRST}) {share}").alias("hub"), F.expr(f"count(*) {share}").alias("k"))
     shared = rows.filter("k > 1 or token & 15 > 0").select(
-        "token", "sid", "n", F.col("hub.sid").alias("hub"), F.col("hub.n").alias("hub_n")).checkpoint()
-    near = shared.filter("sid <> hub").select(F.col("hub").alias("grp"), "sid", F.col("hub_n").alias("m"), "n")
-    hubs = shared.filter("sid = hub and token & 15 > 0").select(
-        "sid", "n", F.expr("min(struct(sid, n)) over (partition by token)").alias("first"))
-    far = hubs.filter("sid <> first.sid").select(F.col("first.sid").alias("grp"), "sid", F.col("first.n").alias("m"), "n")
-    return shared.select("token", "sid", "n"), _worth(near.unionByName(far), per_cent)
+        "token", "sid", "n", "far", "front", F.col("hub.sid").alias("grp"), F.col("hub.n").alias("m"), _near("hub").alias("near")).checkpoint()
+    near = shared.filter("sid <> grp").select("grp", "sid", "m", "n", "near")
+    hubs = shared.filter("sid = grp and token & 15 > 0").select(
+        "sid", "n", "far", F.expr(f"min({FIRST}) over (partition by token)").alias("first"))
+    return shared.select("token", "sid", "n", "far", "front"), _worth(near.unionByName(_stars(hubs)), per_cent)
+
+
+#: What sets are ordered by where one is compared with the others.
+FIRST = "struct(front, sid, n, far)"
+
+
+def _near(first: str):
+    """Whether a row's set and the set ``first`` may be linked if the token is the
+    first one they share."""
+    return (F.col("n") <= F.col(f"{first}.far")) & (F.col(f"{first}.n") <= F.col("far"))
+
+
+def _stars(rows: DataFrame) -> DataFrame:
+    """(grp, sid, m, n, near) of ``rows`` (sid, n, far, first)."""
+    return rows.filter("sid <> first.sid").select(
+        F.col("first.sid").alias("grp"), "sid", F.col("first.n").alias("m"), "n", _near("first").alias("near"))
 
 
 def _enough(c, a, b, per_cent: int):
@@ -251,10 +275,19 @@ def _enough(c, a, b, per_cent: int):
 
 
 def _worth(rows: DataFrame, per_cent: int) -> DataFrame:
-    """Pairs (grp, sid) of ``rows`` (grp, sid, m, n), one for each shared token,
-    of sizes and with tokens enough for a link."""
-    pairs = rows.filter(_like_sized("m", "n", per_cent)).groupBy("grp", "sid", "m", "n").agg(F.count(F.lit(1)).alias("c"))
-    return pairs.filter(_enough(F.col("c"), F.col("m"), F.col("n"), per_cent)).select("grp", "sid").checkpoint()
+    """Pairs (grp, sid) of ``rows`` (grp, sid, m, n, near), one for each shared
+    token, with a near one and with tokens enough for a link."""
+    pairs = rows.groupBy("grp", "sid", "m", "n").agg(F.count(F.lit(1)).alias("c"), F.max("near").alias("near"))
+    return pairs.filter(F.col("near") & _enough(F.col("c"), F.col("m"), F.col("n"), per_cent)).select("grp", "sid").checkpoint()
+
+
+def _settled(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back. A checkpoint keeps the size
+    that Spark guessed for its plan, the product of a join's sides; over the rounds of
+    components that number grows to millions of digits, and planning takes minutes."""
+    path = scratch_path(df.sparkSession, "links")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class _Components:
@@ -270,8 +303,9 @@ class _Components:
             return
         found = opened(asked, members, self.texts, self.per_cent, self.shingle)
         if not found.isEmpty():
-            self.edges = self.edges.unionByName(found)
-            self.roots = connected_components(self.edges).withColumnRenamed("node", "sid")
+            self.edges = self.edges.unionByName(_settled(found))
+            roots = _settled(connected_components(self.edges, BROADCAST_ROWS // 2).withColumnRenamed("node", "sid"))
+            self.roots = _bounded(roots, roots.count())
 
     def label(self, rows: DataFrame) -> DataFrame:
         """``rows`` with ``comp``, the component of the set ``sid``."""
@@ -303,18 +337,17 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sigs = signatures(rows, levels, slot_bits, shingle, per_cent)
     reps = sigs.filter("n > 0").groupBy("h").agg(
         F.max("n").alias("n"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"),
-        F.min(F.struct("doc_id", "th")).alias("src"), F.first("prefix").alias("prefix"))
+        F.min(F.struct("doc_id", "th")).alias("src"), F.first(F.struct("prefix", "starts")).alias("first"))
     reps = reps.withColumn("sid", F.monotonically_increasing_id()).checkpoint()
 
-    shared, pairs = first_pairs(reps.select("sid", "n", "prefix"), per_cent)
+    shared, pairs = first_pairs(reps.select("sid", "n", "first.prefix", "first.starts"), per_cent)
     groups = _Components(rows, reps.select("sid", "src.doc_id", "src.th"), per_cent, shingle)
     groups.add(pairs, _alone(pairs))
 
     # one set for each component that has a token, against the first of them
-    seen = groups.label(shared).groupBy("token", "comp").agg(F.min(F.struct("sid", "n")).alias("one"))
-    stars = seen.select("one", F.expr("min(one) over (partition by token)").alias("first")).filter("one.sid <> first.sid")
-    more = _worth(stars.select(F.col("first.sid").alias("grp"), F.col("one.sid").alias("sid"), F.col("first.n").alias("m"),
-                               F.col("one.n").alias("n")), per_cent).join(pairs, ["grp", "sid"], "left_anti")
+    seen = groups.label(shared).groupBy("token", "comp").agg(F.min(F.expr(FIRST)).alias("one"))
+    stars = seen.select("one.*", F.expr("min(one) over (partition by token)").alias("first"))
+    more = _worth(_stars(stars), per_cent).join(pairs, ["grp", "sid"], "left_anti")
     groups.add(more, _alone(more))
 
     # the matrix: tokens of several components, by chunks of their sets
@@ -322,16 +355,20 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sized = labels.join(labels.groupBy("comp").agg(F.count(F.lit(1)).alias("size")), "comp")
     sized = sized.withColumn("chunk", F.pmod(F.xxhash64("sid"), F.ceil(F.col("size") / CHUNK))).select(
         "sid", "comp", "size", F.xxhash64("comp", "chunk").alias("grp")).checkpoint()
-    held = shared.join(sized, "sid")
+    held = shared.drop("front").join(_bounded(sized, sized.count()), "sid")
     several = held.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
     held = held.join(several, "token").checkpoint()
-    matrix = held.groupBy("token", "grp", "comp", "size").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    asks = held.select("token", "sid", "n", F.col("comp").alias("own"), F.col("size").alias("own_size"))
+    matrix = held.groupBy("token", "grp", "comp", "size").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("far").alias("reach"))
+    asks = held.select("token", "sid", "n", "far", F.col("comp").alias("own"), F.col("size").alias("own_size"))
     smaller = (F.col("own_size") < F.col("size")) | ((F.col("own_size") == F.col("size")) & (F.col("own") < F.col("comp")))
+    # pairs that may be linked if a token is the first one they share, then all their tokens
+    near = (F.col("n") <= F.col("reach")) & (F.col("lo") <= F.col("far"))
+    asked = asks.join(matrix, "token").filter(smaller & near).select("grp", "sid").distinct().checkpoint()
     # sizes that a set of the group with a link would have
     least, most = F.greatest("lo", F.col("n") * (per_cent / 100)), F.least("hi", F.col("n") * (100 / per_cent))
-    asked = asks.join(matrix, "token").filter(smaller).groupBy("grp", "sid", "n").agg(
-        F.count(F.lit(1)).alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    asked = asked.join(asks.select("sid", "token", "n"), "sid").join(matrix.select("grp", "token", "lo", "hi"), ["grp", "token"]).groupBy(
+        "grp", "sid", "n").agg(F.count(F.lit(1)).alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     c, n = F.col("c"), F.col("n")
     asked = asked.filter((least <= most + 1e-6) & (_enough(c, n, least, per_cent) | _enough(c, n, most, per_cent))).select("grp", "sid").checkpoint()
     members = sized.select("grp", "sid").join(asked.select("grp").distinct(), "grp", "left_semi")

@@ -105,6 +105,41 @@ def test_frequent_tokens_are_dealt_out(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_first_shared_token_bounds_sizes():
+    rng = random.Random(6)
+    seen = 0
+    for _ in range(2000):
+        a = set(rng.sample(range(60), rng.randrange(1, 50)))
+        b = {x for x in a if rng.random() < 0.95} | set(rng.sample(range(80), rng.randrange(3)))
+        if b and G.linked(len(a & b), len(a), len(b), 80):
+            i, j = (sorted(s).index(min(a & b)) for s in (a, b))
+            assert len(b) <= (100 * len(a) - 180 * i) // 80 and len(a) <= (100 * len(b) - 180 * j) // 80
+            seen += i + j > 0
+    assert seen > 50
+
+
+def test_pairs_around_one_text_do_not_grow_with_their_square(spark, monkeypatch):
+    # two words changed: linked with the first text only; three: with none
+    rng, base, texts = random.Random(3), [f"b{i}" for i in range(100)], []
+    for t in range(240):
+        words = list(base)
+        for at in rng.sample(range(5, 95, 6), 2 + t % 2):
+            words[at] = f"own{t}x{at}"
+        texts.append(" ".join(words))
+    texts.insert(150, " ".join(base))
+    rows, asked, opened = list(enumerate(texts)), [], G.opened
+
+    def counted(pairs, *more):
+        asked.append(pairs.count())
+        return opened(pairs, *more)
+
+    monkeypatch.setattr(G, "opened", counted)
+    got = run(spark, rows, slot_bits=16)
+    assert got == brute(rows)
+    assert len({c for _, _, c in got}) == 121
+    assert sum(asked) < 4 * len(rows)
+
+
 def test_awkward_rows(spark):
     df = awkward(spark)
     rows = [(r["doc_id"], r["text"]) for r in df.collect()]
